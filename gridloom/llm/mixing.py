@@ -11,7 +11,7 @@ taken stay near the target, and a document is taken at most ceil(e) <= cap times
 Ranks need no task that holds a whole source: rows are counted per (source, size, slice) first, slices being two hex
 digits of md5(doc_id), and the counts are summed up; only rows of one slice are ranked against each other.
 
-Cases: null or blank text has size 0 and is taken or not like any other; a null source is a source of its own, last;
+Cases: null or blank text has size 0 and is taken or not like any other; a null source is a source of its own, last (take() keeps documents without words once);
 a source without words has target 0 and takes nothing; repeated rows count each; an empty table gives no rows.
 """
 
@@ -38,9 +38,9 @@ def _source_offset(source: Column, seed: str) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
-def source_targets(sized: DataFrame, cap: float = CAP, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
-    """(source, source_size, target) from (source, size): one row a source; the windows run over this table only."""
-    s = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
+def source_targets(cells: DataFrame, cap: float = CAP, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
+    """(source, source_size, target) from (source, __size, n): one row a source; the windows run over this table only."""
+    s = cells.groupBy("source").agg(F.sum(F.col("__size") * F.col("n")).alias("source_size"))
     order = W.orderBy(F.col("source").asc_nulls_last())
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.pmod(F.row_number().over(order) - 1, F.lit(len(weights))) + 1).cast("int"))
     s = s.withColumn("w", weight)
@@ -55,31 +55,46 @@ def source_targets(sized: DataFrame, cap: float = CAP, weights: tuple[int, ...]
     return s.select("source", "source_size", F.least(F.lit(cap) * F.col("source_size"), F.col("w") * F.col("fit")["level"]).alias("target"))
 
 
-def mix(docs: DataFrame, cap: float = CAP, weights: tuple[int, ...] = WEIGHTS, seed: str = SEED) -> DataFrame:
-    """doc rows (doc_id, source, size) with source_size, target and copies; texts never leave the scan."""
+def sized(docs: DataFrame) -> DataFrame:
+    """docs with __size, the words of the text, and __slice, two hex digits of md5(doc_id)."""
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    rows = docs.select("doc_id", "source", n_words(text_or_empty()).alias("size"), F.substring(F.md5(key), 1, 2).alias("slice"))
-    rows = cut(rows, "sizes")
-    targets = source_targets(rows, cap, weights)
-    cells = rows.groupBy("source", "size", "slice").count()
-    sizes = cells.groupBy("source", "size").agg(F.sum("count").alias("n"))
-    size_base = sizes.select("source", "size", (F.sum("n").over(W.partitionBy("source").orderBy("size")) - F.col("n")).alias("size_base"))
-    slice_base = cells.select("source", "size", "slice", (F.sum("count").over(W.partitionBy("source", "size").orderBy("slice")) - F.col("count")).alias("slice_base"))
-    same = lambda a, b, names: [a[n].eqNullSafe(b[n]) for n in names]
-    base = slice_base.join(size_base, same(slice_base, size_base, ["source", "size"])).select(slice_base["source"], slice_base["size"], "slice", (F.col("slice_base") + F.col("size_base")).alias("base"))
-    base = base.join(targets, same(base, targets, ["source"])).select(base["source"], "size", "slice", "base", "source_size", "target")
-    own = W.partitionBy("source", "size", "slice").orderBy(F.col("doc_id").asc_nulls_first())
-    ranked = rows.withColumn("within", F.row_number().over(own) - 1)
-    out = ranked.join(base, same(ranked, base, ["source", "size", "slice"])).select(ranked["doc_id"], ranked["source"], ranked["size"], "source_size", "target", (F.col("base") + F.col("within")).alias("r"))
-    e = F.coalesce(F.try_divide(F.col("target"), F.col("source_size").cast("double")), F.lit(0.0))
+    return docs.withColumns({"__size": n_words(text_or_empty()), "__slice": F.substring(F.md5(key), 1, 2)})
+
+
+def mix(rows: DataFrame, cap: float = CAP, weights: tuple[int, ...] = WEIGHTS, seed: str = SEED) -> DataFrame:
+    """rows of sized() with __source_size, __target and __copies. Each row is shuffled once, by its cell."""
+    cells = cut(rows.groupBy("source", "__size", "__slice").agg(F.count("*").alias("n")), "cells")
+    targets = source_targets(cells, cap, weights)
+    sizes = cells.groupBy("source", "__size").agg(F.sum("n").alias("n"))
+    size_base = sizes.select("source", "__size", (F.sum("n").over(W.partitionBy("source").orderBy("__size")) - F.col("n")).alias("size_base"))
+    slice_base = cells.select("source", "__size", "__slice", (F.sum("n").over(W.partitionBy("source", "__size").orderBy("__slice")) - F.col("n")).alias("slice_base"))
+
+    def joined(left: DataFrame, right: DataFrame, names: list[str]) -> DataFrame:
+        right = right.withColumnsRenamed({n: f"__r_{n}" for n in names})
+        on = [left[n].eqNullSafe(right[f"__r_{n}"]) for n in names]
+        return left.join(right, on).drop(*[f"__r_{n}" for n in names])
+
+    base = joined(joined(slice_base, size_base, ["source", "__size"]), targets, ["source"])
+    base = base.select("source", "__size", "__slice", (F.col("slice_base") + F.col("size_base")).alias("__base"), F.col("source_size").alias("__source_size"), F.col("target").alias("__target"))
+    own = W.partitionBy("source", "__size", "__slice").orderBy(F.col("doc_id").asc_nulls_first())
+    out = joined(rows.withColumn("__within", F.row_number().over(own) - 1), base, ["source", "__size", "__slice"])
+    r = F.col("__base") + F.col("__within")
+    e = F.coalesce(F.try_divide(F.col("__target"), F.col("__source_size").cast("double")), F.lit(0.0))
     u = _source_offset(F.col("source"), seed)
-    copies = F.floor((F.col("r") + 1).cast("double") * e + u) - F.floor(F.col("r").cast("double") * e + u)
-    return out.select("doc_id", "source", "size", "source_size", "target", F.least(copies, F.lit(int(-(-cap // 1)))).cast("long").alias("copies"))
+    copies = F.floor((r + 1).cast("double") * e + u) - F.floor(r.cast("double") * e + u)
+    return out.withColumn("__copies", F.least(copies, F.lit(int(-(-cap // 1)))).cast("long")).drop("__within", "__base")
+
+
+def take(docs: DataFrame, cap: float = CAP, weights: tuple[int, ...] = WEIGHTS, seed: str = SEED) -> DataFrame:
+    """Each document as often as the mix takes it. Documents without words are free: they stay once."""
+    m = mix(sized(docs), cap, weights, seed)
+    times = F.when(F.col("__size") == 0, 1).otherwise(F.col("__copies")).cast("int")
+    return m.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), times))).select(*docs.columns)
 
 
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return m.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+    rows = cut(sized(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "source", "__size", "__slice"), "sizes")
+    return mix(rows).select("doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), (F.col("__copies") * F.col("__size")).alias("taken"))
 
 
 OP9_SQL = r"""

@@ -1,8 +1,8 @@
 """Token ids of a corpus as binary shards with a minimal perfect hash index.
 
 Format of a shard: NAME.tok holds the ids of its documents in ascending key order, each a little-endian unsigned
-32-bit integer, nothing else. NAME.idx holds "MPHI", the number of keys n and of buckets b (unsigned 32-bit), b pilots
-(signed 32-bit), then n slots of (fingerprint u32, n_ids u32, offset u64). A key's hash chooses its bucket; a pilot
+integer of the shard's width (2 bytes where the vocabulary has at most 65,536 ids, else 4), nothing else. NAME.idx holds
+"MPHI", the number of keys n, of buckets b and the width (unsigned 32-bit), b pilots (signed 32-bit), then n slots of (fingerprint u32, n_ids u32, offset u64). A key's hash chooses its bucket; a pilot
 p >= 0 sends the key to slot mix(hash, p) mod n, and p < 0 names slot -p-1 outright. Every key has its own slot and no
 slot is free; the stored fingerprint tells keys that were never written.
 
@@ -27,6 +27,7 @@ from pyspark.sql import Window as W
 from gridloom.llm.bpe import END_ID, default_tokenizer, encoder
 from gridloom.llm.common import cut, scratch_path, text_batches, text_or_empty
 
+HEADER = "<4sIII"
 SLOT = np.dtype([("fingerprint", "<u4"), ("n_ids", "<u4"), ("offset", "<u8")])
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 MANIFEST = "doc_id long, copy int, shard string, shard_no long, offset long, n_tokens long"
@@ -90,11 +91,11 @@ class ShardIndex:
     """The .idx bytes of a shard, ready for lookups."""
 
     def __init__(self, data: bytes):
-        magic, self.n, self.b = struct.unpack_from("<4sII", data)
+        magic, self.n, self.b, self.width = struct.unpack_from(HEADER, data)
         if magic != b"MPHI":
             raise ValueError("not a shard index")
-        self.pilots = np.frombuffer(data, "<i4", self.b, 12)
-        self.slots = np.frombuffer(data, SLOT, self.n, 12 + 4 * self.b)
+        self.pilots = np.frombuffer(data, "<i4", self.b, struct.calcsize(HEADER))
+        self.slots = np.frombuffer(data, SLOT, self.n, struct.calcsize(HEADER) + 4 * self.b)
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(found, offset in ids, number of ids) of each key, in constant time a key."""
@@ -134,6 +135,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str | None = None, sha
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, files, root = encoder(path), *_open(folder)
+        width = 2 if max(encode.tokenizer.get_vocab_size(), END_ID + 1) <= 1 << 16 else 4
         files.create_dir(root, recursive=True)
         roll, state, last = 0, None, (object(), -1)
 
@@ -144,7 +146,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str | None = None, sha
             slots = np.zeros(len(hashes), SLOT)
             slots["fingerprint"][place] = (hashes & np.uint64(0xFFFFFFFF)).astype(np.uint32)
             slots["n_ids"][place], slots["offset"][place] = s["n"], s["offset"]
-            _put(folder, f"{s['tmp']}.idx", struct.pack("<4sII", b"MPHI", len(hashes), len(pilots)) + pilots.tobytes() + slots.tobytes())
+            _put(folder, f"{s['tmp']}.idx", struct.pack(HEADER, b"MPHI", len(hashes), len(pilots), width) + pilots.tobytes() + slots.tobytes())
             for end in ("tok", "idx"):
                 if files.get_file_info(f"{root}/{s['name']}.{end}").type.name != "NotFound":
                     files.delete_file(f"{root}/{s['name']}.{end}")
@@ -161,11 +163,11 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str | None = None, sha
                     state = {"no": no, "name": name, "tmp": f".{name}-{uuid.uuid4().hex}", "ids": [], "copies": [], "n": [], "offset": [], "at": 0}
                     state["out"] = files.open_output_stream(f"{root}/{state['tmp']}.tok")
                 last = (doc, last[1] + 1 if doc == last[0] else 0)
-                ids += struct.pack("<I", END_ID)
-                state["out"].write(ids)
-                for k, v in (("ids", doc), ("copies", last[1]), ("n", len(ids) // 4), ("offset", state["at"])):
+                n = len(ids) // 4 + 1
+                state["out"].write(np.append(np.frombuffer(ids, "<u4"), np.uint32(END_ID)).astype(f"<u{width}").tobytes())
+                for k, v in (("ids", doc), ("copies", last[1]), ("n", n), ("offset", state["at"])):
                     state[k].append(v)
-                state["at"] += len(ids) // 4
+                state["at"] += n
                 if state["at"] >= shard_ids:
                     yield close(state)
                     roll, state = roll + 1, None
@@ -182,14 +184,19 @@ def _index_of(folder: str, shard: str) -> ShardIndex:
         return ShardIndex(f.read())
 
 
+def _ids(payload, width: int, offset: int, n: int) -> np.ndarray:
+    return np.frombuffer(payload.read_at(width * n, width * offset), f"<u{width}").astype("<u4")
+
+
 def lookup(folder: str, shard: str, doc_id: int | None, copy: int = 0) -> np.ndarray | None:
     """The ids of one document, read by its key alone; None if the shard never had the key."""
-    found, offset, n = _index_of(folder, shard).find(key_hash([doc_id], [copy]))
+    index = _index_of(folder, shard)
+    found, offset, n = index.find(key_hash([doc_id], [copy]))
     if not found[0]:
         return None
     files, root = _open(folder)
     with files.open_input_file(f"{root}/{shard}.tok") as f:
-        return np.frombuffer(f.read_at(4 * int(n[0]), 4 * int(offset[0])), "<u4")
+        return _ids(f, index.width, int(offset[0]), int(n[0]))
 
 
 def read_back(folder: str, keys: DataFrame) -> DataFrame:
@@ -204,12 +211,13 @@ def read_back(folder: str, keys: DataFrame) -> DataFrame:
             shards = np.array(d["shard"])
             for shard in dict.fromkeys(d["shard"]):
                 rows = np.flatnonzero(shards == shard)
-                found, offset, n = _index_of(folder, shard).find(hashes[rows])
+                index = _index_of(folder, shard)
+                found, offset, n = index.find(hashes[rows])
                 if not found.all():
                     raise ValueError(f"{shard} lacks a key of its manifest")
                 with files.open_input_file(f"{root}/{shard}.tok") as f:
                     for r, o, k in zip(rows, offset, n):
-                        n_read[r], crc[r] = k, zlib.crc32(f.read_at(4 * int(k), 4 * int(o)))
+                        n_read[r], crc[r] = k, zlib.crc32(_ids(f, index.width, int(o), int(k)).tobytes())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n_read), pa.array(crc)], names=[*batch.schema.names, "n_read", "ids_crc32"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keys.schema)
