@@ -6,9 +6,9 @@ of its segments with each single bit wiped out (64 keys in all): two linked fing
 An equality join on the keys finds the candidates and the differing bits are counted inside the join's condition.
 
 Groups of near copies are not expanded into pairs. Distinct fingerprints only are indexed. In a first round each
-member of a key's bucket is compared with the bucket's smallest member, and the links found are contracted into
+member of a key's bucket is compared with the bucket's smallest and largest members, and the links found are contracted into
 components. In a second round the members outside the bucket's largest component are compared with all members of
-other components. A linked pair of one bucket is either inside one component after the first round or has a member
+other components, each pair under the first key it shares. A linked pair of one bucket is either inside one component after the first round or has a member
 outside the largest one, so no link is lost.
 
 Cases: null text counts as empty; texts without words have fingerprint zero and link like any other; equal
@@ -75,21 +75,31 @@ def _near(a: str, b: str, distance: int) -> Column:
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= distance
 
 
+def first_shared(difference: Column, masks: list[int]) -> Column:
+    """The first key that two fingerprints share, from the bits in which they differ."""
+    out = F.lit(None).cast("int")
+    for i in reversed(range(len(masks))):
+        out = F.when(difference.bitwiseAND(F.lit(masks[i])) == 0, F.lit(i)).otherwise(out)
+    return out
+
+
 def linked_components(fps: DataFrame, distance: int = 4) -> DataFrame:
     """(fp, component) for each distinct fp that has a link; component is the smallest fp reachable."""
     masks = variant_masks(distance)
     keys = fps.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in masks])).alias("variant", "bits"))
     bucket = W.partitionBy("variant", "bits")
-    members = keys.withColumn("pivot", F.min("fp").over(bucket)).withColumn("n", F.count("*").over(bucket)).filter("n > 1")
+    members = keys.withColumns({"low": F.min("fp").over(bucket), "high": F.max("fp").over(bucket), "n": F.count("*").over(bucket)}).filter("n > 1")
     members = cut(members, "variants")
-    first = members.filter((F.col("fp") != F.col("pivot")) & _near("fp", "pivot", distance)).select("fp", "pivot")
+    met = members.select("fp", F.explode(F.array("low", "high")).alias("pivot"))
+    first = met.filter((F.col("fp") != F.col("pivot")) & _near("fp", "pivot", distance))
     labels = components(first)
     larger = members.filter("n > 2").select("variant", "bits", "fp").join(labels.withColumnRenamed("node", "fp"), "fp", "left")
     larger = cut(larger.select("variant", "bits", "fp", F.coalesce("component", "fp").alias("c")), "larger")
     per = larger.groupBy("variant", "bits", "c").agg(F.count("*").alias("m"))
     main = per.groupBy("variant", "bits").agg(F.max(F.struct("m", "c")).alias("top"), F.count("*").alias("parts")).filter("parts > 1")
     outside = larger.join(main.select("variant", "bits", F.col("top.c").alias("main")), ["variant", "bits"]).filter("c <> main").select("variant", "bits", F.col("fp").alias("x"), F.col("c").alias("cx"))
-    probe = (F.col("cx") != F.col("c")) & _near("x", "fp", distance)
+    once = first_shared(F.col("x").bitwiseXOR(F.col("fp")), masks) == F.col("l.variant")
+    probe = (F.col("cx") != F.col("c")) & _near("x", "fp", distance) & once
     across = outside.alias("o").join(larger.alias("l"), (F.col("o.variant") == F.col("l.variant")) & (F.col("o.bits") == F.col("l.bits")) & probe).select("cx", "c")
     second = components(across)
     joined = labels.union(second.select(F.col("node"), F.col("component"))).select(F.col("node").alias("fp"))
