@@ -1,6 +1,8 @@
-"""Named queries of the engine, each with the DuckDB SQL that must give the same rows."""
+"""All queries of the engine: name -> (function, DuckDB text)."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+from gridloom.plans import advanced, analyses, basics  # noqa: F401  registers the queries
+from gridloom.plans.registry import QUERIES, SQL
+
+__all__ = ["QUERIES", "SQL"]
