@@ -77,7 +77,7 @@ def in_order_with_next(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(EMPTY_ID)).alias("id"), F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     steps = [i / (4 * parts) for i in range(1, 4 * parts)]
     bounds = rows.agg(F.percentile_approx("id", steps, 10_000)).first()[0] or []
-    cuts = [float("-inf"), *sorted({float(x) for x in bounds}), float("inf")]
+    cuts = [float("-inf"), *sorted({float(x) for x in bounds} or {0.0}), float("inf")]
     bucketed = lambda df: Bucketizer(splits=cuts, inputCol="d", outputCol="b").transform(df.withColumn("d", F.col("id").cast("double"))).withColumn("b", F.col("b").cast("int"))
     firsts = sorted(bucketed(rows.select("id")).groupBy("b").agg(F.min("id").alias("id")).collect())
     if not firsts:

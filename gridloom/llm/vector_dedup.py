@@ -244,21 +244,23 @@ def audit_recall(vectors: DataFrame, result: DataFrame, radius: float = 0.9, eve
     The query set is sent to all tasks in blocks of 4096 queries, each block meets every row once.
     """
     units = unit_vectors(vectors).filter("v is not null")
-    queries = units.filter(F.col("vec_id") % every == 0)
+    queries = units.filter(F.col("vec_id") % every == 0).distinct()
     asked = queries.withColumn("g", F.pmod(F.xxhash64("vec_id"), F.lit(max(1, -(-queries.count() // 4096))))).groupBy("g").agg(F.collect_list(F.struct("vec_id", "v")).alias("q"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out_id, out_n = [], []
+            out_id, out_v, out_n = [], [], []
             for q, r in zip(batch["q"].to_pylist(), batch["rows"].to_pylist()):
                 hits = (_matrix([x["v"] for x in q]) @ _matrix(r).T >= radius).sum(1)
                 out_id += [x["vec_id"] for x in q]
+                out_v += [x["v"] for x in q]
                 out_n += hits.tolist()
-            yield pa.record_batch([pa.array(out_id, pa.int64()), pa.array(out_n, pa.int64())], names=["vec_id", "n"])
+            yield pa.record_batch([pa.array(out_id, pa.int64()), pa.array(out_v, pa.binary()), pa.array(out_n, pa.int64())], names=["vec_id", "v", "n"])
 
     rows = units.withColumn("h", F.pmod(F.xxhash64("v", "vec_id"), F.lit(max(1, units.count() // 4096 + 1)))).groupBy("h").agg(F.collect_list("v").alias("rows"))
     exact = asked.crossJoin(rows).select("q", "rows")
-    n = exact.mapInArrow(run, "vec_id long, n long").groupBy("vec_id").agg((F.sum("n") - 1).alias("linked"))
+    n = exact.mapInArrow(run, "vec_id long, v binary, n long").groupBy("vec_id", "v").agg(F.sum("n").alias("n"))
+    n = n.groupBy("vec_id").agg((F.max("n") - 1).alias("linked"))
     both = n.join(result.groupBy("vec_id").agg(F.max("n_links").alias("found")), "vec_id")
     return both.agg(F.sum("linked").alias("linked"), F.sum(F.least("found", "linked")).alias("found"), F.coalesce(F.try_divide(F.sum(F.least("found", "linked")), F.sum("linked")), F.lit(1.0)).alias("recall"))
 
