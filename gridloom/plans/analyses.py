@@ -197,7 +197,7 @@ def trio_stats(spark, d):
     return family.trio_stats(_trios(spark, d))
 
 
-@query(f"SELECT vid, count(*) FILTER (WHERE {_MENDEL}) AS errors FROM {_TRIO} GROUP BY vid")
+@query(f"SELECT vid, count(*) FILTER (WHERE c IS NOT NULL AND f IS NOT NULL AND m IS NOT NULL AND {_MENDEL}) AS errors FROM {_TRIO} GROUP BY vid")
 def mendel_errors(spark, d):
     return family.mendel_errors(_trios(spark, d))
 
