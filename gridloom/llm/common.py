@@ -39,6 +39,11 @@ def drop_cut(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def small_side(df: DataFrame, most_rows: int) -> DataFrame:
+    """df, a cut() table of narrow rows, to be broadcast if it has at most most_rows rows, else joined by shuffling."""
+    return F.broadcast(df) if df.count() <= most_rows else df
+
+
 def text_batches(spark: SparkSession) -> None:
     """Bound what one Arrow batch of texts holds; the default of 10,000 rows is too much for long documents."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
