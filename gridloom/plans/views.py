@@ -87,6 +87,11 @@ class Cohort:
         self.cols.write.mode(mode).parquet(f"{path}/cols")
         self.entries.repartitionByRange("vid").sortWithinPartitions("vid", "sid").write.mode(mode).parquet(f"{path}/entries")
 
+    def table(self) -> DataFrame:
+        """Cells with the fields of both axes; the sample axis is the small one."""
+        clash = [c for c in self.rows.columns if c != "vid" and c in self.entries.columns]
+        return self.entries.join(self.cols, "sid").join(self.rows.drop(*clash), "vid")
+
     def count(self) -> tuple[int, int]:
         return self.rows.count(), self.cols.count()
 
