@@ -90,8 +90,8 @@ def linked_components(fps: DataFrame, distance: int = 4) -> DataFrame:
     bucket = W.partitionBy("variant", "bits")
     members = keys.withColumns({"low": F.min("fp").over(bucket), "high": F.max("fp").over(bucket), "n": F.count("*").over(bucket)}).filter("n > 1")
     members = cut(members, "variants")
-    met = members.select("fp", F.explode(F.array("low", "high")).alias("pivot"))
-    first = met.filter((F.col("fp") != F.col("pivot")) & _near("fp", "pivot", distance))
+    met = [members.filter((F.col("fp") != F.col(p)) & _near("fp", p, distance)).select("fp", F.col(p).alias("pivot")) for p in ("low", "high")]
+    first = met[0].union(met[1])
     labels = components(first)
     larger = members.filter("n > 2").select("variant", "bits", "fp").join(labels.withColumnRenamed("node", "fp"), "fp", "left")
     larger = cut(larger.select("variant", "bits", "fp", F.coalesce("component", "fp").alias("c")), "larger")
