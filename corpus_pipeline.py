@@ -12,14 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm import line_dedup, mixing, packing, simhash, toxicity
-from gridloom.llm.common import cut
+from gridloom.llm.common import cut, small_side
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents below the toxicity cut of their language stay."""
+    """Documents below the toxicity cut of their language stay. Only the rejected rows' keys come back from scoring."""
     model, cuts = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = toxicity.score(docs, model)
-    return scored.filter(~F.coalesce(toxicity.rejected(cuts), F.lit(False))).select(*docs.columns)
+    bad = toxicity.rejected_rows(docs, model, cuts)
+    key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (key == F.col("__hash")) & F.col("lang").eqNullSafe(F.col("__lang"))
+    return docs.join(small_side(cut(bad, "rejected"), 500_000), same, "left_anti")
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

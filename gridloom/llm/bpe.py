@@ -29,7 +29,7 @@ class PieceEncoder:
     has the frequent ones.
     """
 
-    def __init__(self, path: str, max_entries: int = 900_000, max_piece: int = 200):
+    def __init__(self, path: str, max_entries: int = 600_000, max_piece: int = 200):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
