@@ -27,7 +27,7 @@ def stratified_rank(spark, d):
 SELECT vid, row_number() OVER w - 1 AS rank,
   CASE WHEN AC = 1 THEN sum(CASE WHEN AC = 1 THEN 1 ELSE 0 END) OVER r - 1 END AS singleton_rank,
   CASE WHEN NOT was_split THEN sum(CASE WHEN NOT was_split THEN 1 ELSE 0 END) OVER r - 1 END AS biallelic_rank
-FROM b WINDOW w AS (PARTITION BY snv ORDER BY score, vid), r AS (PARTITION BY snv ORDER BY score, vid ROWS UNBOUNDED PRECEDING)""".replace("sum(CASE", "sum(CASE"))
+FROM b WINDOW w AS (PARTITION BY snv ORDER BY score, vid), r AS (PARTITION BY snv ORDER BY score, vid ROWS UNBOUNDED PRECEDING)""")
 def subranks(spark, d):
     out = windows.stratified_rank(_scored(spark, d), ["snv"], "score", "vid", {"singleton_rank": F.col("AC") == 1, "biallelic_rank": ~F.col("was_split")})
     return out.select("vid", "rank", "singleton_rank", "biallelic_rank")

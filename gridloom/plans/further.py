@@ -71,9 +71,11 @@ _COUNTS = """(SELECT vid, count(*) FILTER (WHERE n_alt > 0) AS n_nonref, coalesc
   coalesce(sum(n_alt) FILTER (WHERE gq >= 20 AND dp >= 10 AND (n_alt <> 1 OR cast(ad_alt AS double) / dp > 0.2)), 0) AS ac FROM v_entries GROUP BY vid)"""
 
 
-@query(f"""WITH s AS (SELECT vid, ac, was_split, (length(ref) = 1 AND length(alt) = 1 AND alt <> '*' AND ref <> alt) AS snv, FS AS score FROM v_variants JOIN {_COUNTS} USING (vid) WHERE n_nonref > 0)
-SELECT vid, row_number() OVER w - 1 AS rank, CASE WHEN NOT was_split AND ac > 0 THEN cast(sum(CASE WHEN NOT was_split AND ac > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY snv ORDER BY -score, vid ROWS UNBOUNDED PRECEDING) AS BIGINT) - 1 END AS adj_biallelic_rank
-FROM s WINDOW w AS (PARTITION BY snv ORDER BY -score, vid)""".replace('SELECT vid, ac, was_split', 'SELECT vid, c.ac AS ac, was_split').replace(f"v_variants JOIN {_COUNTS} USING (vid)", f"(SELECT vid, ref, alt, was_split, FS FROM v_variants) v JOIN {_COUNTS} c USING (vid)"))
+@query(f"""WITH s AS (SELECT vid, c.ac AS ac, was_split, (length(ref) = 1 AND length(alt) = 1 AND alt <> '*' AND ref <> alt) AS snv, FS AS score
+  FROM (SELECT vid, ref, alt, was_split, FS FROM v_variants) v JOIN {_COUNTS} c USING (vid) WHERE n_nonref > 0)
+SELECT vid, row_number() OVER w - 1 AS rank,
+  CASE WHEN NOT was_split AND ac > 0 THEN cast(sum(CASE WHEN NOT was_split AND ac > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY snv ORDER BY -score, vid ROWS UNBOUNDED PRECEDING) AS BIGINT) - 1 END AS adj_biallelic_rank
+FROM s WINDOW w AS (PARTITION BY snv ORDER BY -score, vid)""")
 def ranked_scores(spark, d):
     sites = view(spark, d, "v_variants").drop("AC").join(scores.site_counts(view(spark, d, "v_entries")), "vid")
     return scores.ranked_scores(sites, "recalibration", "FS").select("vid", "rank", "adj_biallelic_rank")
