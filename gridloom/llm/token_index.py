@@ -120,7 +120,7 @@ def _put(folder: str, name: str, data: bytes) -> None:
         out.write(data)
 
 
-def write_shards(docs: DataFrame, folder: str, tokenizer: str | None = None, shard_ids: int = 16_000_000) -> DataFrame:
+def write_shards(docs: DataFrame, folder: str, tokenizer: str | None = None, shard_ids: int = 16_000_000, cache_entries: int = 900_000) -> DataFrame:
     """Write the ids of every document below folder (any file system pyarrow opens) and return the manifest.
 
     Documents are dealt by ranges of doc_id, so shards ascend with the partition number and each task streams one
@@ -134,7 +134,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str | None = None, sha
     rows = rows.withColumn("part", F.spark_partition_id())
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, files, root = encoder(path), *_open(folder)
+        encode, files, root = encoder(path, cache_entries), *_open(folder)
         width = 2 if max(encode.tokenizer.get_vocab_size(), END_ID + 1) <= 1 << 16 else 4
         files.create_dir(root, recursive=True)
         roll, state, last = 0, None, (object(), -1)
