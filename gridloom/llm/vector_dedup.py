@@ -8,8 +8,13 @@ from the shard's medoid (and from the query's own vertex, as every query is one)
 and then expands each vertex in range until no new one is in range. Similarities are computed in double precision
 when a vertex is visited, so each reported link is verified; recall is audited against brute force on a query set.
 
+Centres follow density, so a dense group gets many of them, and pairs of its members may share none of their nearest.
+Therefore all linked pairs of the sample are looked at before vectors are dealt: centres between which such pairs have
+no shard in common become one shard, until no linked pair of the sample is parted. Shards of more than two blocks have
+no graph: they are cut into blocks of `block` members and each two blocks are compared exactly, in a task of their own.
+
 Equal vectors are one vertex with a multiplicity. A pair that shares several shards is counted in the lowest of them.
-Shards larger than `block` queries are searched in several tasks; a task holds one shard's vectors and lists.
+A task holds the vectors of two blocks at most. Work and rows sent grow with the square of a shard's blocks.
 
 Cases: vectors that are null, of a length other than the most common one, zero, or that hold null or non-finite
 components link with nothing; repeated rows of one vec_id are vectors of their own that share the id; an empty table
@@ -53,8 +58,43 @@ def _matrix(column) -> np.ndarray:
     return np.frombuffer(b"".join(column), "<f8").reshape(len(column), -1)
 
 
-def centres(nodes: DataFrame, n: int, seed: int = 5, rounds: int = 8) -> np.ndarray:
-    """Spherical k-means on the SAMPLE vertices with the lowest hashes; one centre for about SHARD_ROWS vertices."""
+def nearest_shards(x: np.ndarray, c: np.ndarray, shard: np.ndarray, overlap: int) -> np.ndarray:
+    """(rows of x) x overlap: the shards of the nearest centres, nearest first; centre i belongs to shard[i], a centre's number."""
+    own, at = np.unique(shard, return_inverse=True)
+    sims = x @ c.T
+    best = np.full((len(x), len(own)), -np.inf)
+    for i, j in enumerate(at):
+        np.maximum(best[:, j], sims[:, i], out=best[:, j])
+    return own[np.argsort(-best, axis=1, kind="stable")[:, : min(overlap, len(own))]]
+
+
+def joined_centres(x: np.ndarray, c: np.ndarray, radius: float, overlap: int) -> np.ndarray:
+    """The shard of each centre: centres are joined until every pair of rows of x in range has a shard in common."""
+    shard = np.arange(len(c))
+    while True:
+        near = nearest_shards(x, c, shard, overlap)
+        parted = np.zeros((len(c), len(c)), bool)
+        for lo in range(0, len(x), 512):
+            a, b = np.nonzero(x[lo : lo + 512] @ x.T >= radius)
+            a += lo
+            common = _common(near, a, b)
+            parted[near[a[~common], 0], near[b[~common], 0]] = True
+        a, b = np.nonzero(parted)
+        if not len(a):
+            return shard
+        shard = _forest(a, b, len(c))[shard]
+
+
+def _common(near: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(a), bool)
+    for i in range(near.shape[1]):
+        for j in range(near.shape[1]):
+            out |= near[a, i] == near[b, j]
+    return out
+
+
+def centres(nodes: DataFrame, n: int, radius: float, seed: int = 5, rounds: int = 8) -> tuple[np.ndarray, np.ndarray]:
+    """Spherical k-means on the SAMPLE vertices with the lowest hashes, one centre for about SHARD_ROWS vertices, and the shard of each."""
     rows = nodes.orderBy(F.xxhash64("v"), "v").limit(SAMPLE).select("v").collect()
     x = _matrix([r["v"] for r in rows])
     k = int(min(MOST_SHARDS, max(1, -(-n // SHARD_ROWS)), len(x)))
@@ -66,17 +106,17 @@ def centres(nodes: DataFrame, n: int, seed: int = 5, rounds: int = 8) -> np.ndar
             if (near == j).any():
                 m = x[near == j].sum(0)
                 c[j] = m / (np.linalg.norm(m) or 1.0)
-    return c
+    return c, joined_centres(x, c, radius, OVERLAP)
 
 
-def to_shards(nodes: DataFrame, c: np.ndarray, overlap: int = OVERLAP) -> DataFrame:
-    """nodes with the sorted list of their nearest `overlap` centres."""
-    sent, k = nodes.sparkSession.sparkContext.broadcast(c), min(overlap, len(c))  # MOST_SHARDS centres at most
+def to_shards(nodes: DataFrame, c: np.ndarray, shard: np.ndarray, overlap: int = OVERLAP) -> DataFrame:
+    """nodes with the sorted list of their nearest `overlap` shards."""
+    sent = nodes.sparkSession.sparkContext.broadcast((c, shard))  # MOST_SHARDS centres at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                near = np.argsort(-(_matrix(batch["v"].to_pylist()) @ sent.value.T), axis=1, kind="stable")[:, :k]
+                near = nearest_shards(_matrix(batch["v"].to_pylist()), *sent.value, overlap)
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.sort(near, 1).tolist(), pa.list_(pa.int32()))], names=[*batch.schema.names, "shards"])
 
     return nodes.mapInArrow(run, "node long, v binary, copies long, shards array<int>")
@@ -169,6 +209,42 @@ def _forest(a: np.ndarray, b: np.ndarray, m: int) -> np.ndarray:
         label = low
 
 
+def _roots(hit: np.ndarray) -> np.ndarray:
+    """For the rows, then the columns, of a bool matrix: a row that is reachable over its true cells, -1 where a line has none."""
+    n = len(hit)
+    root = np.full(sum(hit.shape), -1, np.int64)
+    for s in np.flatnonzero(hit.any(1)):
+        if root[s] < 0:
+            root[s], rows = s, np.array([s])
+            while len(rows):
+                cols = np.flatnonzero(hit[rows].any(0) & (root[n:] < 0))
+                root[n + cols] = s
+                rows = np.flatnonzero(hit[:, cols].any(1) & (root[:n] < 0))
+                root[rows] = s
+    return root
+
+
+def compared(x: pd.DataFrame, y: pd.DataFrame, same: bool, shard: int, radius: float) -> pd.DataFrame:
+    """(node, found, root) by exact comparison of two blocks of a shard; found counts pairs that share no lower shard."""
+    vx, vy = _matrix(x["v"].tolist()), _matrix(y["v"].tolist())
+    sx, sy = np.stack(x["shards"].to_list()), np.stack(y["shards"].to_list())
+    cx, cy = x["copies"].to_numpy(np.float64), y["copies"].to_numpy(np.float64)
+    hit, row_sums, col_sums = np.zeros((len(vx), len(vy)), bool), np.zeros(len(vx)), np.zeros(len(vy))
+    for lo in range(0, len(vx), 512):
+        part = vx[lo : lo + 512] @ vy.T >= radius
+        if same:
+            part[np.arange(len(part)), np.arange(lo, lo + len(part))] = False
+        hit[lo : lo + 512] = part
+        for s in np.intersect1d(sx[sx < shard], sy[sy < shard]):
+            part &= ~((sx[lo : lo + 512] == s).any(1)[:, None] & (sy == s).any(1)[None, :])
+        row_sums[lo : lo + 512] = part @ cy
+        col_sums += cx[lo : lo + 512] @ part
+    root, ids = _roots(hit), np.concatenate([x["node"].to_numpy(), y["node"].to_numpy()])
+    found = np.concatenate([row_sums, np.zeros(len(vy)) if same else col_sums])
+    use = root >= 0
+    return pd.DataFrame({"node": ids[use], "found": found[use].astype(np.int64), "root": ids[root[use]]})
+
+
 def links(vectors: DataFrame, radius: float = 0.9, block: int = 4096) -> DataFrame:
     """(vec_id, v is usable, n_links, component_id, kept) for every row of vectors."""
     units = cut(unit_vectors(vectors), "units")
@@ -177,8 +253,11 @@ def links(vectors: DataFrame, radius: float = 0.9, block: int = 4096) -> DataFra
     n = nodes.count()
     if not n:
         return units.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    placed = cut(to_shards(nodes.select("node", "v", "copies"), centres(nodes, n)), "placed")
-    members = placed.select("*", F.explode("shards").alias("shard"))
+    placed = cut(to_shards(nodes.select("node", "v", "copies"), *centres(nodes, n, radius)), "placed")
+    every = placed.select("*", F.explode("shards").alias("shard"))
+    sizes = every.groupBy("shard").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))  # MOST_SHARDS rows at most
+    every = every.join(F.broadcast(cut(sizes, "sizes")), "shard")
+    members = every.filter("blocks <= 2")
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("node", ignore_index=True)
@@ -189,8 +268,7 @@ def links(vectors: DataFrame, radius: float = 0.9, block: int = 4096) -> DataFra
 
     graph = members.select("shard", "node", "v").groupBy("shard").applyInPandas(build, "node long, near array<long>")
     united = cut(graph.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "graph")
-    sizes = members.groupBy("shard").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    whole = members.join(united, "node").join(sizes, "shard").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    whole = members.join(united, "node").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("node", ignore_index=True)
@@ -226,7 +304,18 @@ def links(vectors: DataFrame, radius: float = 0.9, block: int = 4096) -> DataFra
         return pd.DataFrame({"node": ids[use], "found": found[use], "root": ids[root[use]]})
 
     found = whole.select("shard", "block", "blocks", "node", "v", "copies", "shards", "near").groupBy("shard", "block").applyInPandas(search, "node long, found long, root long")
-    found = cut(found, "found")
+    dealt = every.filter("blocks > 2").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("shard", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine", "node", "v", "copies", "shards")
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("node", ignore_index=True)
+        shard, low, high = (int(pdf[c].iloc[0]) for c in ("shard", "low", "high"))
+        x, y = pdf[pdf["mine"] == low], pdf[pdf["mine"] == high]
+        return compared(x, y, low == high, shard, radius) if len(x) and len(y) else pd.DataFrame({"node": [], "found": [], "root": []}, dtype=np.int64)
+
+    exact = dealt.groupBy("shard", "low", "high").applyInPandas(compare, "node long, found long, root long")
+    found = cut(found.unionByName(exact), "found")
     counts = found.groupBy("node").agg(F.sum("found").alias("found"))
     labels = components(found.select("node", "root"))
     named = nodes.join(labels, "node", "left").withColumn("c", F.coalesce("component", "node"))

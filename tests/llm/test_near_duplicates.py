@@ -174,3 +174,19 @@ def test_vector_links(spark):
     audit = vector_dedup.audit_recall(d, result).first()
     assert audit["recall"] >= 0.9
     assert vector_dedup.links(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_vector_links_of_a_dense_group(spark, monkeypatch):
+    monkeypatch.setattr(vector_dedup, "SHARD_ROWS", 60)
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(3000, 32))
+    x[:1000] = x[0] + 0.25 * rng.normal(size=(1000, 32))
+    d = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = (u @ u.T >= 0.9).sum(1) - 1
+    for block in (256, 4096):
+        got = {r["vec_id"]: r for r in vector_dedup.links(d, block=block).collect()}
+        have = np.array([got[i]["n_links"] for i in range(3000)])
+        assert (have <= want).all()
+        assert have.sum() >= 0.99 * want.sum(), (block, have.sum() / want.sum())
+        assert {got[i]["component_id"] for i in range(1000)} == {0}
