@@ -190,3 +190,22 @@ def test_vector_links_of_a_dense_group(spark, monkeypatch):
         assert (have <= want).all()
         assert have.sum() >= 0.99 * want.sum(), (block, have.sum() / want.sum())
         assert {got[i]["component_id"] for i in range(1000)} == {0}
+
+
+def test_lines_of_few_shingles(spark):
+    r = random.Random(3)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(6)) + " " * 6  # noqa: E731  (one shingle, whatever follows)
+    families = [[word() for _ in range(5)] for _ in range(250)]
+    texts = [["".join(f)] + ["".join(f[:i] + f[i + 1 :]) for i in range(5)] for f in families]
+    flat = [x for t in texts for x in t]
+    d = spark.createDataFrame(list(enumerate(flat)), "doc_id long, text string")
+    rows = line_dedup.lines(d)
+    minima = {(x["a"], x["b"]): [x[m] for m in line_dedup.MINIMA] for x in line_dedup.signatures(rows).collect()}
+    of = {x["line"]: minima[x["a"], x["b"]] for x in rows.select("line", "a", "b").collect()}
+    bands = lambda x: {(j, *of[x][j : j + line_dedup.ROWS]) for j in range(0, len(of[x]), line_dedup.ROWS)}
+    links = [(t[0], x) for t in texts for x in t[1:] if bands(t[0]) & bands(x)]  # base and member have 4 of 5, two members 3
+    label, first = closure(flat, links), {}
+    for i, x in enumerate(flat):
+        first.setdefault(label[x], i)
+    kept = {x["doc_id"] for x in line_dedup.dedup_lines(d).filter("n_dropped = 0").collect()}
+    assert len(links) > 1200 and kept == set(first.values())
