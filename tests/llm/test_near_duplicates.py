@@ -209,3 +209,14 @@ def test_lines_of_few_shingles(spark):
         first.setdefault(label[x], i)
     kept = {x["doc_id"] for x in line_dedup.dedup_lines(d).filter("n_dropped = 0").collect()}
     assert len(links) > 1200 and kept == set(first.values())
+
+
+def test_lines_without_blanks(spark):
+    r = random.Random(6)
+    data = []
+    for i in range(40):
+        x = "".join(chr(0x4E00 + r.randrange(3000)) if i % 2 else r.choice("abcdefghijklmnopqrstuvwxyz0123456789/=") for _ in range(200))
+        at = r.randrange(5) if i % 4 < 2 else r.randrange(200)
+        data += [(2 * i, x), (2 * i + 1, x[:at] + "#" + x[at:])]
+    got = line_dedup.dedup_lines(spark.createDataFrame(data, "doc_id long, text string"))
+    assert {x["doc_id"]: x["n_dropped"] for x in got.collect()} == {i: i % 2 for i in range(80)}
