@@ -1,14 +1,15 @@
 """Packing documents into sequences of bounded length.
 
 A configuration linear program over the histogram of piece lengths is solved by multiplicative weights: every length
-has a price, the most valuable configuration under the prices is found by an unbounded-knapsack dynamic program, the
-prices of what it covers fall, and the configurations found are then scaled to cover the histogram. The solution is
-rounded down to whole multiplicities and what stays uncovered is packed best-fit decreasing. The program sees only
-the histogram, which has at most `capacity` rows whatever the corpus; the pieces themselves are numbered within their
-length on Spark and look their place up in the plan.
-
-Cases: null text counts as empty (one end id); documents with an equal doc_id are told apart by their text and are
-packed each; an empty table gives no rows.
+has a price, a knapsack dynamic program finds the dearest configurations under the prices, and the prices of what they
+cover fall, until all of the histogram is covered. The solution is rounded down to whole multiplicities and what this
+leaves is packed best-fit decreasing. The program sees only the histogram, which has at most `capacity` rows whatever
+the corpus; the pieces themselves are numbered within their length on Spark, the pieces of a frequent length in many
+blocks, and look their place up in the plan.
+
+Cases: null text counts as empty (one end id); very long texts are encoded whole and cut into as many pieces as they
+need; documents with an equal doc_id are told apart by their text and are packed each, repeated rows too; columns other
+than doc_id and text are not read, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -26,38 +27,40 @@ from pyspark.sql import Window as W
 from gridloom.llm.bpe import END_ID, default_tokenizer, encoder
 from gridloom.llm.common import cut, text_batches, text_or_empty
 
-PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, block int, tie long"
+PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, tie long"
+#: Pieces of one length that a task numbers; frequent lengths are dealt over as many blocks as that takes.
+BLOCK_ROWS = 50_000
 
 
-def cut_pieces(docs: DataFrame, capacity: int = 1024, tokenizer: str | None = None, blocks: int = 64) -> DataFrame:
+def cut_pieces(docs: DataFrame, capacity: int = 1024, tokenizer: str | None = None) -> DataFrame:
     """One row per piece: ids by the tokenizer, end id appended, longer documents cut so that only the first piece is short."""
     path, spark = tokenizer or default_tokenizer(), docs.sparkSession
     text_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    rows = rows.withColumn("tie", F.xxhash64("text")).withColumn("block", F.pmod(F.xxhash64("doc_id", "tie"), F.lit(blocks)).cast("int"))
+    rows = rows.withColumn("tie", F.xxhash64("text"))
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = encoder(path), struct.pack("<I", END_ID)
         for batch in batches:
-            d, out = batch.to_pydict(), [[] for _ in range(7)]
-            for doc, block, tie, ids in zip(d["doc_id"], d["block"], d["tie"], encode.encode_many(d["text"])):
+            d, out = batch.to_pydict(), [[] for _ in range(6)]
+            for doc, tie, ids in zip(d["doc_id"], d["tie"], encode.encode_many(d["text"])):
                 ids += end
                 n = len(ids) // 4
                 bounds = [0, *range((n - 1) % capacity + 1, n + 1, capacity)]
                 for k, (a, b) in enumerate(zip(bounds, bounds[1:])):
-                    for column, v in zip(out, (doc, k, a, b - a, zlib.crc32(ids[4 * a : 4 * b]), block, tie)):
+                    for column, v in zip(out, (doc, k, a, b - a, zlib.crc32(ids[4 * a : 4 * b]), tie)):
                         column.append(v)
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(out, kinds)], names=["doc_id", "piece", "start", "length", "ids_crc32", "block", "tie"])
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(out, kinds)], names=["doc_id", "piece", "start", "length", "ids_crc32", "tie"])
 
     return rows.mapInArrow(pieces, PIECES)
 
 
-def best_configuration(lengths: np.ndarray, prices: np.ndarray, capacity: int, at_most: np.ndarray) -> np.ndarray:
-    """Counts per length of a configuration of highest total price that fits: knapsack by dynamic program.
+def knapsack(lengths: np.ndarray, prices: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """(highest total price that fits, piece that reaches it) for every room from 0 to capacity; -1 where a smaller room does as well.
 
-    lengths descend, so that of equal values the one with longer pieces wins. at_most bounds each count when the
-    winner is read off; the program itself is the unbounded knapsack, O(capacity * lengths).
+    The unbounded knapsack by dynamic program, O(capacity * lengths); lengths descend, so of equal values the one with
+    longer pieces wins.
     """
     value, choice = np.zeros(capacity + 1), np.full(capacity + 1, -1)
     first = len(lengths) - np.searchsorted(lengths[::-1], np.arange(capacity + 1), side="right")
@@ -69,70 +72,85 @@ def best_configuration(lengths: np.ndarray, prices: np.ndarray, capacity: int, a
             j = int(total.argmax())
             if total[j] > value[c] + 1e-12:
                 value[c], choice[c] = total[j], k + j
-    counts, c = np.zeros(len(lengths), np.int64), capacity
-    while c > 0:
-        if choice[c] < 0:
-            c -= 1
-        else:
-            j = choice[c]
-            if counts[j] < at_most[j]:
-                counts[j] += 1
-            c -= lengths[j]
-    return counts
-
-
-def solve(lengths: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = 1200, step: float = 0.5) -> tuple[np.ndarray, np.ndarray]:
-    """(configurations, fractional multiplicities) for the covering program min sum x, config @ x >= demand.
-
-    Each round takes the best configuration under the prices, adds `step` of what would cover its tightest length,
-    and multiplies the price of each length by exp(-share of its demand covered by the round); lengths that are
-    covered drop out. Prices begin at the lengths, the dual solution of the bound sum(length) / capacity.
+    return value, choice
+
+
+def priced_configurations(lengths: np.ndarray, prices: np.ndarray, rest: np.ndarray, capacity: int, within: float) -> list[tuple[float, np.ndarray, np.ndarray]]:
+    """(total price, lengths used, their counts) of the best configurations with each open length, dearest first.
+
+    One dynamic program prices them all; those that lie `within` the dearest are returned. Counts above what is left of a
+    length are cut down, which only lowers the price.
     """
-    cover, prices = np.zeros(len(lengths)), lengths / capacity
-    found: dict[bytes, float] = {}
-    for _ in range(rounds):
-        open_ = cover < 1 - 1e-9
-        if not open_.any():
+    value, choice = knapsack(lengths, prices, capacity)
+    at = np.maximum.accumulate(np.where(choice >= 0, np.arange(capacity + 1), 0))
+    total, most = np.where(rest > 0, prices + value[capacity - lengths], -1.0), np.ceil(rest - 1e-9)
+    out, best = [], 0.0
+    for i in np.argsort(-total, kind="stable"):
+        if total[i] < (1 - within) * best or total[i] < 0:
             break
-        at_most = np.where(open_, np.ceil(demand * (1 - cover)), 0).astype(np.int64)
-        config = best_configuration(lengths, np.where(open_, prices, 0.0), capacity, at_most)
-        used = config > 0
-        rest = demand[used] * (1 - cover[used]) / config[used]
-        amount = float(max(step * rest.min(), min(1.0, rest.min())))
-        found[config.tobytes()] = found.get(config.tobytes(), 0.0) + amount
-        share = config * amount / demand
-        cover += share
-        prices = prices * np.exp(-share)
-    return np.array([np.frombuffer(k, np.int64) for k in found]).reshape(-1, len(lengths)), np.array(list(found.values()))
-
-
-def plan(lengths: list[int], demand: list[int], capacity: int = 1024, rounds: int = 1200) -> list[tuple[tuple[int, ...], int]]:
+        counts, c = {int(i): 1}, int(at[capacity - lengths[i]])
+        while choice[c] >= 0:
+            j = int(choice[c])
+            counts[j] = counts.get(j, 0) + 1
+            c = int(at[c - lengths[j]])
+        used = np.fromiter(counts, np.int64, len(counts))
+        n = np.minimum(np.fromiter(counts.values(), np.int64, len(counts)), most[used]).astype(np.int64)
+        price = float(prices[used] @ n)
+        best = max(best, price)
+        out.append((price, used[n > 0], n[n > 0]))
+    return sorted((x for x in out if x[0] >= (1 - within) * best), key=lambda x: -x[0])
+
+
+def solve(lengths: np.ndarray, demand: np.ndarray, capacity: int, within: float = 0.01, step: float = 0.3, rate: float = 0.1, bias: float = 0.2) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray, float]:
+    """(configurations, fractional multiplicities, lower bound) for the program min sum x, config @ x >= demand.
+
+    Multiplicative weights: the price of a length is (length / capacity)^(1 + bias), times exp(-rate * covered share of
+    its demand), and none once it is covered. Each round prices the configurations by the knapsack program and takes all
+    that lie `within` the dearest one, each as often as leaves no length covered by more than `step` of its demand
+    (or one piece) in the round. The bias lets long pieces, which are hard to place, be covered while short ones are left.
+    It ends when all demand is covered. The bound is sum(length * demand) / capacity: prices of length / capacity are
+    feasible in the dual program.
+    """
+    demand = demand.astype(np.float64)
+    rest, base = demand.copy(), (lengths / capacity) ** (1 + bias)
+    found: dict[tuple[bytes, bytes], float] = {}
+    while (rest > 0).any():
+        prices = np.where(rest > 0, base * np.exp(-rate * (1 - rest / demand)), 0.0)
+        room = np.minimum(rest, np.maximum(step * demand, 1.0))
+        for k, (_, used, counts) in enumerate(priced_configurations(lengths, prices, rest, capacity, within)):
+            one = min(1.0, float((rest[used] / counts).min()))
+            times = max(float((room[used] / counts).min()), one if k == 0 else 0.0)
+            if times < one - 1e-9:
+                continue
+            key = (used.tobytes(), counts.tobytes())
+            found[key] = found.get(key, 0.0) + times
+            rest[used] -= counts * times
+            room[used] -= counts * times
+        rest[rest < 1e-9] = 0.0
+    configs = [(np.frombuffer(u, np.int64), np.frombuffer(n, np.int64)) for u, n in found]
+    return configs, np.array(list(found.values())), float(lengths @ demand) / capacity
+
+
+def plan(lengths: list[int], demand: list[int], capacity: int = 1024) -> list[tuple[tuple[int, ...], int]]:
     """[(lengths of a sequence in order, how many such sequences)]: covers exactly the demand.
 
-    The rounding keeps whole multiples of the program's configurations that waste at most w and packs the rest
-    best-fit decreasing; of w = 0, 1, 4, ... (and of keeping none) the one with the fewest sequences is returned.
+    The program's multiplicities are rounded down; the pieces that this leaves, at most one sequence's worth for each
+    configuration, are packed best-fit decreasing and come last.
     """
     order = np.argsort(lengths)[::-1]
     size, left = np.array(lengths, np.int64)[order], np.array(demand, np.int64)[order]
-    full: list[tuple[tuple[int, ...], int]] = []
-    if (size == capacity).any():
-        full, size, left = [((capacity,), int(left[0]))], size[1:], left[1:]
+    chosen: list[tuple[tuple[int, ...], int]] = []
+    if len(size) and size[0] == capacity:
+        chosen, size, left = [((capacity,), int(left[0]))], size[1:], left[1:]
     if not len(size):
-        return full
-    configs, x = solve(size, left.astype(float), capacity, rounds)
-    waste, best = capacity - configs @ size, None
-    for most in (0, 1, 4, 16, 64, -1):
-        out, rest = [], left.copy()
-        for k in np.lexsort((-x, waste)):
-            config, used = configs[k], configs[k] > 0
-            times = int(min(np.floor(x[k] + 1e-9), (rest[used] // config[used]).min())) if waste[k] <= most else 0
-            if times > 0:
-                rest -= config * times
-                out.append((tuple(int(s) for s, c in zip(size, config) for _ in range(c)), times))
-        out += best_fit(size, rest, capacity)
-        if best is None or sum(t for _, t in out) < sum(t for _, t in best):
-            best = out
-    return full + best
+        return chosen
+    configs, x, _ = solve(size, left, capacity)
+    for (used, counts), times in zip(configs, np.floor(x + 1e-9).astype(np.int64)):
+        times = min(int(times), int((left[used] // counts).min()))
+        if times > 0:
+            left[used] -= counts * times
+            chosen.append((tuple(int(size[j]) for j, c in sorted(zip(used, counts)) for _ in range(c)), times))
+    return chosen + best_fit(size, left, capacity)
 
 
 def best_fit(size: np.ndarray, left: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
@@ -167,12 +185,15 @@ def place_table(chosen: list[tuple[tuple[int, ...], int]]) -> dict[int, tuple[np
     return {k: tuple(np.array(c, np.int64) for c in zip(*v)) for k, v in rows.items()}
 
 
-def pack(docs: DataFrame, capacity: int = 1024, tokenizer: str | None = None, rounds: int = 1200, blocks: int = 64) -> DataFrame:
+def pack(docs: DataFrame, capacity: int = 1024, tokenizer: str | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Every piece with its sequence_id and offset. The histogram (at most `capacity` rows) is all that the driver sees."""
-    pieces = cut(cut_pieces(docs, capacity, tokenizer, blocks), "pieces")
+    pieces = cut(cut_pieces(docs, capacity, tokenizer), "pieces")
+    hist = pieces.groupBy("length").agg(F.count("*").alias("n")).orderBy("length").collect()
+    places = place_table(plan([r[0] for r in hist], [r[1] for r in hist], capacity)) if hist else {}
+    blocks = docs.sparkSession.createDataFrame([(r[0], -(-r[1] // block_rows)) for r in hist], "length long, blocks long")
+    pieces = pieces.join(F.broadcast(blocks), "length")  # `capacity` rows at most
+    pieces = pieces.withColumn("block", F.pmod(F.xxhash64("doc_id", "tie", "piece"), F.col("blocks")))
     counts = pieces.groupBy("length", "block").count()
-    hist = counts.groupBy("length").agg(F.sum("count").alias("n")).orderBy("length").collect()
-    places = place_table(plan([r[0] for r in hist], [r[1] for r in hist], capacity, rounds)) if hist else {}
     base = counts.select("length", "block", (F.sum("count").over(W.partitionBy("length").orderBy("block")) - F.col("count")).alias("base"))
     own = W.partitionBy("length", "block").orderBy(F.col("doc_id").asc_nulls_first(), "tie", "piece", "start")
     ranked = pieces.withColumn("within", F.row_number().over(own) - 1).join(base, ["length", "block"])

@@ -74,7 +74,7 @@ def test_packing(spark, exact):
         n, k = len(ids), -(-len(ids) // 64)
         cuts = [0, *range(n - 64 * (k - 1), n + 1, 64)]
         want += [(r[0], zlib.crc32(struct.pack(f"<{b - a}I", *ids[a:b])), a, b - a) for a, b in zip(cuts, cuts[1:])]
-    p = packing.pack(docs(spark), 64, rounds=300).collect()
+    p = packing.pack(docs(spark), 64, block_rows=3).collect()
     at = _check_packing(p, want)
     assert max(at.values()) <= 64
     assert len(at) <= 1.03 * sum(w[3] for w in want) / 64 + 2
@@ -84,13 +84,39 @@ def test_plan_covers_demand_near_the_bound():
     rng = np.random.default_rng(0)
     lengths = list(range(1, 257))
     demand = rng.integers(0, 40, 256) + 1
-    chosen = packing.plan(lengths, demand.tolist(), 256, 300)
+    chosen = packing.plan(lengths, demand.tolist(), 256)
     assert all(sum(c) <= 256 for c, _ in chosen)
     for length, n in zip(lengths, demand):
         assert sum(c.count(length) * t for c, t in chosen) == n
     assert sum(t for _, t in chosen) <= 1.02 * (np.array(lengths) @ demand) / 256 + 1
 
 
+@pytest.mark.parametrize(("n", "most"), [(1_000, 0.015), (10_000, 0.006)])
+def test_program_carries_the_result(n, most):
+    """Demands like those of short documents: the program covers them near its bound and best-fit alone is not better."""
+    rng = np.random.default_rng(3)
+    size, demand = np.unique(np.clip(rng.lognormal(5.9, 0.8, n).astype(int), 4, 1023), return_counts=True)
+    size, demand = size[::-1], demand[::-1]
+    configs, x, bound = packing.solve(size, demand, 1024)
+    covered = np.zeros(len(size))
+    for (used, counts), times in zip(configs, x):
+        assert size[used] @ counts <= 1024
+        covered[used] += counts * times
+    assert (covered >= demand - 1e-6).all() and bound <= x.sum() <= (1 + most) * bound
+    total = sum(t for _, t in packing.plan(size.tolist(), demand.tolist()))
+    assert np.floor(x + 1e-9).sum() > 0.5 * total
+    assert total <= sum(t for _, t in packing.best_fit(size, demand, 1024))
+
+
+def test_priced_configuration_is_the_best():
+    size, prices = np.array([9, 7, 5, 4]), np.array([0.95, 0.7, 0.58, 0.4])
+    best = max(np.dot(c, prices) for c in np.ndindex(3, 4, 5, 6) if np.dot(c, size) <= 20)
+    price, used, counts = packing.priced_configurations(size, prices, np.full(4, 50.0), 20, 0.01)[0]
+    assert price == pytest.approx(best) and size[used] @ counts <= 20
+    value, _ = packing.knapsack(size, prices, 20)
+    assert value[20] == pytest.approx(best)
+
+
 def test_empty(spark):
     e = docs(spark, [])
     assert packing.pack(e).count() == 0
