@@ -134,23 +134,33 @@ def solve(lengths: np.ndarray, demand: np.ndarray, capacity: int, within: float
 def plan(lengths: list[int], demand: list[int], capacity: int = 1024) -> list[tuple[tuple[int, ...], int]]:
     """[(lengths of a sequence in order, how many such sequences)]: covers exactly the demand.
 
-    The program's multiplicities are rounded down; the pieces that this leaves, at most one sequence's worth for each
-    configuration, are packed best-fit decreasing and come last.
+    The program's multiplicities are rounded down and the pieces that this leaves are packed best-fit decreasing. The
+    configurations taken last, when little was left to choose from, waste most and may be left to best-fit too: of the
+    roundings that keep those with at most so much waste, as long as they are the greater part, the one with the fewest
+    sequences is used.
     """
     order = np.argsort(lengths)[::-1]
-    size, left = np.array(lengths, np.int64)[order], np.array(demand, np.int64)[order]
-    chosen: list[tuple[tuple[int, ...], int]] = []
+    size, demand_ = np.array(lengths, np.int64)[order], np.array(demand, np.int64)[order]
+    full: list[tuple[tuple[int, ...], int]] = []
     if len(size) and size[0] == capacity:
-        chosen, size, left = [((capacity,), int(left[0]))], size[1:], left[1:]
+        full, size, demand_ = [((capacity,), int(demand_[0]))], size[1:], demand_[1:]
     if not len(size):
-        return chosen
-    configs, x, _ = solve(size, left, capacity)
-    for (used, counts), times in zip(configs, np.floor(x + 1e-9).astype(np.int64)):
-        times = min(int(times), int((left[used] // counts).min()))
-        if times > 0:
-            left[used] -= counts * times
-            chosen.append((tuple(int(size[j]) for j, c in sorted(zip(used, counts)) for _ in range(c)), times))
-    return chosen + best_fit(size, left, capacity)
+        return full
+    configs, x, _ = solve(size, demand_, capacity)
+    whole = [(u, n, int(t), capacity - int(size[u] @ n)) for (u, n), t in zip(configs, np.floor(x + 1e-9)) if t >= 1]
+    best: list[tuple[tuple[int, ...], int]] | None = None
+    for most in (capacity, 64, 16, 4, 1, 0):
+        left, out = demand_.copy(), []
+        for used, counts, times, waste in whole:
+            times = min(times, int((left[used] // counts).min())) if waste <= most else 0
+            if times > 0:
+                left[used] -= counts * times
+                out.append((tuple(int(size[j]) for j, c in sorted(zip(used, counts)) for _ in range(c)), times))
+        kept = sum(t for _, t in out)
+        out += best_fit(size, left, capacity)
+        if best is None or sum(t for _, t in out) < min(2 * kept, sum(t for _, t in best)):
+            best = out
+    return full + best
 
 
 def best_fit(size: np.ndarray, left: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
