@@ -37,9 +37,15 @@ def counter(df: DataFrame, keys: list[str], x: str, name: str = "counts") -> Dat
 
 
 def median_mad(df: DataFrame, keys: list[str], x: str) -> DataFrame:
-    """Median, and 1.4826 times the median absolute deviation, per key; two passes."""
-    med = df.groupBy(*keys).agg(F.median(x).alias("med"))
-    return df.join(med, keys).groupBy(*keys).agg(F.first("med").alias("med"), (F.lit(1.4826) * F.median(F.abs(F.col(x) - F.col("med")))).alias("mad"))
+    """Median, and 1.4826 times the median absolute deviation, per key; values are counted first, so no task holds a key's rows."""
+    from gridloom.operators.windows import exact_quantiles
+
+    names = [F.col(k).alias(f"__m_{k}") for k in keys]
+    same = [F.col(k).eqNullSafe(F.col(f"__m_{k}")) for k in keys]
+    med = exact_quantiles(df, keys, x, [0.5]).select(*names, F.col("value").alias("med"))
+    apart = df.join(med, same).withColumn("__apart", F.abs(F.col(x) - F.col("med")))
+    mad = exact_quantiles(apart, keys, "__apart", [0.5]).select(*keys, (F.lit(1.4826) * F.col("value")).alias("mad"))
+    return mad.join(med, same).select(*keys, "med", "mad")
 
 
 def stats(x: str) -> dict[str, Column]:

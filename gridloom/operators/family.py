@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.operators.aggregates import call_stats
+
 
 def _g() -> tuple[Column, Column, Column]:
     return F.col("child_n_alt"), F.col("father_n_alt"), F.col("mother_n_alt")
@@ -74,6 +76,26 @@ def singletons(trio: DataFrame, ac: DataFrame) -> DataFrame:
     return d.groupBy("vid").agg(F.count_if((F.col("AC") == 2) & (c > 0) & parent).alias("n_transmitted"), F.count_if((F.col("AC") == 1) & (c == 0) & parent).alias("n_untransmitted"))
 
 
+def unrelated_call_stats(entries: DataFrame, fam: DataFrame) -> DataFrame:
+    """Per site: allele counts among samples that are nobody's child in the pedigree (founders and samples outside it)."""
+    founders = entries.join(fam.select(F.col("proband").alias("sid")), "sid", "left_anti")
+    return founders.groupBy("vid").agg(*[v.alias(f"unrelated_{k}") for k, v in call_stats().items()])
+
+
+def singleton_totals(trio: DataFrame, ac: DataFrame, synonymous: DataFrame | None = None, most_ac: int = 2) -> DataFrame:
+    """One row: (site, trio) totals of transmitted and untransmitted singletons and their ratio.
+
+    Sites have at most most_ac copies in the cohort and, where given, are among the synonymous ones (vid).
+    """
+    few = ac.filter(F.col("AC").between(1, most_ac))
+    if synonymous is not None:
+        few = few.join(synonymous.select("vid"), "vid", "left_semi")
+    s = singletons(trio, few)
+    t, u = F.coalesce(F.sum("n_transmitted"), F.lit(0)), F.coalesce(F.sum("n_untransmitted"), F.lit(0))
+    d = s.agg(F.count("*").alias("n_sites"), t.cast("long").alias("n_transmitted"), u.cast("long").alias("n_untransmitted"))
+    return d.withColumn("ratio", F.try_divide(F.col("n_transmitted").cast("double"), F.col("n_untransmitted").cast("double")))
+
+
 def de_novo(trio: DataFrame, prior_af: DataFrame, min_prior: float = 100 / 30_000_000, mutation: float = 1 / 30_000_000) -> DataFrame:
     """Posterior of a de novo call for sites where the child is het and both parents hom-ref (Samocha et al. 2014).
 

@@ -59,22 +59,67 @@ def interval_flag(points: DataFrame, regions: DataFrame, name: str, key: list[st
     return points.join(hits, key, "left").withColumn(name, F.coalesce(name, F.lit(False)))
 
 
-def first_contained(left: DataFrame, right: DataFrame, text: str, part: str, order: str) -> DataFrame:
-    """For each left row the first right row, in order, whose part is contained in the text; rows without one are dropped."""
-    hit = left.join(right, F.col(text).contains(F.col(part)))
+def first_contained(left: DataFrame, right: DataFrame, text: str, part: str, order: str, most_gram: int = 8) -> DataFrame:
+    """For each left row the first right row, in order, whose part is contained in the text; rows without one are dropped.
+
+    A part is contained only where its first k characters are, k being the length of the shortest part (most_gram at
+    most): texts are laid out over their distinct runs of k characters and joined on them by equality, whatever the size
+    of either side. Of empty parts, which every text contains, only the first in order matters.
+    """
+    r = right.filter(F.col(part).isNotNull())
+    k = r.filter(F.length(part) > 0).agg(F.min(F.length(part))).first()[0]
+    k = min(most_gram, k or 1)
+    t = left.withColumn("__grams", F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - k + 1, F.lit(1))), lambda i: F.substring(F.col(text), i, F.lit(k)))))
+    t = t.withColumn("__gram", F.explode("__grams")).drop("__grams")
     best = F.min(F.struct(F.col(order), *[F.col(c) for c in right.columns if c != order])).alias("__best")
+    hit = t.join(r.filter(F.length(part) > 0).withColumn("__key", F.substring(part, 1, k)), (F.col("__gram") == F.col("__key")) & F.col(text).contains(F.col(part)))
+    hit = hit.select(*left.columns, *right.columns)
+    empty = r.filter(F.length(part) == 0).orderBy(order, *[c for c in right.columns if c != order]).limit(1)
+    hit = hit.unionByName(left.filter(F.col(text).isNotNull()).crossJoin(F.broadcast(empty)).select(*left.columns, *right.columns))
     return hit.groupBy(*left.columns).agg(best).select(*left.columns, *[F.col(f"__best.{c}").alias(c) for c in right.columns])
 
 
-def precedence(base: DataFrame, sources: list[tuple[DataFrame, str]], key: str, label: str) -> DataFrame:
-    """label of base, overwritten by each source in turn (the later wins) where it has the key."""
+def precedence(base: DataFrame, sources: list[tuple[DataFrame, str]], key: str, label: str, unless: str | None = None) -> DataFrame:
+    """label of base, overwritten by each source in turn (the later wins) where it has the key.
+
+    unless: text that marks a label as final; a label that holds it (in any case) is not overwritten.
+    """
     out = base
     for i, (t, name) in enumerate(sources):
         one = t.groupBy(key).agg(F.min(name).alias(f"__l{i}"))
-        out = out.join(one, key, "left").withColumn(label, F.coalesce(f"__l{i}", label)).drop(f"__l{i}")
+        new = F.col(f"__l{i}")
+        if unless is not None:
+            new = F.when(F.coalesce(F.lower(label).contains(unless.lower()), F.lit(False)), F.col(label)).otherwise(new)
+        out = out.join(one, key, "left").withColumn(label, F.coalesce(new, F.col(label))).drop(f"__l{i}")
     return out
 
 
+def intersect_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Distinct keys that both sides have; missing keys are equal to each other."""
+    return left.select(*keys).intersect(right.select(*keys))
+
+
+def except_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Distinct keys of the left side that the right side lacks."""
+    return left.select(*keys).subtract(right.select(*keys))
+
+
+def annotate_many(left: DataFrame, tables: dict[str, DataFrame], keys: list[str]) -> DataFrame:
+    """left with a struct per table: its row of the key, or missing; each table is made unique by key first."""
+    for name, t in tables.items():
+        rest = [c for c in t.columns if c not in keys]
+        one = distinct_by_key(t, keys, [F.col(c) for c in rest] or [F.lit(1)])
+        left = left.join(one.select(*keys, F.struct(*rest).alias(name)), keys, "left")
+    return left
+
+
+def rank_pairs(pairs: DataFrame, ranks: DataFrame, node: str = "sid", rank: str = "rank") -> DataFrame:
+    """pairs (i, j, ...) with the ranks of both ends (rank_i, rank_j), missing where a node has none."""
+    for end in ("i", "j"):
+        pairs = pairs.join(ranks.select(F.col(node).alias(end), F.col(rank).alias(f"rank_{end}")), end, "left")
+    return pairs
+
+
 def trios(entries: DataFrame, fam: DataFrame, fields: list[str] = ["n_alt"]) -> DataFrame:  # noqa: B006
     """One row per (site, complete trio) with child_, father_ and mother_ fields.
 

@@ -11,13 +11,19 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloom.operators.windows import exact_quantiles
+
 
 def median_impute(df: DataFrame, features: list[str], by: list[str]) -> DataFrame:
-    """Missing features filled with the median of their group; feature_imputed tells which were."""
-    med = df.groupBy(*by).agg(*[F.median(f).alias(f"__med_{f}") for f in features])
-    d = df.join(med, by)
-    d = d.withColumn("feature_imputed", F.struct(*[F.col(f).isNull().alias(f) for f in features]))
-    return d.withColumns({f: F.coalesce(f, f"__med_{f}") for f in features}).drop(*[f"__med_{f}" for f in features])
+    """Missing features filled with the median of their group; feature_imputed tells which were.
+
+    Medians are exact and found from counts per value, one feature after the other; the table of medians has a row a group.
+    """
+    d = df.withColumn("feature_imputed", F.struct(*[F.col(f).isNull().alias(f) for f in features]))
+    for f in features:
+        med = exact_quantiles(df, by, f, [0.5]).select(*[F.col(k).alias(f"__m_{k}") for k in by], F.col("value").alias("__med"))
+        d = d.join(med, [F.col(k).eqNullSafe(F.col(f"__m_{k}")) for k in by], "left").withColumn(f, F.coalesce(f, "__med")).drop("__med", *[f"__m_{k}" for k in by])
+    return d
 
 
 def training_labels(df: DataFrame, truth: list[str], fails: str, test: Column | None = None) -> DataFrame:
@@ -91,11 +97,25 @@ def cutoff_from_bins(bins: DataFrame, bin_id: str, snv_bin: int, indel_bin: int)
     return r["s"], r["i"]
 
 
-def final_filters(df: DataFrame, snv_cut: float, indel_cut: float, inbreeding_cut: float = -0.3) -> DataFrame:
-    """filters: the sorted names of RF, InbreedingCoeff, AC0 and MonoAllelic that apply; missing inbreeding does not fail."""
-    rf = F.when(F.col("is_snv"), F.col("rf_probability") < snv_cut).otherwise(F.col("rf_probability") < indel_cut)
+def final_filters(df: DataFrame, snv_cut: float, indel_cut: float, inbreeding_cut: float = -0.3, imputed: dict[str, str] | None = None) -> DataFrame:
+    """filters: the sorted names of RF, InbreedingCoeff, AC0 and MonoAllelic that apply; missing inbreeding does not fail.
+
+    A missing probability is an error: every site must have been scored. Features that had been filled in (imputed:
+    feature -> name of its flag within feature_imputed) are missing again; singleton tells sites with one raw copy,
+    where the column ac_raw is there.
+    """
+    p = F.when(F.col("rf_probability").isNull(), F.raise_error(F.lit("a site has no probability")).cast("double")).otherwise(F.col("rf_probability"))
+    rf = F.when(F.col("is_snv"), p < snv_cut).otherwise(p < indel_cut)
     tests = {"RF": rf, "InbreedingCoeff": F.coalesce(F.col("inbreeding") < inbreeding_cut, F.lit(False)), "AC0": F.col("ac_adj") == 0, "MonoAllelic": F.col("af_raw").isin(0.0, 1.0)}
-    return df.withColumn("filters", F.array_sort(F.array_compact(F.array(*[F.when(p, F.lit(n)) for n, p in tests.items()]))))
+    out = df.withColumn("filters", F.array_sort(F.array_compact(F.array(*[F.when(t, F.lit(n)) for n, t in tests.items()]))))
+    if imputed:
+        out = out.withColumns({f: F.when(~F.col(f"feature_imputed.{flag}"), F.col(f)) for f, flag in imputed.items()})
+    return out.withColumn("singleton", F.col("ac_raw") == 1) if "ac_raw" in df.columns else out
+
+
+def prediction_summary(df: DataFrame) -> DataFrame:
+    """Counts by tp, fp, train, label and prediction of a scored table."""
+    return df.groupBy("tp", "fp", "train", "label", "predicted").agg(F.count("*").alias("n"))
 
 
 def pass_by_bin(df: DataFrame, snv_bin: int, indel_bin: int) -> DataFrame:

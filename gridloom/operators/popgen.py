@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 
 from gridloom.functions.expr import is_adj, min_rep
 from gridloom.operators.aggregates import call_stats
-from gridloom.operators.windows import downsample_index
+from gridloom.operators.windows import downsample_index, running_counts
 from gridloom.session import with_checkpoints
 
 
@@ -167,7 +167,8 @@ def ld_prune(entries: DataFrame, sites: DataFrame, r2: float = 0.2, window: int
 
 def ks_statistic(df: DataFrame, group: str, a: str, b: str, x: str) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov statistic: the largest gap between the two empirical distributions, ties taken together."""
-    counts = df.filter(F.col(group).isin(a, b) & F.col(x).isNotNull()).groupBy(x).agg(F.count_if(F.col(group) == a).alias("na"), F.count_if(F.col(group) == b).alias("nb"))
-    run, every = W.orderBy(x), W.partitionBy()
-    gap = F.abs(F.try_divide(F.sum("na").over(run).cast("double"), F.sum("na").over(every).cast("double")) - F.try_divide(F.sum("nb").over(run).cast("double"), F.sum("nb").over(every).cast("double")))
-    return counts.select(gap.alias("gap")).agg(F.max("gap").alias("statistic"))
+    two = df.filter(F.col(group).isin(a, b))
+    c = running_counts(two, [], x, {"na": F.count_if(F.col(group) == a), "nb": F.count_if(F.col(group) == b)})
+    total = two.filter(F.col(x).isNotNull()).agg(F.count_if(F.col(group) == a).cast("double").alias("ta"), F.count_if(F.col(group) == b).cast("double").alias("tb"))
+    gap = F.abs(F.try_divide(F.col("na_before") + F.col("na"), "ta") - F.try_divide(F.col("nb_before") + F.col("nb"), "tb"))
+    return c.crossJoin(F.broadcast(total)).select(gap.alias("gap")).agg(F.max("gap").alias("statistic"))

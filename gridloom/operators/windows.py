@@ -39,11 +39,47 @@ def rank_bin(rank: Column, n: Column, n_bins: int) -> Column:
     return F.ceil((rank + 1) / F.greatest(F.lit(1), F.floor(n / n_bins))).cast("int")
 
 
+def running_counts(df: DataFrame, keys: list[str], x: str, counts: dict[str, Column], pieces: int = 64) -> DataFrame:
+    """One row per (keys, x), x not missing: each count, and under <name>_before its sum over the smaller x of the key.
+
+    Rows are counted per value first; the values fall into pieces between approximate quantiles, whose counts are summed
+    up, and running sums within a piece do the rest, so no task holds all values of a key.
+    """
+    c = df.filter(F.col(x).isNotNull()).groupBy(*keys, x).agg(*[v.alias(k) for k, v in counts.items()])
+    cuts = c.agg(F.percentile_approx(F.col(x).cast("double"), [i / pieces for i in range(1, pieces)], 10_000)).first()[0] or []
+    c = c.withColumn("__piece", binary_search(F.array(*[F.lit(float(v)) for v in sorted(set(cuts))]).cast("array<double>"), F.col(x).cast("double")))
+    per = c.groupBy(*keys, "__piece").agg(*[F.sum(k).alias(f"__n_{k}") for k in counts])
+    up = W.partitionBy(*keys).orderBy("__piece").rowsBetween(W.unboundedPreceding, -1)
+    base = per.select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.col("__piece").alias("__at"), *[F.coalesce(F.sum(f"__n_{k}").over(up), F.lit(0)).alias(f"__b_{k}") for k in counts])
+    inside = W.partitionBy(*keys, "__piece").orderBy(x).rowsBetween(W.unboundedPreceding, -1)
+    c = c.withColumns({f"__i_{k}": F.coalesce(F.sum(k).over(inside), F.lit(0)) for k in counts})
+    on = [F.col("__piece") == F.col("__at"), *[F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys]]
+    return c.join(base, on).select(*keys, x, *counts, *[(F.col(f"__i_{k}") + F.col(f"__b_{k}")).alias(f"{k}_before") for k in counts])
+
+
+def exact_quantiles(df: DataFrame, keys: list[str], x: str, q: list[float]) -> DataFrame:
+    """(keys, i, value): the exact quantiles of x per key, interpolated between neighbours; i is the place in q."""
+    c = running_counts(df, keys, x, {"__c": F.count("*")})
+    n = df.filter(F.col(x).isNotNull()).groupBy(*[F.col(k).alias(f"__t_{k}") for k in keys]).agg(F.count("*").alias("__total"))
+    c = c.join(n, [F.col(k).eqNullSafe(F.col(f"__t_{k}")) for k in keys]) if keys else c.crossJoin(F.broadcast(n))
+    at = F.array(*[F.struct(F.lit(i).alias("i"), (F.lit(float(v)) * (F.col("__total") - 1)).alias("at")) for i, v in enumerate(q)])
+    first, last = F.col("__c_before"), F.col("__c_before") + F.col("__c") - 1
+    hit = F.filter(at, lambda t: (F.ceil(t["at"]) >= first) & (F.floor(t["at"]) <= last))
+    h = c.withColumn("__t", F.explode(hit))
+    low, high = F.floor("__t.at"), F.ceil("__t.at")
+    v = F.col(x).cast("double")
+    h = h.groupBy(*keys, F.col("__t.i").alias("i"), F.col("__t.at").alias("__at")).agg(
+        F.max(F.when((low >= first) & (low <= last), v)).alias("__lo"), F.max(F.when((high >= first) & (high <= last), v)).alias("__hi")
+    )
+    return h.select(*keys, "i", (F.col("__lo") + (F.col("__hi") - F.col("__lo")) * (F.col("__at") - F.floor("__at"))).alias("value"))
+
+
 def quantile_boundaries(df: DataFrame, score: str, n_bins: int, accuracy: int | None = None) -> list[float]:
     """The n_bins - 1 interior quantiles: exact, or approximate with an accuracy."""
     q = [i / n_bins for i in range(1, n_bins)]
-    agg = F.percentile_approx(score, q, accuracy) if accuracy else F.percentile(score, F.array(*[F.lit(x) for x in q]))
-    return list(df.agg(agg).first()[0] or [])
+    if accuracy:
+        return list(df.agg(F.percentile_approx(score, q, accuracy)).first()[0] or [])
+    return [r["value"] for r in exact_quantiles(df, [], score, q).orderBy("i").collect()]  # n_bins - 1 rows
 
 
 def merge_boundaries(boundaries: list[float]) -> tuple[list[float], list[int], list[int]]:
@@ -60,12 +96,16 @@ def merge_boundaries(boundaries: list[float]) -> tuple[list[float], list[int], l
 
 
 def quantile_bin(score: Column, boundaries: list[float], u: Column, n_bins: int, desc: bool = False) -> Column:
-    """Bin of a score, 0 to n_bins - 1. Scores at a boundary that stands for several bins are spread over them by u in [0, 1)."""
+    """Bin of a score: 1 to n_bins in rising order, or n_bins less that with desc.
+
+    A score's place among (-inf, boundaries, inf) is the first whose value is not smaller. Scores at a boundary that
+    stands for several bins are spread over them by u in [0, 1).
+    """
     kept, first, merged = merge_boundaries(boundaries)
     at = binary_search(F.array(*[F.lit(b) for b in kept]).cast("array<double>"), score)
     place, more = F.get(F.array(*[F.lit(i) for i in [*first, len(boundaries)]]), at), F.get(F.array(*[F.lit(m) for m in [*merged, 0]]), at)
     bin_ = (place + F.floor(u * (more + 1))).cast("int")
-    out = F.lit(n_bins - 1) - bin_ if desc else bin_
+    out = F.lit(n_bins - 1) - bin_ if desc else bin_ + 1
     return F.when(score.isNotNull(), out)
 
 
@@ -81,9 +121,19 @@ def hash_order(key: Column | str, seed: int = 0) -> Column:
 
 
 def downsample_index(df: DataFrame, key: str, group: str, seed: int = 0) -> DataFrame:
-    """global_index and group_index of each row in shuffled order, 0-based; the table is the (small) sample axis."""
-    order = [hash_order(key, seed), F.col(key)]
-    return df.withColumns({
-        "global_index": F.row_number().over(W.orderBy(*order)) - 1,
-        "group_index": F.row_number().over(W.partitionBy(group).orderBy(*order)) - 1,
+    """global_index and group_index of each row in shuffled order, 0-based.
+
+    The order is that of a hash of the key, whose first two digits deal the rows into pieces of one size; counts per
+    piece are summed up and rows are numbered within their piece.
+    """
+    d = df.withColumn("__h", hash_order(key, seed)).withColumn("__p", F.substring("__h", 1, 2))
+    n = d.groupBy(group, "__p").agg(F.count("*").alias("__n"))
+    before = W.orderBy("__p").rowsBetween(W.unboundedPreceding, -1)
+    all_ = n.groupBy("__p").agg(F.sum("__n").alias("__n")).select("__p", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__ball"))  # 256 rows at most
+    own = n.select(F.col(group).alias("__g"), F.col("__p").alias("__gp"), F.coalesce(F.sum("__n").over(W.partitionBy(group).orderBy("__p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__bown"))
+    d = d.withColumns({
+        "__i": F.row_number().over(W.partitionBy("__p").orderBy("__h", key)) - 1,
+        "__j": F.row_number().over(W.partitionBy(group, "__p").orderBy("__h", key)) - 1,
     })
+    d = d.join(all_, "__p").join(own, F.col(group).eqNullSafe(F.col("__g")) & (F.col("__p") == F.col("__gp")))
+    return d.select(*df.columns, (F.col("__ball") + F.col("__i")).alias("global_index"), (F.col("__bown") + F.col("__j")).alias("group_index"))

@@ -65,14 +65,22 @@ def _multi(spark, d):
     return v.select("vid", "contig", "position", "ref", alts.alias("alts"))
 
 
-@query("""SELECT vid, cast(a_index AS BIGINT) AS a_index, vid % 3 = 0 AS was_split, count(*) AS n FROM (
-  SELECT vid, unnest(CASE WHEN vid % 3 = 0 THEN [1, 2, 3] ELSE [1] END) AS a_index FROM v_variants WHERE alt <> '*') GROUP BY vid, a_index""")
+_TRIM = r"""SELECT vid, a_index, was_split, position + lead AS position, substr(r, 1 + lead) AS ref, substr(a, 1 + lead) AS alt FROM (
+  SELECT *, coalesce(list_max(list_filter(range(0, least(length(r), length(a))), lambda i: substr(r, 1, i) = substr(a, 1, i))), 0) AS lead FROM (
+    SELECT *, substr(ref, 1, length(ref) - tail) AS r, substr(alt, 1, length(alt) - tail) AS a FROM (
+      SELECT *, coalesce(list_max(list_filter(range(0, least(length(ref), length(alt))), lambda i: right(ref, i) = right(alt, i))), 0) AS tail FROM s)))"""
+
+
+@query("""WITH m AS (SELECT vid, position, ref, CASE WHEN vid % 3 = 0 THEN [ref || 'A', alt, '*'] ELSE [alt] END AS alts FROM v_variants WHERE alt <> '*'),
+s AS (SELECT vid, position, ref, unnest(alts) AS alt, unnest(range(1, length(alts) + 1)) AS a_index, length(alts) > 1 AS was_split FROM m)
+SELECT vid, cast(a_index AS BIGINT) AS a_index, was_split, position, ref, alt FROM s WHERE alt = '*' UNION ALL
+SELECT vid, cast(a_index AS BIGINT), was_split, position, ref, alt FROM (""" + _TRIM.replace("FROM s)))", "FROM s WHERE alt <> '*')))") + ")")
 def split_multi(spark, d):
-    s = popgen.split_multi(_multi(spark, d))
-    return s.groupBy("vid", F.col("a_index").cast("bigint").alias("a_index"), "was_split").agg(F.count("*").alias("n"))
+    return popgen.split_multi(_multi(spark, d)).select("vid", F.col("a_index").cast("bigint").alias("a_index"), "was_split", "position", "ref", "alt")
 
 
-@query()
+@query("""WITH s AS (SELECT vid, 1 AS a_index, false AS was_split, position, 'CA' || ref || 'TT' AS ref, 'CA' || alt || 'TT' AS alt FROM v_variants WHERE alt <> '*')
+SELECT vid, position, ref, alt FROM (""" + _TRIM + ")")
 def min_rep(spark, d):
     v = view(spark, d, "v_variants").filter("alt <> '*'").select("vid", "position", F.concat(F.lit("CA"), "ref", F.lit("TT")).alias("ref"), F.concat(F.lit("CA"), "alt", F.lit("TT")).alias("alt"))
     return v.select("vid", X.min_rep("position", "ref", "alt").alias("m")).select("vid", "m.*")

@@ -82,7 +82,7 @@ def bin_score_agg(spark, d):
 
 
 @query("""SELECT bin, count(*) AS n, min(p_retailprice) AS lo, max(p_retailprice) AS hi FROM (
-  SELECT p_retailprice, cast((q[1] < p_retailprice) AS BIGINT) + cast((q[2] < p_retailprice) AS BIGINT) + cast((q[3] < p_retailprice) AS BIGINT) + cast((q[4] < p_retailprice) AS BIGINT) AS bin
+  SELECT p_retailprice, 1 + cast((q[1] < p_retailprice) AS BIGINT) + cast((q[2] < p_retailprice) AS BIGINT) + cast((q[3] < p_retailprice) AS BIGINT) + cast((q[4] < p_retailprice) AS BIGINT) AS bin
   FROM part, (SELECT quantile_cont(p_retailprice, [0.2, 0.4, 0.6, 0.8]) AS q FROM part)) GROUP BY bin""")
 def quantile_bins(spark, d):
     p = table(spark, d, "part")
@@ -174,7 +174,9 @@ def approx_quantiles(spark, d):
     return t.select("l_returnflag", F.posexplode("q").alias("percent", "value"))
 
 
-_TRIO = "(SELECT c.vid, f.fam_id, f.proband, c.n_alt AS c, fa.n_alt AS f, mo.n_alt AS m, c.gq AS c_gq FROM v_fam f JOIN v_entries c ON c.sid = f.proband JOIN v_entries fa ON fa.sid = f.father AND fa.vid = c.vid JOIN v_entries mo ON mo.sid = f.mother AND mo.vid = c.vid)"
+_TRIO = """(SELECT vid, fam_id, proband, max(n_alt) FILTER (WHERE role = 'c') AS c, max(n_alt) FILTER (WHERE role = 'f') AS f, max(n_alt) FILTER (WHERE role = 'm') AS m, max(gq) FILTER (WHERE role = 'c') AS c_gq
+FROM v_entries JOIN (SELECT fam_id, proband, proband AS sid, 'c' AS role FROM v_fam UNION ALL SELECT fam_id, proband, father, 'f' FROM v_fam UNION ALL SELECT fam_id, proband, mother, 'm' FROM v_fam) USING (sid)
+GROUP BY vid, fam_id, proband HAVING count(DISTINCT role) = 3)"""
 _T = "greatest(0, least(c - CASE WHEN f = 2 THEN 1 ELSE 0 END - CASE WHEN m = 2 THEN 1 ELSE 0 END, h))"
 _CALLED = f"(SELECT *, {_T} AS t FROM (SELECT *, CASE WHEN f = 1 THEN 1 ELSE 0 END + CASE WHEN m = 1 THEN 1 ELSE 0 END AS h FROM {_TRIO} WHERE c IS NOT NULL AND f IS NOT NULL AND m IS NOT NULL))"
 _MENDEL = "((f = 2 AND m = 2 AND c < 2) OR (f = 0 AND m = 0 AND c > 0) OR (c = 2 AND (f = 0 OR m = 0)) OR (c = 0 AND (f = 2 OR m = 2)))"

@@ -47,7 +47,7 @@ def worst_consequence(spark, d):
 
 
 @query("""WITH b AS (SELECT p_retailprice AS x, p_size > 25 AS snv FROM part), q AS (SELECT snv, quantile_cont(x, [0.25, 0.5, 0.75]) AS c FROM b GROUP BY snv)
-SELECT snv, cast((c[1] < x) AS BIGINT) + cast((c[2] < x) AS BIGINT) + cast((c[3] < x) AS BIGINT) AS bin, count(*) AS n FROM b JOIN q USING (snv) GROUP BY 1, 2""")
+SELECT snv, 1 + cast((c[1] < x) AS BIGINT) + cast((c[2] < x) AS BIGINT) + cast((c[3] < x) AS BIGINT) AS bin, count(*) AS n FROM b JOIN q USING (snv) GROUP BY 1, 2""")
 def typed_quantile_bins(spark, d):
     p = table(spark, d, "part").select("p_partkey", F.col("p_retailprice").alias("x"), (F.col("p_size") > 25).alias("snv"))
     b = workflows.typed_quantile_bins(p, "x", "p_partkey", "snv", 4)

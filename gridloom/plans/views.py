@@ -5,6 +5,7 @@ A cohort is three tables: rows (sites, key vid), cols (samples, key sid) and ent
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -78,14 +79,17 @@ class Cohort:
 
     @classmethod
     def read(cls, spark: SparkSession, path: str) -> Cohort:
-        return cls(*(spark.read.parquet(f"{path}/{n}") for n in ("rows", "cols", "entries")))
+        constants = json.loads(spark.read.text(f"{path}/constants", wholetext=True).first()[0])
+        return cls(*(spark.read.parquet(f"{path}/{n}") for n in ("rows", "cols", "entries")), constants)
 
     def write(self, path: str, mode: str = "overwrite") -> None:
-        """Rows and entries sorted by site within range partitions, so that site filters prune files."""
+        """Rows and entries sorted by site within range partitions, so that site filters prune files; constants as JSON."""
         key = [c for c in ("contig_rank", "position", "vid") if c in self.rows.columns]
         self.rows.repartitionByRange(*key).sortWithinPartitions(*key).write.mode(mode).parquet(f"{path}/rows")
         self.cols.write.mode(mode).parquet(f"{path}/cols")
         self.entries.repartitionByRange("vid").sortWithinPartitions("vid", "sid").write.mode(mode).parquet(f"{path}/entries")
+        text = self.rows.sparkSession.createDataFrame([(json.dumps(self.constants),)], "value string")
+        text.coalesce(1).write.mode(mode).text(f"{path}/constants")
 
     def table(self) -> DataFrame:
         """Cells with the fields of both axes; the sample axis is the small one."""

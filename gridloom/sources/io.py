@@ -48,7 +48,7 @@ def read_vcf(spark: SparkSession, path: str | list[str], header: str | None = No
     pairs = F.map_from_entries(F.transform(F.split(at(7), ";"), lambda p: F.struct(F.substring_index(p, "=", 1), F.when(p.contains("="), F.substring(p, F.length(F.substring_index(p, "=", 1)) + 2, F.length(p))))))
     site = {
         "contig": at(0), "contig_rank": contig_rank(at(0)), "position": position, "rsid": F.nullif(at(2), F.lit(".")), "ref": at(3), "alts": F.filter(F.split(at(4), ","), lambda a: a != "."),
-        "qual": F.nullif(at(5), F.lit(".")).try_cast("double"), "filters": F.array_sort(F.filter(F.split(at(6), ";"), lambda x: ~x.isin(".", "PASS"))), "file": F.col("file"),
+        "qual": F.nullif(at(5), F.lit(".")).try_cast("double"), "filters": F.when(at(6) != ".", F.array_sort(F.filter(F.split(at(6), ";"), lambda x: x != "PASS"))), "file": F.col("file"),
     }
     for name, kind in (info or {}).items():
         value = F.nullif(F.try_element_at("__info", F.lit(name)), F.lit("."))
@@ -141,23 +141,67 @@ def export_table(df: DataFrame, path: str, sep: str = "\t", header: bool = True,
     d.write.mode("overwrite").csv(path, sep=sep, header=header, compression=compression)
 
 
-def vcf_lines(sites: DataFrame, cells: DataFrame | None = None) -> DataFrame:
-    """(contig_rank, position, line): one tab-joined line a site, cells in order of sid, GT only."""
-    head = [F.col("contig"), F.col("position").cast("string"), F.coalesce("rsid", F.lit(".")), F.col("ref"), F.array_join("alts", ","), F.lit("."), F.when(F.size("filters") > 0, F.array_join("filters", ";")).otherwise("PASS"), F.lit(".")]
+def _info_text(sites: DataFrame, names: list[str]) -> Column:
+    """key=value pairs of the fields that are not missing, flags by name alone, "." where there is none."""
+    kinds, parts = dict(sites.dtypes), []
+    for n in names:
+        v = F.array_join(F.transform(n, lambda x: x.cast("string")), ",", ".") if kinds[n].startswith("array") else F.col(n).cast("string")
+        parts.append(F.when(F.col(n), F.lit(n)) if kinds[n] == "boolean" else F.when(F.col(n).isNotNull(), F.concat(F.lit(f"{n}="), v)))
+    return F.coalesce(F.nullif(F.array_join(F.array_compact(F.array(*parts)), ";"), F.lit("")), F.lit(".")) if parts else F.lit(".")
+
+
+def _call_text(cells: DataFrame) -> tuple[list[str], Column]:
+    """(format names, text of a call) from the fields that the cells have."""
+    gt = F.array_join(F.transform("alleles", lambda a: a.cast("string")), "/")
+    if "phased" in cells.columns:
+        gt = F.when(F.col("phased"), F.array_join(F.transform("alleles", lambda a: a.cast("string")), "|")).otherwise(gt)
+    fields = {"GT": F.coalesce(gt, F.lit("./."))}
+    for name in ("ad", "dp", "gq"):
+        if name in cells.columns:
+            text = F.array_join(F.transform(name, lambda x: x.cast("string")), ",", ".") if name == "ad" else F.col(name).cast("string")
+            fields[name.upper()] = F.coalesce(F.nullif(text, F.lit("")), F.lit("."))
+    return list(fields), F.concat_ws(":", *fields.values())
+
+
+def vcf_lines(sites: DataFrame, cells: DataFrame | None = None, samples: DataFrame | None = None, info: list[str] | None = None) -> DataFrame:
+    """(contig_rank, position, line): one tab-joined line a site.
+
+    Calls are laid out over all samples in order of sid, so a cell that is missing, or a site without cells, gives "./."
+    in its place. QUAL, INFO (the fields named), phase and the fields AD, DP and GQ are written where they are there;
+    missing filters are ".", an empty set is PASS.
+    """
+    qual = F.when(F.col("qual") == F.floor("qual"), F.col("qual").cast("bigint").cast("string")).otherwise(F.col("qual").cast("string")) if "qual" in sites.columns else F.lit(None).cast("string")
+    filters = F.when(F.col("filters").isNull(), ".").when(F.size("filters") > 0, F.array_join("filters", ";")).otherwise("PASS")
+    head = [
+        F.col("contig"), F.col("position").cast("string"), F.coalesce("rsid", F.lit(".")), F.col("ref"), F.coalesce(F.nullif(F.array_join("alts", ","), F.lit("")), F.lit(".")),
+        F.coalesce(qual, F.lit(".")), filters, _info_text(sites, info or []),
+    ]
     d = sites
     if cells is not None:
-        gt = F.coalesce(F.array_join(F.transform("alleles", lambda a: a.cast("string")), "/"), F.lit("./."))
-        calls = cells.groupBy("vid").agg(F.array_sort(F.collect_list(F.struct("sid", gt.alias("gt")))).alias("calls"))
-        d = d.join(calls, "vid", "left")
-        head += [F.lit("GT"), F.array_join(F.transform("calls", lambda c: c["gt"]), "\t")]
+        names, call = _call_text(cells)
+        calls = cells.groupBy("vid").agg(F.map_from_entries(F.collect_list(F.struct(F.col("sid").cast("long"), call.alias("call")))).alias("__calls"))
+        order = samples.agg(F.array_sort(F.collect_list(F.col("sid").cast("long"))).alias("__order"))  # one row, as wide as a line
+        d = d.join(calls, "vid", "left").crossJoin(F.broadcast(order))
+        line = F.transform("__order", lambda i: F.coalesce(F.try_element_at("__calls", i), F.lit("./.")))
+        head += [F.lit(":".join(names)), F.array_join(line, "\t")]
     return d.select(contig_rank("contig").alias("contig_rank"), "position", F.concat_ws("\t", *head).alias("line"))
 
 
-def export_vcf(sites: DataFrame, path: str, cells: DataFrame | None = None, samples: list[str] | None = None) -> None:
-    """Sorted shards of lines below path/shards and one header below path/header."""
-    cols = ["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", *(["FORMAT", *(samples or [])] if cells is not None else [])]
-    sites.sparkSession.createDataFrame([("##fileformat=VCFv4.2",), ("\t".join(cols),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/header")
-    lines = vcf_lines(sites, cells).repartitionByRange("contig_rank", "position").sortWithinPartitions("contig_rank", "position")
+def export_vcf(sites: DataFrame, path: str, cells: DataFrame | None = None, samples: DataFrame | list[str] | None = None, info: list[str] | None = None) -> None:
+    """Sorted shards of lines below path/shards and one header below path/header.
+
+    samples: (sid, s), or names whose places are the sids.
+    """
+    spark = sites.sparkSession
+    if isinstance(samples, list):
+        samples = spark.createDataFrame(list(enumerate(samples)), "sid long, s string")
+    cols = "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO"])
+    head = spark.createDataFrame([(0, "##fileformat=VCFv4.2"), (1, cols)], "k int, value string")
+    if cells is not None:
+        names = samples.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col("sid").cast("long"), "s"))), lambda x: x["s"]), "\t").alias("names"))
+        head = head.crossJoin(F.broadcast(names)).select("k", F.when(F.col("k") == 1, F.concat_ws("\t", "value", F.lit("FORMAT"), "names")).otherwise(F.col("value")).alias("value"))
+    head.coalesce(1).sortWithinPartitions("k").select("value").write.mode("overwrite").text(f"{path}/header")
+    lines = vcf_lines(sites, cells, samples, info).repartitionByRange("contig_rank", "position").sortWithinPartitions("contig_rank", "position")
     lines.select("line").write.mode("overwrite").text(f"{path}/shards", compression="gzip")
 
 

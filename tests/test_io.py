@@ -32,6 +32,19 @@ def test_vcf(spark, tmp_path):
     assert calls.filter("n_alt is not null").count() == 3
 
 
+def test_vcf_export_keeps_places(spark, tmp_path):
+    """Cells that were filtered away, and sites without any, leave gaps in their own places; QUAL, INFO, phase and filters stay."""
+    p = tmp_path / "x.vcf"
+    p.write_text(VCF.split("weird")[0])
+    sites, samples, cells = io.read_vcf(spark, str(p), info={"QD": "double", "AC": "array<int>", "DB": "boolean"})
+    assert {r["position"]: r["filters"] for r in sites.collect()} == {100: [], 5: ["Bad", "LowQD"]}
+    io.export_vcf(sites, str(tmp_path / "o"), cells.filter("dp = 7"), samples, ["QD", "AC", "DB"])
+    lines = sorted(r[0].split("\t") for r in spark.read.text(str(tmp_path / "o/shards")).collect())
+    assert lines[0] == ["chr1", "100", "rs1", "A", "C,T", "50", "PASS", "QD=3.5;AC=1,2;DB", "GT:AD:DP:GQ", "./.", "1|2:0,3,4:7:20"]
+    assert lines[1][5:] == [".", "Bad;LowQD", ".", "GT:AD:DP:GQ", "./.", "./."]
+    assert spark.read.text(str(tmp_path / "o/header")).collect()[1][0].split("\t")[8:] == ["FORMAT", "S1", "S2"]
+
+
 def test_tables(spark, tmp_path):
     (tmp_path / "a.tsv").write_text("s\tlocus\tv\nx\tchr1:7\t3\ny\tchr2:9\t.\n")
     t = {r["s"]: r for r in io.read_table(spark, str(tmp_path / "a.tsv"), types={"locus": "locus", "v": "int"}).collect()}

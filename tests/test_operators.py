@@ -47,7 +47,9 @@ def test_quantile_bins_spread_over_merged_boundaries(spark):
     assert windows.merge_boundaries([1.0, 1.0, 2.0]) == ([1.0, 2.0], [0, 2], [1, 0])
     d = spark.createDataFrame([(0.5, 0.0), (0.5, 0.99), (1.0, 0.99), (1.5, 0.0), (9.0, 0.5), (None, 0.1)], "s double, u double")
     got = [x[0] for x in d.select(windows.quantile_bin(F.col("s"), [1.0, 1.0, 2.0], F.col("u"), 4)).collect()]
-    assert got == [0, 1, 1, 2, 3, None]
+    assert got == [1, 2, 2, 3, 4, None]
+    down = [x[0] for x in d.select(windows.quantile_bin(F.col("s"), [1.0, 1.0, 2.0], F.col("u"), 4, desc=True)).collect()]
+    assert down == [3, 2, 2, 1, 0, None]
     rank = spark.range(4).select(windows.rank_bin(F.col("id"), F.lit(4), 2).alias("b")).collect()
     assert [x["b"] for x in rank] == [1, 1, 2, 2]
     assert spark.range(3).select(windows.rank_bin(F.col("id"), F.lit(3), 100).alias("b")).collect()[2]["b"] == 3
