@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,11 +10,10 @@ from pyspark.sql import types as T
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir; a temporary one where it is unset (tests)."""
+    """The folder that all executors share, named by spark.checkpoint.dir; without one there is no safe place to write."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="gridloom-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     return path.rstrip("/")
 
 
@@ -30,18 +28,26 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_cut(df: DataFrame) -> None:
-    """Delete the files of a cut() table that nothing will read again."""
+def _folders(df: DataFrame) -> list:
+    """(file system, path) of the folders that hold the files of a cut() table."""
     spark = df.sparkSession
-    jvm = spark._jvm
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    paths = [spark._jvm.org.apache.hadoop.fs.Path(f) for f in {f.rsplit("/", 1)[0] for f in df.inputFiles()}]
+    return [(p.getFileSystem(spark._jsc.hadoopConfiguration()), p) for p in paths]
 
 
-def small_side(df: DataFrame, most_rows: int) -> DataFrame:
-    """df, a cut() table of narrow rows, to be broadcast if it has at most most_rows rows, else joined by shuffling."""
-    return F.broadcast(df) if df.count() <= most_rows else df
+def drop_cut(*tables: DataFrame) -> None:
+    """Delete the files of cut() tables that nothing will read again."""
+    for df in tables:
+        for files, path in _folders(df):
+            files.delete(path, True)
+
+
+def small_side(df: DataFrame, most_bytes: int = 12 << 20) -> DataFrame:
+    """df, a cut() table, to be broadcast if its files hold at most most_bytes, else to be joined by shuffling.
+
+    Beyond the bound both sides of the join are shuffled tables, so adaptive execution can split a key with many rows.
+    """
+    return F.broadcast(df) if sum(files.getContentSummary(path).getLength() for files, path in _folders(df)) <= most_bytes else df
 
 
 def text_batches(spark: SparkSession) -> None:
@@ -59,22 +65,24 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     edges: two columns of one orderable type; self edges and repeats are allowed. Returns (node, component) for
     every node of an edge; component is the smallest node reachable. Every round joins the labels to the edges,
     takes minima per node (combined before the shuffle, so a hub is one partial row per task) and then replaces
-    each label by its label's label; the label table is written to the shared folder each round.
+    each label by its label's label. The label table is written to the shared folder each round; a round's own labels
+    are one table for both joins, sent to all tasks while it is small, else shuffled as a table of its own, which lets
+    adaptive execution split a component with many nodes.
     """
     a, b = (F.col(c) for c in edges.columns)
     both = edges.select(a.alias("u"), b.alias("v")).filter("u is not null and v is not null and u <> v")
     both = cut(both.union(both.select("v", "u")).distinct(), "edges")
-    labels = cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("l")), "labels")
+    labels = cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("l"), F.lit(True).alias("moved")), "labels")
+    old: list[DataFrame] = []
     for _ in range(max_rounds):
-        near = both.join(labels.withColumnRenamed("u", "v"), "v").groupBy("u").agg(F.min("l").alias("near"))
-        low = labels.join(near, "u").select("u", "l", F.least("l", "near").alias("m"))
-        up = labels.select(F.col("u").alias("m"), F.col("l").alias("mm"))
-        new = low.join(up, "m").select("u", F.least("m", "mm").alias("l"), (F.least("m", "mm") < F.col("l")).alias("moved"))
-        moved = cut(new, "labels")
-        old, labels = labels, moved.select("u", "l")
-        drop_cut(old)
-        if not moved.filter("moved").limit(1).count():
+        if not labels.filter("moved").limit(1).count():
             break
+        sent = small_side(labels.select("u", "l"))
+        near = both.join(sent.withColumnsRenamed({"u": "v", "l": "near"}), "v").groupBy("u").agg(F.min("near").alias("near"))
+        low = labels.join(near, "u").select("u", "l", F.least("l", "near").alias("m"))
+        new = low.join(sent.withColumnsRenamed({"u": "m", "l": "mm"}), "m").select("u", F.least("m", "mm").alias("l"), (F.least("m", "mm") < F.col("l")).alias("moved"))
+        old, labels = [labels], cut(new, "labels")
+        drop_cut(*old)
     else:
         raise RuntimeError("components did not converge")
     drop_cut(both)

@@ -11,8 +11,9 @@ components. In a second round the members outside the bucket's largest component
 other components, each pair under the first key it shares. A linked pair of one bucket is either inside one component after the first round or has a member
 outside the largest one, so no link is lost.
 
-Cases: null text counts as empty; texts without words have fingerprint zero and link like any other; equal
-fingerprints are one node, so copies cost nothing; repeated rows keep a row each; an empty table gives no rows.
+Cases: null text counts as empty; texts without words have fingerprint zero and link like any other; very long texts
+are read whole, their shingles counted in pieces; equal fingerprints are one node, so copies cost nothing; repeated rows
+keep a row each; columns other than doc_id and text are only passed on, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from gridloom.llm.common import components, cut, text_batches, text_or_empty
+from gridloom.llm.common import components, cut, small_side, text_batches, text_or_empty
 
 
 def fingerprint(text: str | None, shingle: int = 4) -> bytes:
@@ -84,23 +85,31 @@ def first_shared(difference: Column, masks: list[int]) -> Column:
 
 
 def linked_components(fps: DataFrame, distance: int = 4) -> DataFrame:
-    """(fp, component) for each distinct fp that has a link; component is the smallest fp reachable."""
+    """(fp, component) for each distinct fp that has a link; component is the smallest fp reachable.
+
+    Keys are counted first, and only fingerprints under a key that is shared go on. Sizes and pivots of buckets are
+    aggregations, combined before the shuffle, and are joined back; no task holds a bucket.
+    """
     masks = variant_masks(distance)
-    keys = fps.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in masks])).alias("variant", "bits"))
-    bucket = W.partitionBy("variant", "bits")
-    members = keys.withColumns({"low": F.min("fp").over(bucket), "high": F.max("fp").over(bucket), "n": F.count("*").over(bucket)}).filter("n > 1")
-    members = cut(members, "variants")
+    key = ["variant", "bits"]
+    keys = fps.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in masks])).alias(*key))
+    buckets = keys.groupBy(*key).agg(F.min("fp").alias("low"), F.max("fp").alias("high"), F.count("*").alias("n")).filter("n > 1")
+    buckets = cut(buckets, "buckets")
+    members = cut(keys.join(small_side(buckets), key), "variants")
     met = [members.filter((F.col("fp") != F.col(p)) & _near("fp", p, distance)).select("fp", F.col(p).alias("pivot")) for p in ("low", "high")]
-    first = met[0].union(met[1])
-    labels = components(first)
-    larger = members.filter("n > 2").select("variant", "bits", "fp").join(labels.withColumnRenamed("node", "fp"), "fp", "left")
-    larger = cut(larger.select("variant", "bits", "fp", F.coalesce("component", "fp").alias("c")), "larger")
-    per = larger.groupBy("variant", "bits", "c").agg(F.count("*").alias("m"))
-    main = per.groupBy("variant", "bits").agg(F.max(F.struct("m", "c")).alias("top"), F.count("*").alias("parts")).filter("parts > 1")
-    outside = larger.join(main.select("variant", "bits", F.col("top.c").alias("main")), ["variant", "bits"]).filter("c <> main").select("variant", "bits", F.col("fp").alias("x"), F.col("c").alias("cx"))
+    labels = cut(components(met[0].union(met[1])), "first")
+    larger = members.filter("n > 2").select(*key, "fp").join(small_side(labels).withColumnRenamed("node", "fp"), "fp", "left")
+    larger = cut(larger.select(*key, "fp", F.coalesce("component", "fp").alias("c")), "larger")
+    per = larger.groupBy(*key, "c").agg(F.count("*").alias("m"))
+    main = per.groupBy(*key).agg(F.max(F.struct("m", "c")).alias("top"), F.count("*").alias("parts")).filter("parts > 1")
+    main = small_side(cut(main.select(*key, F.col("top.c").alias("main")), "main"))
+    outside = larger.join(main, key).filter("c <> main").select(*key, F.col("fp").alias("x"), F.col("c").alias("cx"))
     once = first_shared(F.col("x").bitwiseXOR(F.col("fp")), masks) == F.col("l.variant")
     probe = (F.col("cx") != F.col("c")) & _near("x", "fp", distance) & once
     across = outside.alias("o").join(larger.alias("l"), (F.col("o.variant") == F.col("l.variant")) & (F.col("o.bits") == F.col("l.bits")) & probe).select("cx", "c")
+    across = cut(across.distinct(), "across")
+    if across.isEmpty():
+        return labels.select(F.col("node").alias("fp"), "component")
     second = components(across)
     joined = labels.union(second.select(F.col("node"), F.col("component"))).select(F.col("node").alias("fp"))
     joined = joined.distinct().join(labels.select(F.col("node").alias("fp"), F.col("component").alias("c1")), "fp", "left").withColumn("c1", F.coalesce("c1", "fp"))
@@ -111,20 +120,20 @@ def classes(docs: DataFrame, distance: int = 4, shingle: int = 4) -> DataFrame:
     """One row per input row: doc_id, row_hash, fp, component (smallest fp), component_id (smallest doc_id linked)."""
     rows = cut(fingerprints(docs, shingle), "fingerprints")
     nodes = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "nodes")
-    linked = linked_components(nodes.select("fp"), distance)
-    named = nodes.join(linked, "fp", "left").select("fp", "first_id", F.coalesce("component", "fp").alias("component"))
-    ids = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    table = named.join(ids, "component").select("fp", "component", "component_id")
+    linked = cut(linked_components(nodes.select("fp"), distance), "linked")
+    named = nodes.join(small_side(linked), "fp", "left").select("fp", "first_id", F.coalesce("component", "fp").alias("component"))
+    ids = linked.join(nodes, "fp").groupBy("component").agg(F.min("first_id").alias("least"))
+    table = named.join(small_side(cut(ids, "ids")), "component", "left").select("fp", "component", F.coalesce("least", "first_id").alias("component_id"))
     return rows.join(table, "fp").select("doc_id", "row_hash", "fp", "component", "component_id")
 
 
 def keep_one(docs: DataFrame, distance: int = 4, shingle: int = 4) -> DataFrame:
     """docs with one row of each class: the smallest (doc_id, row_hash), once even if that row repeats."""
     c = classes(docs, distance, shingle)
-    best = c.groupBy("component").agg(F.min(F.struct("doc_id", "row_hash")).alias("b")).select(F.col("b.doc_id").alias("keep_id"), F.col("b.row_hash").alias("keep_hash"))
+    best = c.groupBy("component").agg(F.min(F.struct("doc_id", "row_hash")).alias("b")).select(F.col("b.doc_id").alias("__keep_id"), F.col("b.row_hash").alias("__keep_hash"))
     named = docs.withColumn("__row_hash", F.xxhash64(text_or_empty()))
-    kept = named.join(best, F.col("doc_id").cast("long").eqNullSafe(F.col("keep_id")) & (F.col("__row_hash") == F.col("keep_hash")))
-    once = W.partitionBy("keep_id", "keep_hash").orderBy(F.lit(0))
+    kept = named.join(best, F.col("doc_id").cast("long").eqNullSafe(F.col("__keep_id")) & (F.col("__row_hash") == F.col("__keep_hash")))
+    once = W.partitionBy("__keep_id", "__keep_hash").orderBy(F.lit(0))
     return kept.withColumn("__nth", F.row_number().over(once)).filter("__nth = 1").select(*docs.columns)
 
 
