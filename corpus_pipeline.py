@@ -21,7 +21,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     bad = toxicity.rejected_rows(docs, model, cuts)
     key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (key == F.col("__hash")) & F.col("lang").eqNullSafe(F.col("__lang"))
-    return docs.join(small_side(cut(bad, "rejected")), same, "left_anti")
+    return docs.join(small_side(bad), same, "left_anti")
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
