@@ -2,12 +2,18 @@
 
 Format of a shard: NAME.tok holds the ids of its documents in ascending key order, each a little-endian unsigned
 integer of the shard's width (2 bytes where the vocabulary has at most 65,536 ids, else 4), nothing else. NAME.idx holds
-"MPHI", the number of keys n, of buckets b and the width (unsigned 32-bit), b pilots (signed 32-bit), then n slots of (fingerprint u32, n_ids u32, offset u64). A key's hash chooses its bucket; a pilot
-p >= 0 sends the key to slot mix(hash, p) mod n, and p < 0 names slot -p-1 outright. Every key has its own slot and no
-slot is free; the stored fingerprint tells keys that were never written.
-
-Cases: null text counts as empty; documents with an equal doc_id are numbered by text and each keeps its ids, under
-the keys (doc_id, 0), (doc_id, 1), ...; a null doc_id comes first; an empty table gives no shard and an empty manifest.
+"MPHI", the number of keys n, of buckets b and the width (unsigned 32-bit), b pilots (signed 32-bit), then n slots of
+(fingerprint u32, n_ids u32, offset u64). A key's hash chooses its bucket; a pilot p >= 0 sends the key to slot mix(hash, p) mod n, and p < 0 names slot -p-1 outright. Every key has its own slot and no
+slot is free; the stored fingerprint tells keys that were never written. Beside the shards lies `directory`, a Parquet
+table of one row a shard: its name, its first and last key and the number of ids in it, by which a key finds its shard.
+
+The folder must be on a file system that pyarrow opens by its URI (a shared mount, HDFS, an object store), as raw
+binary files are written and read by position.
+
+Cases: null text counts as empty; very long texts are encoded whole and lie in one shard; documents with an equal doc_id
+are numbered by text and each keeps its ids, under the keys (doc_id, 0), (doc_id, 1), ...; a null doc_id comes first;
+columns other than doc_id and text are not read, whatever their names; an empty table gives no shard, an empty
+directory and an empty manifest.
 """
 
 from __future__ import annotations
@@ -15,6 +21,7 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -30,6 +37,7 @@ from gridloom.llm.common import cut, scratch_path, text_batches, text_or_empty
 HEADER = "<4sIII"
 SLOT = np.dtype([("fingerprint", "<u4"), ("n_ids", "<u4"), ("offset", "<u8")])
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+DIRECTORY = "shard_no long, shard string, first_id long, first_copy int, last_id long, last_copy int, n_keys long, n_ids long"
 MANIFEST = "doc_id long, copy int, shard string, shard_no long, offset long, n_tokens long"
 
 
@@ -174,7 +182,55 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str | None = None, sha
         if state:
             yield close(state)
 
-    return cut(rows.mapInArrow(write, MANIFEST), "manifest")
+    manifest = cut(rows.mapInArrow(write, MANIFEST), "manifest")
+    write_directory(folder, manifest)
+    return manifest
+
+
+def write_directory(folder: str, manifest: DataFrame) -> None:
+    """One row a shard with its key range from the manifest and its number of ids from the files themselves."""
+    key = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "copy")
+    ranges = manifest.groupBy("shard_no", "shard").agg(F.min(key).alias("first"), F.max(key).alias("last"), F.count("*").alias("n_keys"))
+
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, root = _open(folder)
+        for batch in batches:
+            n = [files.get_file_info(f"{root}/{s}.tok").size // _index_of(folder, s).width for s in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n, pa.int64())], names=[*batch.schema.names, "n_ids"])
+
+    flat = ranges.select("shard_no", "shard", F.col("first.doc_id").alias("first_id"), F.col("first.copy").alias("first_copy"), F.col("last.doc_id").alias("last_id"), F.col("last.copy").alias("last_copy"), "n_keys")
+    flat.mapInArrow(measured, DIRECTORY).coalesce(1).write.mode("overwrite").parquet(f"{folder}/directory")
+
+
+def directory(spark: SparkSession, folder: str) -> DataFrame:
+    """The directory with base, the ids in all earlier shards. One row a shard: the one-task window is over files."""
+    d = spark.read.schema(DIRECTORY).parquet(f"{folder}/directory")
+    return d.withColumn("base", F.sum("n_ids").over(W.orderBy("shard_no")) - F.col("n_ids"))
+
+
+class KeyedReader:
+    """Reads the ids of documents by key: the directory gives the shard, its index the place, and the payload the ids."""
+
+    def __init__(self, folder: str):
+        import pyarrow.parquet as pq
+
+        self.folder = folder
+        files, root = _open(folder)
+        rows = pq.read_table(f"{root}/directory", filesystem=files).to_pylist()
+        order = lambda i, c: (i is not None, i or 0, c)
+        self.shards = sorted((order(r["last_id"], r["last_copy"]), order(r["first_id"], r["first_copy"]), r["shard"]) for r in rows)
+        self.lasts = [r[0] for r in self.shards]
+
+    def find(self, doc_id: int | None, copy: int = 0) -> str | None:
+        """The shard whose key range holds the key."""
+        key = (doc_id is not None, doc_id or 0, copy)
+        i = bisect_left(self.lasts, key)
+        return self.shards[i][2] if i < len(self.shards) and self.shards[i][1] <= key else None
+
+    def get(self, doc_id: int | None, copy: int = 0) -> np.ndarray | None:
+        """The ids of one document; None if it was never written."""
+        shard = self.find(doc_id, copy)
+        return None if shard is None else lookup(self.folder, shard, doc_id, copy)
 
 
 @lru_cache(4)
@@ -200,14 +256,14 @@ def lookup(folder: str, shard: str, doc_id: int | None, copy: int = 0) -> np.nda
 
 
 def read_back(folder: str, keys: DataFrame) -> DataFrame:
-    """For (doc_id, copy, shard, ...) rows: adds n_read and ids_crc32, found through the index and read from the payload."""
+    """For (doc_id, copy, shard, ...) rows: adds at, n_read and ids_crc32, found through the index and read from the payload."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = _open(folder)
         for batch in batches:
             d = batch.to_pydict()
             hashes = key_hash(d["doc_id"], d["copy"])
-            n_read, crc = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64)
+            at, n_read, crc = (np.zeros(len(hashes), np.int64) for _ in range(3))
             shards = np.array(d["shard"])
             for shard in dict.fromkeys(d["shard"]):
                 rows = np.flatnonzero(shards == shard)
@@ -217,22 +273,17 @@ def read_back(folder: str, keys: DataFrame) -> DataFrame:
                     raise ValueError(f"{shard} lacks a key of its manifest")
                 with files.open_input_file(f"{root}/{shard}.tok") as f:
                     for r, o, k in zip(rows, offset, n):
-                        n_read[r], crc[r] = k, zlib.crc32(_ids(f, index.width, int(o), int(k)).tobytes())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n_read), pa.array(crc)], names=[*batch.schema.names, "n_read", "ids_crc32"])
+                        at[r], n_read[r], crc[r] = o, k, zlib.crc32(_ids(f, index.width, int(o), int(k)).tobytes())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at), pa.array(n_read), pa.array(crc)], names=[*batch.schema.names, "at", "n_read", "ids_crc32"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keys.schema)
-    return keys.mapInArrow(read, f"{kinds}, n_read long, ids_crc32 long")
-
-
-def shard_starts(manifest: DataFrame) -> DataFrame:
-    """(shard_no, base): ids in all earlier shards. One row a shard, so the one-task window is over files, not documents."""
-    sums = manifest.groupBy("shard_no").agg(F.sum("n_tokens").alias("n"))
-    return sums.select("shard_no", (F.sum("n").over(W.orderBy("shard_no")) - F.col("n")).alias("base"))
+    return keys.mapInArrow(read, f"{kinds}, at long, n_read long, ids_crc32 long")
 
 
 def op3_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = scratch_path(spark, "shards")
-    manifest = write_shards(docs, folder)
-    back = read_back(folder, manifest)
-    return back.join(shard_starts(manifest), "shard_no").select("doc_id", (F.col("base") + F.col("offset")).alias("start"), F.col("n_read").alias("n_tokens"), "ids_crc32", "shard")
+    keys = write_shards(docs, folder).select("doc_id", "copy", "shard", "shard_no")
+    bases = directory(spark, folder).select("shard_no", "base")  # one row a shard
+    back = read_back(folder, keys).join(bases, "shard_no")
+    return back.select("doc_id", (F.col("base") + F.col("at")).alias("start"), F.col("n_read").alias("n_tokens"), "ids_crc32", "shard")
