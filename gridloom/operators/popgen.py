@@ -14,18 +14,29 @@ from gridloom.operators.windows import downsample_index, running_counts
 from gridloom.session import with_checkpoints
 
 
-def stratified_freq(entries: DataFrame, samples: DataFrame, downsamplings: tuple[int, ...] = (), extra: dict[str, Column] | None = None) -> DataFrame:
-    """(vid, freq_index, stratum, level, AC, AN, AF, n_hom): 0 all adj cells, 1 all cells, then pops, sexes, sex x pop, extra, downsamplings.
+def stratified_freq(entries: DataFrame, samples: DataFrame, downsamplings: tuple[int, ...] = (), extra: dict[str, Column] | None = None, subpop: str | None = None) -> DataFrame:
+    """(vid, freq_index, stratum, level, AC, AN, AF, n_hom) over strata that overlap.
 
+    0 all adj cells, 1 all cells, then populations, sexes, sex x population, subpopulations, extra ones, downsamplings.
+    Downsamplings take the first n samples of a shuffled order, of all samples ("global") and of each population that has
+    as many; the sizes of the populations are added to the sizes asked for, and sizes above the cohort's are left out.
     Each sample knows the strata it belongs to, so overlapping strata are one explode and one aggregation.
     """
     s = samples.withColumn("sex", F.when(F.col("is_female"), "XX").otherwise("XY"))
     sets: list[tuple[str, Column]] = [("adj", F.lit("all")), ("raw", F.lit("all")), ("pop", F.col("pop")), ("sex", F.col("sex")), ("sex_pop", F.concat_ws("_", "sex", "pop"))]
+    if subpop is not None:
+        sets.append(("subpop", F.when(F.col(subpop).isNotNull(), F.concat_ws("_", "pop", subpop))))
     sets += list((extra or {}).items())
     if downsamplings:
+        n_of = {r["pop"]: r["n"] for r in samples.groupBy("pop").agg(F.count("*").alias("n")).collect()}  # a row a population
+        sizes = sorted(n for n in {*downsamplings, *(v for k, v in n_of.items() if k is not None)} if n <= sum(n_of.values()))
         s = downsample_index(s, "sid", "pop")
-        sets += [(f"downsample_{n}", F.when(F.col("global_index") < n, F.lit("all"))) for n in downsamplings]
-    order = {name: i for i, (name, _) in enumerate(sets)}
+        for n in sizes:
+            sets.append((f"downsample_{n}", F.when(F.col("global_index") < n, "global")))
+            some = [k for k, v in n_of.items() if k is not None and n <= v]
+            if some:
+                sets.append((f"downsample_{n}", F.when((F.col("group_index") < n) & F.col("pop").isin(some), F.col("pop"))))
+    order = {name: i for i, name in enumerate(dict.fromkeys(k for k, _ in sets))}
     labels = F.array_compact(F.array(*[F.when(v.isNotNull(), F.struct(F.lit(order[k]).alias("freq_index"), F.lit(k).alias("stratum"), v.alias("level"))) for k, v in sets]))
     cells = entries.join(s.select("sid", labels.alias("g")), "sid").withColumn("adj", is_adj("n_alt", "gq", "dp", "ad_alt"))
     cells = cells.select("vid", "n_alt", "adj", F.explode("g").alias("g")).filter((F.col("g.stratum") == "raw") | F.col("adj"))
@@ -40,6 +51,34 @@ def split_multi(sites: DataFrame, keep_star: bool = True) -> DataFrame:
     return d.withColumn("__m", m).withColumns({"position": F.col("__m.position"), "ref": F.col("__m.ref"), "alt": F.col("__m.alt")}).drop("__m")
 
 
+def split_cells(cells: DataFrame, sites: DataFrame) -> DataFrame:
+    """Cells of split_multi() rows: (vid, sid, a_index, n_alt, ad_ref, ad_alt, dp, gq, pl) for each alternate.
+
+    The call is downcoded: other alternates count as reference. Depths are those of the reference and the alternate; of
+    likelihoods by genotype (pl, in the usual order of pairs of alleles) each of the three classes by copies of the
+    alternate keeps its lowest, and the quality is the second lowest of these less the lowest, at most 99. Sites with one
+    alternate keep their gq where there are no likelihoods.
+    """
+    n = sites.select("vid", F.size("alts").alias("n_alts"))
+    d = cells.join(n, "vid").withColumn("a_index", F.explode(F.sequence(F.lit(1), F.col("n_alts"))))
+    d = d.withColumn("n_alt", downcode(F.col("alleles"), F.col("a_index")))
+    if "ad" in cells.columns:
+        d = d.withColumns({"ad_ref": F.get("ad", F.lit(0)), "ad_alt": F.get("ad", F.col("a_index"))}).drop("ad")
+    if "pl" in cells.columns:
+        # The pair (j, k), j <= k, of allele indices lies at k (k + 1) / 2 + j.
+        alleles = F.sequence(F.lit(0), F.col("n_alts"))
+        pairs = F.flatten(F.transform(alleles, lambda k: F.transform(F.sequence(F.lit(0), k), lambda j: F.struct(j.alias("j"), k.alias("k")))))
+        d = d.withColumn("__pairs", F.arrays_zip(pairs.alias("pair"), F.col("pl").alias("value")))
+        copies = lambda x: (x["pair"]["j"] == F.col("a_index")).cast("int") + (x["pair"]["k"] == F.col("a_index")).cast("int")
+        of = lambda n: F.filter("__pairs", lambda x: copies(x) == n)
+        lowest = [F.array_min(F.transform(of(n), lambda x: x["value"])) for n in range(3)]
+        d = d.withColumn("__pl", F.when(F.col("pl").isNotNull(), F.array(*lowest)))
+        known = F.array_sort(F.array_compact("__pl"))
+        gq = F.least(F.get(known, F.lit(1)) - F.get(known, F.lit(0)), F.lit(99))
+        d = d.withColumn("gq", F.when(F.col("__pl").isNotNull(), gq).when(F.col("n_alts") == 1, F.col("gq"))).withColumn("pl", F.col("__pl")).drop("__pl", "__pairs")
+    return d.drop("n_alts", "alleles")
+
+
 def downcode(alleles: Column, a_index: Column) -> Column:
     """Number of copies of one alternate in a call given as an array of allele indices; missing for no call."""
     return F.when(alleles.isNotNull(), F.size(F.filter(alleles, lambda a: a == a_index)))
@@ -114,8 +153,8 @@ def pc_relate(entries: DataFrame, scores: DataFrame, min_maf: float = 0.01) -> D
     return a.join(b, "vid").filter("i < j").groupBy("i", "j").agg(F.try_divide(F.sum(F.col("ri") * F.col("rj")), 4 * F.sum(F.col("si") * F.col("sj"))).alias("kin"))
 
 
-def maximal_independent_set(pairs: DataFrame, tie: DataFrame | None = None, rounds: int = 1000) -> DataFrame:
-    """Nodes (node) to drop so that no pair (i, j) is left, by removing vertices of the highest degree.
+def maximal_independent_set(pairs: DataFrame, tie: DataFrame | None = None, rounds: int = 1000, keep: bool = False) -> DataFrame:
+    """Nodes (node) to drop so that no pair (i, j) is left, by removing vertices of the highest degree; with keep, those that stay.
 
     Each round removes every vertex that is the first of its neighbourhood by (degree, tie, id): such vertices are never
     adjacent, so a round does what many single removals would, and the number of rounds is the length of the longest
@@ -137,6 +176,8 @@ def maximal_independent_set(pairs: DataFrame, tie: DataFrame | None = None, roun
         edges = edges.join(dropped.withColumnRenamed("node", "u"), "u", "left_anti").join(dropped.withColumnRenamed("node", "v"), "v", "left_anti").select("u", "v").checkpoint()
         if edges.isEmpty():
             break
+    if keep:
+        return pairs.select(F.col("i").alias("node")).union(pairs.select("j")).distinct().join(dropped, "node", "left_anti")
     return dropped
 
 

@@ -39,7 +39,15 @@ FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey GROUP BY l_partkey, o_c
 FAM = """SELECT c_custkey AS proband, c_custkey - 2 AS father, c_custkey - 1 AS mother, c_custkey - 2 AS fam_id, c_custkey % 2 = 0 AS is_female
 FROM {customer} WHERE c_custkey % 3 = 2 AND c_custkey < 150"""
 
-VIEWS = {"v_samples": SAMPLES, "v_variants": VARIANTS, "v_entries": DENSE, "v_sparse": SPARSE, "v_fam": FAM}
+ANNOTATED = f"""SELECT v.*, vid % 6 = 0 AS transmitted_singleton, CASE WHEN vid % 3 <> 0 THEN cast(vid % 37 AS double) / 36 END AS p_de_novo,
+  CASE WHEN vid % 4 = 0 THEN 'HIGH' WHEN vid % 4 = 1 THEN 'MEDIUM' WHEN vid % 4 = 2 THEN 'LOW' END AS confidence,
+  CASE WHEN vid % 5 = 0 THEN 'synonymous_variant' WHEN vid % 5 = 1 THEN 'missense_variant' END AS consequence,
+  CASE WHEN vid % 29 = 0 THEN 'De novo constitutive' WHEN vid % 29 = 1 THEN 'Maternally inherited' END AS inheritance,
+  vid % 3 AS unrelated_ac, vid % 4 AS errors, vid % 2 AS t, vid % 7 AS u, vid % 3 AS n_transmitted, vid % 4 AS n_untransmitted, AC AS ac_raw,
+  vid % 7 = 0 AS mills, vid % 11 = 0 AS kgp_phase1_hc, QD < 2 OR FS > 60 OR MQ < 30 AS fail_hard_filters, cast(vid * 13 % 300 AS double) / 300 AS score
+FROM ({VARIANTS}) v"""
+
+VIEWS = {"v_annotated": ANNOTATED, "v_samples": SAMPLES, "v_variants": VARIANTS, "v_entries": DENSE, "v_sparse": SPARSE, "v_fam": FAM}
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings")
 
 

@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
 
-def with_checkpoints(spark: SparkSession) -> None:
-    """Use the cluster's spark.checkpoint.dir for checkpoint(); a temporary folder where it is unset, as in tests."""
+def shared_folder(spark: SparkSession, label: str | None = None) -> str:
+    """The folder that all executors share, named by spark.checkpoint.dir, or a new one below it; never a machine-local one."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="gridloom-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return path.rstrip("/") if label is None else f"{path.rstrip('/')}/gridloom/{label}-{uuid.uuid4().hex}"
+
+
+def with_checkpoints(spark: SparkSession) -> None:
+    """Let checkpoint() write to the shared folder."""
     if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(path)
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
 def local_session(cpus: int | str = "*", partitions: int = 8, **conf: str) -> SparkSession:
