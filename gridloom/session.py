@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def shared_folder(spark: SparkSession, label: str | None = None) -> str:
-    """The folder that all executors share, named by spark.checkpoint.dir, or a new one below it; never a machine-local one."""
+    """The folder that all executors share, named by spark.checkpoint.dir, or a new one below it.
+
+    Where it is unset, a session in one JVM, as in tests, gets a temporary folder; on a cluster this is an error.
+    """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        path = tempfile.mkdtemp(prefix="gridloom-")
+        spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/") if label is None else f"{path.rstrip('/')}/gridloom/{label}-{uuid.uuid4().hex}"
 
 
