@@ -8,13 +8,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridloom.session import shared_folder
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share, named by spark.checkpoint.dir; without one there is no safe place to write."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    return path.rstrip("/")
+    """The folder that all executors share, named by spark.checkpoint.dir.
+
+    Where it is unset, a session in one JVM, as in tests, gets a temporary folder; on a cluster this is an error.
+    """
+    return shared_folder(spark)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
