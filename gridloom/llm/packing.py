@@ -75,11 +75,34 @@ def knapsack(lengths: np.ndarray, prices: np.ndarray, capacity: int) -> tuple[np
     return value, choice
 
 
+def _filled(counts: dict[int, int], lengths: np.ndarray, most: np.ndarray, capacity: int) -> dict[int, int]:
+    """counts with the longest pieces left added as long as one fits; lengths descend."""
+    counts = {j: k for j, k in counts.items() if k > 0}
+    room, left = capacity - sum(int(lengths[j]) * k for j, k in counts.items()), most.copy()
+    for j, k in counts.items():
+        left[j] -= k
+    at = 0
+    while True:
+        at = max(at, len(lengths) - int(np.searchsorted(lengths[::-1], room, side="right")))
+        more = np.flatnonzero(left[at:] >= 1)
+        if not len(more):
+            return counts
+        at += int(more[0])
+        take = min(int(left[at]), room // int(lengths[at]))
+        if take < 1:
+            continue
+        counts[at] = counts.get(at, 0) + take
+        room -= take * int(lengths[at])
+        left[at] -= take
+        at += 1
+
+
 def priced_configurations(lengths: np.ndarray, prices: np.ndarray, rest: np.ndarray, capacity: int, within: float) -> list[tuple[float, np.ndarray, np.ndarray]]:
     """(total price, lengths used, their counts) of the best configurations with each open length, dearest first.
 
-    One dynamic program prices them all; those that lie `within` the dearest are returned. Counts above what is left of a
-    length are cut down, which only lowers the price.
+    One dynamic program prices them all; those that lie `within` the dearest are returned. The program takes a length any
+    number of times: counts above what is left of it are cut down, and the room this gives is filled with the longest
+    pieces left that fit.
     """
     value, choice = knapsack(lengths, prices, capacity)
     at = np.maximum.accumulate(np.where(choice >= 0, np.arange(capacity + 1), 0))
@@ -93,11 +116,13 @@ def priced_configurations(lengths: np.ndarray, prices: np.ndarray, rest: np.ndar
             j = int(choice[c])
             counts[j] = counts.get(j, 0) + 1
             c = int(at[c - lengths[j]])
+        if any(k > most[j] for j, k in counts.items()):
+            counts = _filled({j: min(k, int(most[j])) for j, k in counts.items()}, lengths, most, capacity)
         used = np.fromiter(counts, np.int64, len(counts))
-        n = np.minimum(np.fromiter(counts.values(), np.int64, len(counts)), most[used]).astype(np.int64)
+        n = np.fromiter(counts.values(), np.int64, len(counts))
         price = float(prices[used] @ n)
         best = max(best, price)
-        out.append((price, used[n > 0], n[n > 0]))
+        out.append((price, used, n))
     return sorted((x for x in out if x[0] >= (1 - within) * best), key=lambda x: -x[0])
 
 

@@ -34,6 +34,7 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 DIGITS = r"(?<![A-Za-z0-9.,+-])[(]?[0-9](?:[ ().-]?[0-9]){6,18}(?![A-Za-z0-9])"
 SPELLED = r"(?<![A-Za-z0-9._-])[A-Za-z0-9._-]{2,40} ?(?:\(at\)|\[at\]| at ) ?[A-Za-z0-9-]{2,40} ?(?:\(dot\)|\[dot\]| dot ) ?[A-Za-z]{2,6}(?![A-Za-z])"
 ACCOUNT = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+GENERATORS = {"number": DIGITS, "spelled_email": SPELLED, "account": ACCOUNT}
 KINDS = ("email", "ip", "card", "phone", "number", "spelled_email", "account")
 CONTEXT = 24
 NEAR_WORDS = {

@@ -7,7 +7,7 @@ import numpy as np
 from xxhash import xxh64_intdigest
 
 from gridloom.llm import bucket_digest, line_dedup, simhash, vector_dedup
-from gridloom.llm.common import components
+from gridloom.llm.common import components, cut
 
 from .cases import docs, rows
 
@@ -107,9 +107,23 @@ def test_digests(spark):
 
 
 def _shingles(line):
-    import re
+    """One shingle at every character, by slicing."""
+    k = line_dedup.WIDTH
+    return {line[i : i + k] for i in range(max(1, len(line) - k + 1))}
 
-    return {m.group(1) for m in re.finditer(line_dedup.SHINGLES, line)}
+
+def similar_lines(lines, threshold=0.8):
+    """All pairs of line numbers with that Jaccard similarity, by brute force over lines that share a shingle."""
+    sets, holders = [_shingles(x) for x in lines], defaultdict(list)
+    for i, s in enumerate(sets):
+        for x in s:
+            holders[x].append(i)
+    shared = defaultdict(int)
+    for own in holders.values():
+        for k, i in enumerate(own):
+            for j in own[k + 1 :]:
+                shared[i, j] += 1
+    return [(i, j) for (i, j), n in shared.items() if n >= threshold * (len(sets[i]) + len(sets[j]) - n) - 1e-9]
 
 
 def test_line_dedup(spark):
@@ -176,6 +190,21 @@ def test_vector_links(spark):
     assert vector_dedup.links(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_vector_links_over_shards(spark):
+    """12,000 vectors in eight shards, most pairs of shards not shared: recall by the audit and by brute force, nothing over."""
+    rng = np.random.default_rng(8)
+    centre = rng.normal(size=(400, 24))
+    x = centre[rng.integers(0, 400, 12_000)] + 0.33 * rng.normal(size=(12_000, 24))
+    d = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    result = cut(vector_dedup.links(d), "links")
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = np.concatenate([(u[i : i + 1000] @ u.T >= 0.9).sum(1) - 1 for i in range(0, 12_000, 1000)])
+    got = {r["vec_id"]: r["n_links"] for r in result.collect()}
+    have = np.array([got[i] for i in range(12_000)])
+    assert want.sum() > 20_000 and (have <= want).all() and have.sum() >= 0.95 * want.sum()
+    assert vector_dedup.audit_recall(d, result).first()["recall"] >= 0.95
+
+
 def test_vector_links_of_a_dense_group(spark, monkeypatch):
     monkeypatch.setattr(vector_dedup, "SHARD_ROWS", 60)
     rng = np.random.default_rng(4)
@@ -193,22 +222,87 @@ def test_vector_links_of_a_dense_group(spark, monkeypatch):
 
 
 def test_lines_of_few_shingles(spark):
+    """Short lines with one or two edits anywhere: nearly all similar pairs are found, and none that is not similar."""
     r = random.Random(3)
-    word = lambda: "".join(r.choice("abcdefghij") for _ in range(6)) + " " * 6  # noqa: E731  (one shingle, whatever follows)
-    families = [[word() for _ in range(5)] for _ in range(250)]
-    texts = [["".join(f)] + ["".join(f[:i] + f[i + 1 :]) for i in range(5)] for f in families]
-    flat = [x for t in texts for x in t]
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randint(2, 9)))
+    flat = []
+    for _ in range(300):
+        base = " ".join(word() for _ in range(r.randint(8, 20)))
+        flat.append(base)
+        for _ in range(4):
+            x = base
+            for _ in range(r.randint(1, 2)):
+                at = r.randrange(len(x))
+                x = x[:at] + r.choice(["", "q", "zz "]) + x[at + r.randint(0, 2) :]
+            flat.append(x)
+    flat = list(dict.fromkeys(flat))
     d = spark.createDataFrame(list(enumerate(flat)), "doc_id long, text string")
     rows = line_dedup.lines(d)
-    minima = {(x["a"], x["b"]): [x[m] for m in line_dedup.MINIMA] for x in line_dedup.signatures(rows).collect()}
-    of = {x["line"]: minima[x["a"], x["b"]] for x in rows.select("line", "a", "b").collect()}
-    bands = lambda x: {(j, *of[x][j : j + line_dedup.ROWS]) for j in range(0, len(of[x]), line_dedup.ROWS)}
-    links = [(t[0], x) for t in texts for x in t[1:] if bands(t[0]) & bands(x)]  # base and member have 4 of 5, two members 3
-    label, first = closure(flat, links), {}
-    for i, x in enumerate(flat):
-        first.setdefault(label[x], i)
-    kept = {x["doc_id"] for x in line_dedup.dedup_lines(d).filter("n_dropped = 0").collect()}
-    assert len(links) > 1200 and kept == set(first.values())
+    sig = cut(line_dedup.signatures(rows), "signatures")
+    of = {x["line"]: x["component"] for x in line_dedup.line_components(sig, rows).join(sig, "id").join(rows.select("a", "b", "line"), ["a", "b"]).collect()}
+    links = similar_lines(flat)
+    want = closure(range(len(flat)), links)
+    found = sum(flat[i] in of and of[flat[i]] == of.get(flat[j]) for i, j in links)
+    assert len(links) > 200 and found >= 0.97 * len(links)
+    for group in _groups(of).values():
+        at = {want[flat.index(x)] for x in group}
+        assert len(at) == 1  # never joins what brute force keeps apart
+
+
+def test_recall_on_documents(spark, sf_dir):
+    """Over the whole test table: components are those of brute force over all character shingles."""
+    d = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = line_dedup.lines(d)
+    sig = cut(line_dedup.signatures(rows), "signatures")
+    of = {x["line"]: x["component"] for x in line_dedup.line_components(sig, rows).join(sig, "id").join(rows.select("a", "b", "line").distinct(), ["a", "b"]).collect()}
+    flat = [x["line"] for x in rows.select("line").distinct().collect()]
+    links = similar_lines(flat)
+    found = sum(flat[i] in of and of[flat[i]] == of.get(flat[j]) for i, j in links)
+    assert found >= 0.97 * len(links)
+    assert sum(len(g) - 1 for g in _groups(of).values()) <= sum(len(g) - 1 for g in _groups(closure(range(len(flat)), links)).values())
+
+
+def test_clashing_names(spark):
+    """Columns named as the operators' own are passed on, or replaced where the docstring says so."""
+    from pyspark.sql import functions as F
+
+    from gridloom.llm import toxicity
+
+    names = ("drop", "n_lines", "n_dropped", "keep_id", "keep_hash", "component", "component_id", "fp", "row_hash", "score")
+    d = docs(spark).drop("row_hash").withColumns({n: F.lit(f"own {n}") for n in names})
+    out = line_dedup.dedup_lines(d)
+    assert out.count() == d.count() and out.filter("drop = 'own drop' and score = 'own score'").count() == d.count()
+    assert out.columns == [c for c in d.columns if c not in ("n_lines", "n_dropped")] + ["n_lines", "n_dropped"]
+    kept = simhash.keep_one(d)
+    assert kept.columns == d.columns and kept.filter("keep_id = 'own keep_id' and fp = 'own fp'").count() == kept.count()
+    assert toxicity.score(d, 0.25).filter("score = 0.25").count() == d.count()
+
+
+def test_large_tables_are_shuffled(spark, monkeypatch):
+    """The results beyond the bound of broadcasts are those within it."""
+    from gridloom.llm import common
+
+    d = docs(spark)
+    small = (sorted(map(str, line_dedup.dedup_lines(d).collect())), sorted(map(str, simhash.classes(d).collect())))
+    keep = common.small_side
+    for m in (common, line_dedup, simhash):
+        monkeypatch.setattr(m, "small_side", lambda df, most_bytes=0: keep(df, -1))
+    assert (sorted(map(str, line_dedup.dedup_lines(d).collect())), sorted(map(str, simhash.classes(d).collect()))) == small
+
+
+def test_crowded_buckets(spark, monkeypatch):
+    """Lines that share a long passage: the index of rare shingles finds what meeting all members finds."""
+    r = random.Random(12)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randint(2, 9)))
+    passage = " ".join(word() for _ in range(60))
+    flat = [f"{passage} {' '.join(word() for _ in range(40))}" for _ in range(70)]
+    flat += [x[:-9] for x in flat[:20]]
+    d = spark.createDataFrame(list(enumerate(flat)), "doc_id long, text string")
+    want = closure(range(len(flat)), similar_lines(flat))
+    for hot in (2, 32, 1000):
+        monkeypatch.setattr(line_dedup, "HOT", hot)
+        kept = {x["doc_id"] for x in line_dedup.dedup_lines(d).filter("n_dropped = 0").collect()}
+        assert kept == set(want.values()), hot
 
 
 def test_lines_without_blanks(spark):
