@@ -12,6 +12,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+import regex
 
 from gridloom.llm import bucket_digest, line_dedup, pii, secrets, toxicity
 from gridloom.llm.bpe import default_tokenizer
@@ -91,7 +92,7 @@ def test_op2(run):
     kinds, got = run("op2_pii")
     assert [kinds[f"n_{k}"] for k in ("email", "ip", "card", "phone")] == ["bigint"] * 4 and kinds["base_sha256"] == kinds["spans"] == "string"
     by = {r["doc_id"]: r for r in got}
-    makers = {k: re.compile(p) for k, p in pii.GENERATORS.items()}
+    makers = {k: regex.compile(p) for k, p in pii.GENERATORS.items()}
     for i, t, *_ in table():
         t, base = t or "", _personal(t or "")
         assert [by[i][f"n_{k}"] for k in ("email", "ip", "card", "phone")] == [sum(s[3] == k for s in base) for k in ("email", "ip", "card", "phone")]
