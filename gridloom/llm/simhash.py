@@ -87,18 +87,20 @@ def first_shared(difference: Column, masks: list[int]) -> Column:
 def linked_components(fps: DataFrame, distance: int = 4) -> DataFrame:
     """(fp, component) for each distinct fp that has a link; component is the smallest fp reachable.
 
-    Keys are counted first, and only fingerprints under a key that is shared go on. Sizes and pivots of buckets are
-    aggregations, combined before the shuffle, and are joined back; no task holds a bucket.
+    Sizes, smallest and largest members of buckets are aggregations, combined before the shuffle; only members of
+    buckets of three or more are looked up again, and no task holds a bucket.
     """
     masks = variant_masks(distance)
     key = ["variant", "bits"]
     keys = fps.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in masks])).alias(*key))
     buckets = keys.groupBy(*key).agg(F.min("fp").alias("low"), F.max("fp").alias("high"), F.count("*").alias("n")).filter("n > 1")
     buckets = cut(buckets, "buckets")
-    members = cut(keys.join(small_side(buckets), key), "variants")
+    # Most buckets hold two fingerprints that met by chance: their smallest and largest are all there is to compare.
+    pairs = buckets.filter(_near("low", "high", distance)).select(F.col("low").alias("fp"), F.col("high").alias("pivot"))
+    members = cut(keys.join(small_side(cut(buckets.filter("n > 2"), "crowds")), key), "variants")
     met = [members.filter((F.col("fp") != F.col(p)) & _near("fp", p, distance)).select("fp", F.col(p).alias("pivot")) for p in ("low", "high")]
-    labels = cut(components(met[0].union(met[1])), "first")
-    larger = members.filter("n > 2").select(*key, "fp").join(small_side(labels).withColumnRenamed("node", "fp"), "fp", "left")
+    labels = cut(components(pairs.union(met[0]).union(met[1])), "first")
+    larger = members.select(*key, "fp").join(small_side(labels).withColumnRenamed("node", "fp"), "fp", "left")
     larger = cut(larger.select(*key, "fp", F.coalesce("component", "fp").alias("c")), "larger")
     per = larger.groupBy(*key, "c").agg(F.count("*").alias("m"))
     main = per.groupBy(*key).agg(F.max(F.struct("m", "c")).alias("top"), F.count("*").alias("parts")).filter("parts > 1")
