@@ -53,8 +53,10 @@ def running_counts(df: DataFrame, keys: list[str], x: str, counts: dict[str, Col
     base = per.select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.col("__piece").alias("__at"), *[F.coalesce(F.sum(f"__n_{k}").over(up), F.lit(0)).alias(f"__b_{k}") for k in counts])
     inside = W.partitionBy(*keys, "__piece").orderBy(x).rowsBetween(W.unboundedPreceding, -1)
     c = c.withColumns({f"__i_{k}": F.coalesce(F.sum(k).over(inside), F.lit(0)) for k in counts})
-    on = [F.col("__piece") == F.col("__at"), *[F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys]]
-    return c.join(base, on).select(*keys, x, *counts, *[(F.col(f"__i_{k}") + F.col(f"__b_{k}")).alias(f"{k}_before") for k in counts])
+    # One struct on either side: missing keys are equal, and no filter on the piece's formula is carried to the other side.
+    own = F.struct(F.col("__piece").alias("p"), *[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
+    other = F.struct(F.col("__at").alias("p"), *[F.col(f"__k_{k}").alias(f"k{i}") for i, k in enumerate(keys)])
+    return c.join(base, own.eqNullSafe(other)).select(*keys, x, *counts, *[(F.col(f"__i_{k}") + F.col(f"__b_{k}")).alias(f"{k}_before") for k in counts])
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], x: str, q: list[float]) -> DataFrame:
