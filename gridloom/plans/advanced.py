@@ -132,10 +132,15 @@ def ld_prune(spark, d):
     return popgen.ld_prune(_few(spark, d), view(spark, d, "v_variants").filter("vid < 200"), 0.1, 2_000).select("vid", "contig", "position")
 
 
-@query()
+@query("""WITH r AS (SELECT vid, proband, max(n_alt) FILTER (WHERE role = 'c') AS c, max(n_alt) FILTER (WHERE role = 'f') AS f, max(n_alt) FILTER (WHERE role = 'm') AS m, min(gq) FILTER (WHERE role <> 'c') AS q,
+  max(dp) FILTER (WHERE role = 'c') AS dp, max(ad_alt) FILTER (WHERE role = 'c') AS ad FROM v_entries
+  JOIN (SELECT proband, proband AS sid, 'c' AS role FROM v_fam UNION ALL SELECT proband, father, 'f' FROM v_fam UNION ALL SELECT proband, mother, 'm' FROM v_fam) USING (sid) GROUP BY vid, proband HAVING count(DISTINCT role) = 3),
+x AS (SELECT vid, proband, cast(ad AS double) / dp AS ab, 1 - pow(1 - greatest((vid % 50) / 1000.0, 100 / 30000000.0), 4) AS h, pow(10.0, -q / 10.0) AS s FROM r WHERE c = 1 AND f = 0 AND m = 0),
+y AS (SELECT *, (1 - s) / 30000000 / ((1 - s) / 30000000 + h * s) AS p FROM x)
+SELECT vid, proband, round(p, 6) AS p_de_novo, CASE WHEN p > 0.99 AND ab > 0.3 THEN 'HIGH' WHEN p > 0.5 AND ab > 0.2 THEN 'MEDIUM' WHEN p > 0.05 THEN 'LOW' END AS confidence FROM y""")
 def de_novo(spark, d):
     from gridloom.operators.joins import trios
 
     t = trios(view(spark, d, "v_entries"), view(spark, d, "v_fam"), ["n_alt", "gq", "dp", "ad_alt"])
     prior = view(spark, d, "v_variants").select("vid", (F.col("vid") % 50 / 1000.0).alias("prior_af"))
-    return family.de_novo(t, prior)
+    return rounded(family.de_novo(t, prior))
