@@ -5,6 +5,7 @@ from __future__ import annotations
 from gridloom.llm.bucket_digest import op5_bucket_digest
 from gridloom.llm.line_dedup import op7_line_dedup
 from gridloom.llm.mixing import OP9_SQL, op9_source_mix
+from gridloom.llm.periodic_runs import op11_periodic_runs
 from gridloom.llm.packing import op8_best_fit_packing
 from gridloom.llm.pii import op2_pii
 from gridloom.llm.secrets import op1_secret_scan
@@ -24,5 +25,6 @@ LLM_QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_source_mix": op9_source_mix,
     "op10_toxicity": op10_toxicity,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 LLM_SQL = {"op9_source_mix": OP9_SQL}
