@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from gridloom.llm.bucket_digest import op5_bucket_digest
+from gridloom.llm.hard_negatives import op12_hard_negatives
 from gridloom.llm.line_dedup import op7_line_dedup
 from gridloom.llm.mixing import OP9_SQL, op9_source_mix
 from gridloom.llm.periodic_runs import op11_periodic_runs
@@ -26,5 +27,6 @@ LLM_QUERIES = {
     "op9_source_mix": op9_source_mix,
     "op10_toxicity": op10_toxicity,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_hard_negatives": op12_hard_negatives,
 }
 LLM_SQL = {"op9_source_mix": OP9_SQL}
