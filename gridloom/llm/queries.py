@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from gridloom.llm.bucket_digest import op5_bucket_digest
+from gridloom.llm.class_lm import op13_class_lm
 from gridloom.llm.hard_negatives import op12_hard_negatives
 from gridloom.llm.line_dedup import op7_line_dedup
 from gridloom.llm.mixing import OP9_SQL, op9_source_mix
@@ -28,5 +29,6 @@ LLM_QUERIES = {
     "op10_toxicity": op10_toxicity,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_class_lm": op13_class_lm,
 }
 LLM_SQL = {"op9_source_mix": OP9_SQL}
