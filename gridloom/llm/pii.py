@@ -60,7 +60,7 @@ TEMPLATES = (
     ("number", 1, "call", "000-000-0000"), ("number", 1, "phone:", "(000) 000-0000"), ("number", 1, "tel", "000 00 00 00"), ("number", 1, "mobile", "0000000000"),
     ("number", 1, "fax:", "0000 000000"), ("number", 1, "whatsapp", "000 000 000"), ("number", 1, "my phone is", "000.000.0000"), ("number", 1, "telefon", "0000-0000000"),
     ("number", 1, "ssn", "000-00-0000"), ("number", 1, "social security", "000-00-0000"), ("number", 1, "ssn:", "000000000"), ("number", 1, "passport", "000000000"),
-    ("number", 1, "card", "0000 0000 0000 0000"), ("number", 1, "konto", "0000000000"), ("number", 1, "account", "00000000"), ("number", 1, "tax id", "00-0000000"),
+    ("number", 1, "dni", "00000000"), ("number", 1, "konto", "0000000000"), ("number", 1, "account", "00000000"), ("number", 1, "tax id", "00-0000000"),
     ("number", 0, "order", "0000000000"), ("number", 0, "invoice", "0000-000000"), ("number", 0, "ticket", "000-000-0000"), ("number", 0, "part", "000-00-0000"),
     ("number", 0, "isbn", "000-0-00-000000-0"), ("number", 0, "version", "0.0.00.000"), ("number", 0, "total", "0000000"), ("number", 0, "issn", "0000-0000"),
     ("number", 0, "the", "00000000"), ("number", 0, "and", "0000000000000000"), ("number", 0, "of", "0000 0000"), ("number", 0, "with", "000 000 000"),
@@ -137,7 +137,7 @@ def training_rows(spark: SparkSession, n: int = TRAIN_ROWS) -> DataFrame:
     words = F.when(F.pmod(F.xxhash64("id", F.lit("w")), F.lit(10)) == 0, F.lit("")).otherwise(F.col("t.words"))
     lead = F.concat(F.element_at(plain, F.pmod(F.xxhash64("id", F.lit("l")), F.lit(6)).cast("int") + 1), words)
     made = made.select("id", "template", "t.label", lead.alias("lead"), body.alias("body"), F.concat(lead, body, F.lit(" and so on.")).alias("text"))
-    made = with_matches(made, "text", GENERATORS)
+    made = _one_kind(with_matches(made, "text", GENERATORS))
     start, stop = F.length("lead"), F.length("lead") + F.length("body")
     covered = lambda s: 2 * (F.least(s["stop"], stop) - F.greatest(s["start"], start)) >= F.length("body")
     found = F.concat(*[F.transform(F.filter(k, covered), lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), s["text"].alias("text"))) for k in GENERATORS])
@@ -147,6 +147,12 @@ def training_rows(spark: SparkSession, n: int = TRAIN_ROWS) -> DataFrame:
     return rows.select("id", "template", "kind", "label", *[v.cast("double").alias(k) for k, v in _described(F.col("text"), F.col("span"), F.col("kind")).items()])
 
 
+def _one_kind(rows: DataFrame) -> DataFrame:
+    """Digit groups that a more specific generator proposes as well are left to it: kinds of one span don't compete."""
+    inside = lambda s: F.exists(F.concat("date", "account"), lambda o: (o["start"] <= s["start"]) & (s["stop"] <= o["stop"]))
+    return rows.withColumn("number", F.when(F.size("number") > 0, F.filter("number", lambda s: ~inside(s))).otherwise(F.col("number")))
+
+
 def _named(kind: str):
     return lambda _: F.lit(kind)
 
@@ -247,7 +253,7 @@ def personal_spans(docs: DataFrame, judge: Judge | None = None) -> DataFrame:
     """One row per document row: doc_id, base (strong spans) and extra (candidates reported), tagged."""
     judge = judge or fit(docs.sparkSession)
     rows = docs.select("doc_id", text_or_empty().alias("text"))
-    rows = with_matches(rows, "text", {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE, **GENERATORS})
+    rows = _one_kind(with_matches(rows, "text", {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE, **GENERATORS}))
     n_digits = lambda s: F.length(_digits(s["text"]))
     rows = rows.withColumns({
         "ip": F.filter("ip", lambda s: ~F.exists(F.split(s["text"], r"\."), lambda p: (F.length(F.ltrim(p, F.lit("0"))) > 3) | (F.coalesce(F.right(p, F.lit(3)).try_cast("int"), F.lit(999)) > 255))),
