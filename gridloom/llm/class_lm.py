@@ -3,8 +3,8 @@
 P(word | word before) = P(class | class before) * P(word | class). Tokens are words with A-Z lower-cased, then one end
 per document; the end has a class of its own and is also what comes before the first word.
 
-* Counts of all words of the training documents are summed by word. Words with at least a 1/FREQUENT share of all tokens
-  (so at most FREQUENT words) are numbered by frequency and known to every task; all others are looked up by joins.
+* Counts of all words of the training documents are summed by word. The FREQUENT first words by count are numbered and
+  known to every task; any other has at most a 1/FREQUENT share of all tokens and is looked up by joins.
 * Documents are coded once: numbers of frequent words, and places in the document's own list of other words.
 * Exchange clustering (Brown et al. 1992; Uszkoreit and Brants 2008): frequent words start in classes by rank. Their
   neighbour counts are one row a word. In a round each task takes its words in turn, takes each out of its class, puts it
@@ -36,9 +36,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import cut, small_side, text_batches, text_or_empty
+from gridloom.llm.common import cut, drop_cut, small_side, text_batches, text_or_empty
 
-FREQUENT = 1 << 16
+FREQUENT = 1 << 15
 #: Distinct entries that a task gathers before it passes them on.
 HELD = 500_000
 END = ""
@@ -309,7 +309,7 @@ class ClassModel:
 
 def tagged(codes: DataFrame, frequent_n: np.ndarray, frequent_class: np.ndarray, others: DataFrame, n_tokens: int, n_words: int, k: int) -> DataFrame:
     """(doc_id, learn, n_tokens, n_known, base_score, log_n, tags): a tag is a token's class, plus 128 for words met once; k + 1 is unknown."""
-    wanted = cut(codes.select("row", F.posexplode("others").alias("place", "word")), "wanted")
+    wanted = codes.select("row", F.posexplode("others").alias("place", "word"))
     found = wanted.join(small_side(others), "word").groupBy("row").agg(F.collect_list("place").alias("places"), F.collect_list("n").alias("ns"), F.collect_list("class").alias("classes"))
     size = F.size("others").alias("n_others")
     rows = codes.select("row", "doc_id", "learn", "codes", size).join(found, "row", "left")
@@ -395,12 +395,17 @@ def class_lm(docs: DataFrame, learn: Column, n_classes: int = 64, rounds: int =
     counts = cut(word_counts(docs.filter(learn)), "counts")
     sums = counts.filter("n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     n_tokens, n_words = int(sums["n"]), int(sums["v"])
-    top = [(r["word"], r["n"]) for r in counts.filter((F.col("word") == END) | (F.col("n") * frequent >= n_tokens)).collect()]  # at most `frequent` words
-    top = sorted(dict([(END, 0), *top]).items(), key=lambda r: (r[0] != END, -r[1], r[0]))
+    # The first `frequent` words; a share of 1 / (32 frequent), which at most 32 times as many can have, is asked first.
+    first = counts.filter(F.col("n") * (32 * frequent) >= n_tokens).orderBy(F.desc("n"), "word").limit(frequent).collect()
+    ends = counts.filter(F.col("word") == END).collect()
+    drop_cut(counts)
+    top = sorted({END: 0, **{r["word"]: r["n"] for r in [*first, *ends]}}.items(), key=lambda r: (r[0] != END, -r[1], r[0]))
     names, ns = [w for w, _ in top], np.array([n for _, n in top], dtype=np.int64)
     codes = coded(docs, learn, names)
     train = codes.filter("learn")
-    classes, table, history = cluster(neighbours(train, len(names)), len(names), 0, k, rounds)
+    near = neighbours(train, len(names))
+    classes, table, history = cluster(near, len(names), 0, k, rounds)
+    drop_cut(near)
     others = other_words(train, classes, table, k)
     tags = tagged(codes, ns, classes[:-1], others, n_tokens, n_words, k)
     log_next, totals = smoothed(transitions(tags.filter("learn"), k), prior)
