@@ -185,7 +185,7 @@ def _split(x: np.ndarray, g: np.ndarray, h: np.ndarray, ridge: float) -> tuple[i
     return at
 
 
-def boost(x: np.ndarray, y: np.ndarray, rounds: int = 40, rate: float = 0.3, ridge: float = 1.0) -> list[Tree]:
+def boost(x: np.ndarray, y: np.ndarray, rounds: int = 40, rate: float = 0.5, ridge: float = 1.0) -> list[Tree]:
     """Newton boosting of the logistic loss with trees of depth 2."""
     z, out = np.zeros(len(y)), []
     for _ in range(rounds):
