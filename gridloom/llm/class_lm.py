@@ -36,9 +36,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import cut, drop_cut, small_side, text_batches, text_or_empty
+from gridloom.llm.common import cut, drop_cut, free_shuffles, small_side, text_batches, text_or_empty
 
-FREQUENT = 1 << 15
+FREQUENT = 1 << 14
 #: Distinct entries that a task gathers before it passes them on.
 HELD = 500_000
 END = ""
@@ -383,7 +383,7 @@ def smoothed(counts: np.ndarray, prior: float) -> tuple[np.ndarray, np.ndarray]:
         return np.log10(np.hstack([(1 - unknown) * (known + prior * totals / n) / (before + prior), unknown])), totals
 
 
-def class_lm(docs: DataFrame, learn: Column, n_classes: int = 64, rounds: int = 4, prior: float = 50.0, frequent: int = FREQUENT) -> tuple[DataFrame, ClassModel]:
+def class_lm(docs: DataFrame, learn: Column, n_classes: int = 64, rounds: int = 3, prior: float = 50.0, frequent: int = FREQUENT) -> tuple[DataFrame, ClassModel]:
     """(doc_id, learn, n_tokens, n_known, base_score, score, perplexity) of all rows of (doc_id, text), and the model.
 
     learn: which rows train. n_classes is at most 125. base_score is that of the add-one unigram model.
@@ -399,6 +399,7 @@ def class_lm(docs: DataFrame, learn: Column, n_classes: int = 64, rounds: int =
     first = counts.filter(F.col("n") * (32 * frequent) >= n_tokens).orderBy(F.desc("n"), "word").limit(frequent).collect()
     ends = counts.filter(F.col("word") == END).collect()
     drop_cut(counts)
+    free_shuffles(spark)
     top = sorted({END: 0, **{r["word"]: r["n"] for r in [*first, *ends]}}.items(), key=lambda r: (r[0] != END, -r[1], r[0]))
     names, ns = [w for w, _ in top], np.array([n for _, n in top], dtype=np.int64)
     codes = coded(docs, learn, names)
@@ -406,7 +407,9 @@ def class_lm(docs: DataFrame, learn: Column, n_classes: int = 64, rounds: int =
     near = neighbours(train, len(names))
     classes, table, history = cluster(near, len(names), 0, k, rounds)
     drop_cut(near)
+    free_shuffles(spark)
     others = other_words(train, classes, table, k)
+    free_shuffles(spark)
     tags = tagged(codes, ns, classes[:-1], others, n_tokens, n_words, k)
     log_next, totals = smoothed(transitions(tags.filter("learn"), k), prior)
     with np.errstate(divide="ignore"):

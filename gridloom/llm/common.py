@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,6 +45,12 @@ def drop_cut(*tables: DataFrame) -> None:
             files.delete(path, True)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs: it does once both sides have dropped their plans."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def small_side(df: DataFrame, most_bytes: int = 12 << 20) -> DataFrame:
     """df, a cut() table, to be broadcast if its files hold at most most_bytes, else to be joined by shuffling.
 
