@@ -6,7 +6,7 @@ per document; the end has a class of its own and is also what comes before the f
 * Counts of all words of the training documents are summed by word. The FREQUENT first words by count are numbered and
   known to every task; any other has at most a 1/FREQUENT share of all tokens and is looked up by joins.
 * Documents are coded once: numbers of frequent words, and places in the document's own list of other words.
-* Exchange clustering (Brown et al. 1992; Uszkoreit and Brants 2008): frequent words start in classes by rank. Their
+* Exchange clustering (Brown et al. 1992; Uszkoreit and Brants 2008): the first CLUSTERED words start in classes by rank. Their
   neighbour counts are one row a word. In a round each task takes its words in turn, takes each out of its class, puts it
   where the likelihood of the class bigrams gains most (all terms, not an approximation), and goes on with its own
   changed tables; between rounds all moves come together. A round that would lower the likelihood is retried with half of
@@ -38,7 +38,9 @@ from pyspark.sql import functions as F
 
 from gridloom.llm.common import cut, drop_cut, free_shuffles, small_side, text_batches, text_or_empty
 
-FREQUENT = 1 << 14
+#: Words that every task knows, and those among them that exchange clustering moves.
+FREQUENT = 1 << 17
+CLUSTERED = 1 << 14
 #: Distinct entries that a task gathers before it passes them on.
 HELD = 500_000
 END = ""
@@ -101,12 +103,11 @@ def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return column.flatten().to_numpy(zero_copy_only=False), column.value_lengths().to_numpy(zero_copy_only=False)
 
 
-def neighbours(train: DataFrame, n_frequent: int) -> DataFrame:
-    """(id, other, n): of each frequent word its counts with the frequent word after it (0 to H) and before it (H + 1 on).
+def neighbours(train: DataFrame, h: int) -> DataFrame:
+    """(id, others, counts): of each of the first h words its counts with the word after it (0 to h) and before it (h + 1 on).
 
-    H stands for all other words. A document's first word comes after the end of the one before, whichever it is.
+    h stands for all other words. A document's first word comes after the end of the one before, whichever it is.
     """
-    h = n_frequent
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out() -> pa.RecordBatch:
@@ -117,7 +118,7 @@ def neighbours(train: DataFrame, n_frequent: int) -> DataFrame:
         held, counts, size = [], [], 0
         for b in batches:
             flat, _ = _flat(b.column("codes"))
-            ids = np.where(flat < 0, h, flat).astype(np.int64)
+            ids = np.where(flat < 0, h, np.minimum(flat, h)).astype(np.int64)
             key, n = np.unique(np.concatenate([[0], ids[:-1]]) * (h + 1) + ids, return_counts=True)
             held.append(key)
             counts.append(n)
@@ -242,9 +243,10 @@ def cluster(near: DataFrame, h: int, end: int, k: int, rounds: int) -> tuple[np.
     return classes, table, history
 
 
-def other_words(train: DataFrame, classes: np.ndarray, table: np.ndarray, k: int) -> DataFrame:
-    """(word, n, class) of the words that are not frequent: the class that gains most by their neighbours' classes."""
+def other_words(train: DataFrame, frequent: list[str], classes: np.ndarray, table: np.ndarray, k: int) -> DataFrame:
+    """(word, n, class) of the words that were not clustered: the class that gains most by their neighbours' classes."""
     h, n = len(classes) - 1, k + 2
+    sent = train.sparkSession.sparkContext.broadcast(frequent[h:])
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out() -> pa.RecordBatch:
@@ -253,23 +255,24 @@ def other_words(train: DataFrame, classes: np.ndarray, table: np.ndarray, k: int
             key, count = np.unique(at * (n * n) + np.concatenate(around), return_counts=True)
             return pa.RecordBatch.from_arrays([words.dictionary.take(pa.array(key // (n * n))), pa.array((key % (n * n)).astype(np.int32)), pa.array(count.astype(np.int64))], names=["word", "around", "n"])
 
-        names, held, around, base = [], [], [], 0
+        known = pa.array(sent.value, pa.string())
+        names, held, around, base = [known], [], [], len(known)
         for b in batches:
             flat, size = _flat(b.column("codes"))
             mine, own = b.column("others").flatten(), b.column("others").value_lengths().to_numpy(zero_copy_only=False)
-            c = classes[np.where(flat < 0, h, flat)]
+            c = classes[np.where(flat < 0, h, np.minimum(flat, h))]
             ends = np.append(c[1:], k)
             pair = np.concatenate([[k], c[:-1]]) * n + ends
-            rare = flat < 0
+            wanted = (flat < 0) | (flat >= h)
             first = np.repeat(np.cumsum(own) - own, size)
             names.append(mine)
-            held.append(base + (first - 1 - flat)[rare])
-            around.append(pair[rare])
+            held.append(np.where(flat < 0, base + first - 1 - flat, flat - h)[wanted])
+            around.append(pair[wanted])
             base += len(mine)
-            if base > HELD:
+            if base > len(known) + HELD or sum(map(len, held)) > 4 * HELD:
                 yield out()
-                names, held, around, base = [], [], [], 0
-        if base:
+                names, held, around, base = [known], [], [], len(known)
+        if held:
             yield out()
 
     seen = train.select("codes", "others").mapInArrow(contexts, "word string, around int, n long").groupBy("word", "around").agg(F.sum("n").alias("n"))
@@ -383,7 +386,7 @@ def smoothed(counts: np.ndarray, prior: float) -> tuple[np.ndarray, np.ndarray]:
         return np.log10(np.hstack([(1 - unknown) * (known + prior * totals / n) / (before + prior), unknown])), totals
 
 
-def class_lm(docs: DataFrame, learn: Column, n_classes: int = 64, rounds: int = 3, prior: float = 50.0, frequent: int = FREQUENT) -> tuple[DataFrame, ClassModel]:
+def class_lm(docs: DataFrame, learn: Column, n_classes: int = 64, rounds: int = 3, prior: float = 50.0, frequent: int = FREQUENT, clustered: int = CLUSTERED) -> tuple[DataFrame, ClassModel]:
     """(doc_id, learn, n_tokens, n_known, base_score, score, perplexity) of all rows of (doc_id, text), and the model.
 
     learn: which rows train. n_classes is at most 125. base_score is that of the add-one unigram model.
@@ -404,13 +407,18 @@ def class_lm(docs: DataFrame, learn: Column, n_classes: int = 64, rounds: int =
     names, ns = [w for w, _ in top], np.array([n for _, n in top], dtype=np.int64)
     codes = coded(docs, learn, names)
     train = codes.filter("learn")
-    near = neighbours(train, len(names))
-    classes, table, history = cluster(near, len(names), 0, k, rounds)
+    h = min(clustered, len(names))
+    near = neighbours(train, h)
+    classes, table, history = cluster(near, h, 0, k, rounds)
     drop_cut(near)
     free_shuffles(spark)
-    others = other_words(train, classes, table, k)
+    others = other_words(train, names, classes, table, k)
     free_shuffles(spark)
-    tags = tagged(codes, ns, classes[:-1], others, n_tokens, n_words, k)
+    class_of = np.append(classes[:h], np.zeros(len(names) - h, np.int64))
+    numbered = spark.createDataFrame([(w, i) for i, w in enumerate(names) if i >= h], "word string, id int")
+    for r in others.join(F.broadcast(numbered), "word").select("id", "class").collect():  # at most `frequent` words
+        class_of[r["id"]] = r["class"]
+    tags = tagged(codes, ns, class_of, others, n_tokens, n_words, k)
     log_next, totals = smoothed(transitions(tags.filter("learn"), k), prior)
     with np.errstate(divide="ignore"):
         emit = np.append(np.where(totals > 0, np.log10(np.maximum(totals, 1)), 0.0), 0.0)
@@ -430,7 +438,7 @@ def class_lm(docs: DataFrame, learn: Column, n_classes: int = 64, rounds: int =
 
     kinds = dict(tags.dtypes)
     scored = tags.mapInArrow(score, f"doc_id {kinds['doc_id']}, learn boolean, n_tokens long, n_known long, base_score double, score double, perplexity double")
-    words = spark.createDataFrame([(w, int(n), int(c)) for (w, n), c in zip(top, classes) if n], "word string, n long, class int").unionByName(others)
+    words = spark.createDataFrame([(w, int(n), int(c)) for (w, n), c in zip(top[:h], classes) if n], "word string, n long, class int").unionByName(others)
     return scored, ClassModel(words, n_tokens, n_words, totals, log_next, history)
 
 
