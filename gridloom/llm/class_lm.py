@@ -287,11 +287,12 @@ def other_words(train: DataFrame, frequent: list[str], classes: np.ndarray, tabl
             around, size = _flat(b.column("arounds"))
             count, _ = _flat(b.column("counts"))
             best = []
-            starts = np.cumsum(size) - size
-            for lo in range(0, len(size), 4096):  # so many words at a time bound the matrix of gains
-                hi = min(lo + 4096, len(size))
+            starts, lo = np.cumsum(size) - size, 0
+            while lo < len(size):  # so many entries at a time bound the matrix of gains; a word has at most n * n
+                hi = max(lo + 1, int(np.searchsorted(starts, starts[lo] + 20_000, side="right")) - 1) if starts[-1] > starts[lo] + 20_000 else len(size)
                 part = slice(starts[lo], starts[hi - 1] + size[hi - 1])
                 best.append(np.add.reduceat(gains[around[part]] * count[part][:, None], starts[lo:hi] - starts[lo]).argmax(1))
+                lo = hi
             chosen = np.concatenate(best) if best else np.zeros(0)
             yield pa.RecordBatch.from_arrays([b.column("word"), b.column("n"), pa.array(chosen.astype(np.int32))], names=["word", "n", "class"])
 
