@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
@@ -11,19 +12,20 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.operators.windows import exact_quantiles
+from gridloom.operators.quantiles import exact_quantiles_of
 
 
 def median_impute(df: DataFrame, features: list[str], by: list[str]) -> DataFrame:
     """Missing features filled with the median of their group; feature_imputed tells which were.
 
-    Medians are exact and found from counts per value, one feature after the other; the table of medians has a row a group.
+    Medians are exact, of all features and groups in one selection; the table of medians has a row a group.
     """
     d = df.withColumn("feature_imputed", F.struct(*[F.col(f).isNull().alias(f) for f in features]))
-    for f in features:
-        med = exact_quantiles(df, by, f, [0.5]).select(*[F.col(k).alias(f"__m_{k}") for k in by], F.col("value").alias("__med"))
-        d = d.join(med, [F.col(k).eqNullSafe(F.col(f"__m_{k}")) for k in by], "left").withColumn(f, F.coalesce(f, "__med")).drop("__med", *[f"__m_{k}" for k in by])
-    return d
+    own = [F.col(k).alias(f"__m{i}") for i, k in enumerate(by)]
+    med = exact_quantiles_of(df, by, features, [0.5]).groupBy(*own).agg(*[F.max(F.when(F.col("column") == f, F.col("value"))).alias(f"__med{i}") for i, f in enumerate(features)])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__m{i}")) for i, k in enumerate(by)])
+    d = d.join(med, same, "left").withColumns({f: F.coalesce(f, f"__med{i}") for i, f in enumerate(features)})
+    return d.select(*df.columns, "feature_imputed")
 
 
 def training_labels(df: DataFrame, truth: list[str], fails: str, test: Column | None = None) -> DataFrame:

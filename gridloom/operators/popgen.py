@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from gridloom.functions.expr import is_adj, min_rep
+from gridloom.operators import packed
 from gridloom.operators.aggregates import call_stats
 from gridloom.operators.windows import downsample_index, running_counts
 from gridloom.session import with_checkpoints
@@ -92,41 +92,20 @@ def pc_project(entries: DataFrame, loadings: DataFrame) -> DataFrame:
     return entries.filter("n_alt is not null").join(use.crossJoin(F.broadcast(n)), "vid").groupBy("sid", "pc").agg(F.sum(norm * F.col("loading")).alias("score"))
 
 
-def normalised(entries: DataFrame) -> DataFrame:
-    """(vid, sid, z, p): Hardy-Weinberg normalised genotypes; sites that do not vary are left out, missing cells are the mean (absent)."""
-    af = entries.filter("n_alt is not null").groupBy("vid").agg((F.sum("n_alt") / (2.0 * F.count("*"))).alias("p")).filter("p > 0 and p < 1")
-    n = af.agg(F.count("*").alias("n_sites"))
-    z = (F.col("n_alt") - 2 * F.col("p")) / F.sqrt(F.col("n_sites") * 2 * F.col("p") * (1 - F.col("p")))
-    return entries.filter("n_alt is not null").join(af.crossJoin(F.broadcast(n)), "vid").select("vid", "sid", z.alias("z"), "p")
+def pca(entries: DataFrame, k: int = 10) -> tuple[list[float], DataFrame, DataFrame]:
+    """(eigenvalues, scores (sid, pc, score), loadings (vid, pc, loading, p)) of Hardy-Weinberg normalised genotypes.
 
-
-def gram(z: DataFrame) -> DataFrame:
-    """(i, j, dot) of the samples x samples Gram matrix, i <= j, by a self join on the site."""
-    a, b = z.select("vid", F.col("sid").alias("i"), F.col("z").alias("zi")), z.select("vid", F.col("sid").alias("j"), F.col("z").alias("zj"))
-    return a.join(b, "vid").filter("i <= j").groupBy("i", "j").agg(F.sum(F.col("zi") * F.col("zj")).alias("dot"))
-
-
-def pca(entries: DataFrame, k: int = 10, most_samples: int = 5000) -> tuple[list[float], DataFrame, DataFrame]:
-    """(eigenvalues, scores (sid, pc, score), loadings (vid, pc, loading, p)).
-
-    The driver holds the Gram matrix, so the number of samples is bounded by most_samples; larger cohorts are handled
-    by fitting on unrelated samples and projecting the rest. Signs are fixed by the largest absolute score.
+    Sites that do not vary are left out and missing cells count as the mean. The number of samples is not bounded: see
+    packed.components. Signs are fixed by the largest absolute score.
     """
-    spark, z = entries.sparkSession, normalised(entries)
-    ids = [r[0] for r in z.select("sid").distinct().orderBy("sid").limit(most_samples + 1).collect()]
-    if len(ids) > most_samples:
-        raise ValueError(f"more than {most_samples} samples: fit on a subset and project the others")
-    at, g = {s: i for i, s in enumerate(ids)}, np.zeros((len(ids), len(ids)))
-    for r in gram(z).toLocalIterator():
-        g[at[r["i"]], at[r["j"]]] = g[at[r["j"]], at[r["i"]]] = r["dot"]
-    values, vectors = np.linalg.eigh(g)
-    order = np.argsort(-values)[:k]
-    values, vectors = values[order], vectors[:, order]
-    vectors = vectors * np.where(vectors[np.abs(vectors).argmax(0), range(len(order))] < 0, -1, 1)
-    rows = [(s, c, float(vectors[i, c]), float(np.sqrt(max(values[c], 0.0)))) for s, i in at.items() for c in range(len(order))]
-    u = spark.createDataFrame(rows, "sid long, pc int, u double, sigma double")
-    load = z.join(u, "sid").groupBy("vid", "pc", "sigma").agg(F.sum(F.col("z") * F.col("u")).alias("t"), F.first("p").alias("p"))
-    return values.tolist(), u.select("sid", "pc", (F.col("u") * F.col("sigma")).alias("score")), load.select("vid", "pc", F.try_divide("t", "sigma").alias("loading"), "p")
+    order = packed.sample_order(entries)
+    cells = packed.pack(entries, order)
+    values, vectors, sites = packed.components(cells, len(order), k)
+    if len(values):
+        vectors = vectors * np.where(vectors[np.abs(vectors).argmax(0), range(len(values))] < 0, -1, 1)
+    scores = vectors * np.sqrt(np.maximum(values, 0))
+    rows = [(s, c, float(scores[i, c])) for i, s in enumerate(order) for c in range(len(values))]  # samples x k
+    return values.tolist(), entries.sparkSession.createDataFrame(rows, "sid long, pc int, score double"), packed.loadings_of(cells, len(order), sites, vectors, values)
 
 
 def pca_with_relateds(entries: DataFrame, related: DataFrame, k: int = 10) -> DataFrame:
@@ -135,22 +114,17 @@ def pca_with_relateds(entries: DataFrame, related: DataFrame, k: int = 10) -> Da
     return scores.unionByName(pc_project(entries.join(related.select("sid"), "sid", "left_semi"), loadings))
 
 
-def pc_relate(entries: DataFrame, scores: DataFrame, min_maf: float = 0.01) -> DataFrame:
-    """(i, j, kin): residual products over sites, with allele frequencies per sample regressed on the components (Conomos et al. 2016)."""
-    k = scores.agg(F.max("pc")).first()[0] + 1
-    wide = scores.groupBy("sid").agg(*[F.max(F.when(F.col("pc") == c, F.col("score"))).alias(f"pc{c}") for c in range(k)])
-    cells = entries.filter("n_alt is not null").join(wide, "sid").select("vid", "sid", F.col("n_alt").cast("double").alias("g"), *[f"pc{c}" for c in range(k)])
-
-    def site(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("sid")
-        x = np.column_stack([np.ones(len(pdf)), pdf[[f"pc{c}" for c in range(k)]].to_numpy()])
-        mu = x @ np.linalg.lstsq(x, pdf["g"].to_numpy(), rcond=None)[0] / 2
-        ok = (mu > min_maf) & (mu < 1 - min_maf)
-        return pd.DataFrame({"vid": pdf["vid"][ok], "sid": pdf["sid"][ok], "r": (pdf["g"].to_numpy() - 2 * mu)[ok], "s": np.sqrt((mu * (1 - mu))[ok])})
+def pc_relate(entries: DataFrame, scores: DataFrame, min_maf: float = 0.01, min_kinship: float | None = None, block: int | None = None) -> DataFrame:
+    """(i, j, kin): residual products over sites, with allele frequencies per sample regressed on the components (Conomos et al. 2016).
 
-    res = cells.groupBy("vid").applyInPandas(site, "vid long, sid long, r double, s double")
-    a, b = res.select("vid", F.col("sid").alias("i"), F.col("r").alias("ri"), F.col("s").alias("si")), res.select("vid", F.col("sid").alias("j"), F.col("r").alias("rj"), F.col("s").alias("sj"))
-    return a.join(b, "vid").filter("i < j").groupBy("i", "j").agg(F.try_divide(F.sum(F.col("ri") * F.col("rj")), 4 * F.sum(F.col("si") * F.col("sj"))).alias("kin"))
+    Only samples with scores take part. With min_kinship only pairs at or above it are returned. See packed.kinship.
+    """
+    wide = scores.groupBy("sid").agg(F.array_sort(F.collect_list(F.struct("pc", "score"))).alias("s")).collect()  # samples x k
+    by = {r["sid"]: [x["score"] for x in r["s"]] for r in wide}
+    order = sorted(by)
+    x = np.array([[1.0, *by[s]] for s in order]).reshape(len(order), -1)
+    cells = packed.pack(entries, order)
+    return packed.kinship(cells, order, x, min_maf, min_kinship, block)
 
 
 def maximal_independent_set(pairs: DataFrame, tie: DataFrame | None = None, rounds: int = 1000, keep: bool = False) -> DataFrame:
@@ -184,26 +158,11 @@ def maximal_independent_set(pairs: DataFrame, tie: DataFrame | None = None, roun
 def ld_prune(entries: DataFrame, sites: DataFrame, r2: float = 0.2, window: int = 500_000) -> DataFrame:
     """Sites kept so that no pair within the window has a squared correlation of r2 or more; greedy in order of position.
 
-    Pair statistics are one join on position bins and one aggregation; the greedy choice runs per contig over the
-    pairs above the threshold only.
+    See packed.linked_pairs and packed.first_choice: the same sites as a walk along each contig, without one task a contig.
     """
-    at = sites.select("vid", "contig", "position").withColumn("bin", F.floor(F.col("position") / window))
-    left = at.select("contig", F.col("vid").alias("a"), F.col("position").alias("pa"), F.explode(F.array("bin", F.col("bin") + 1)).alias("bin"))
-    near = left.join(at.select("contig", F.col("vid").alias("b"), F.col("position").alias("pb"), "bin"), ["contig", "bin"]).filter("(pa < pb or (pa = pb and a < b)) and pb - pa <= " + str(window))
-    g = entries.filter("n_alt is not null").select("vid", "sid", F.col("n_alt").cast("double").alias("x"))
-    both = near.select("contig", "a", "b").distinct().join(g.select(F.col("vid").alias("a"), "sid", F.col("x").alias("xa")), "a").join(g.select(F.col("vid").alias("b"), "sid", F.col("x").alias("xb")), ["b", "sid"])
-    linked = both.groupBy("contig", "a", "b").agg(F.try_divide(F.pow(F.covar_pop("xa", "xb"), F.lit(2)), F.var_pop("xa") * F.var_pop("xb")).alias("r2")).filter(F.col("r2") >= r2)
-    order = linked.join(sites.select(F.col("vid").alias("b"), F.col("position").alias("pb")), "b")
-
-    def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
-        gone: set[int] = set()
-        for b, group in pdf.sort_values(["pb", "b"]).groupby(["pb", "b"], sort=True):
-            if any(a not in gone for a in group["a"]):
-                gone.add(b[1])
-        return pd.DataFrame({"vid": sorted(gone)}, dtype="int64")
-
-    gone = order.groupBy("contig").applyInPandas(greedy, "vid long")
-    return sites.join(gone, "vid", "left_anti")
+    order = packed.sample_order(entries)
+    linked = packed.linked_pairs(packed.pack(entries.join(sites.select("vid"), "vid", "left_semi"), order), sites, len(order), r2, window)
+    return sites.join(packed.first_choice(linked), "vid", "left_anti")
 
 
 def ks_statistic(df: DataFrame, group: str, a: str, b: str, x: str) -> DataFrame:

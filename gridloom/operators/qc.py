@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import expr as X
 from gridloom.operators.aggregates import median_mad
+from gridloom.session import written
 
 
 def hard_filter_fails(qd: str = "QD", fs: str = "FS", mq: str = "MQ") -> Column:
@@ -130,13 +133,19 @@ def ploidy_ratios(entries: DataFrame, rows: DataFrame, x: str = "chrX", y: str =
 
 
 def stratified_outliers(df: DataFrame, key: str, strata: list[str], metrics: list[str], lower: float = 4.0, upper: float = 4.0, per_metric: dict[str, tuple[float, float]] | None = None) -> DataFrame:
-    """(key, strata, metric, value, med, mad, fails): value <= med - k mad or >= med + k mad within its stratum."""
-    long = df.unpivot([key, *strata], metrics, "metric", "value")
+    """(key, strata, metric, value, med, mad, fails): value <= med - k mad or >= med + k mad within its stratum.
+
+    Samples without a stratum are a stratum. The metrics are written once, as medians and deviations read them again.
+    """
+    long = written(df.unpivot([key, *strata], metrics, "metric", "value"), "metrics")
     m = median_mad(long, [*strata, "metric"], "value")
     lo, hi = F.lit(lower), F.lit(upper)
     for name, (a, b) in (per_metric or {}).items():
         lo, hi = F.when(F.col("metric") == name, F.lit(a)).otherwise(lo), F.when(F.col("metric") == name, F.lit(b)).otherwise(hi)
-    return long.join(m, [*strata, "metric"]).withColumn("fails", (F.col("value") <= F.col("med") - lo * F.col("mad")) | (F.col("value") >= F.col("med") + hi * F.col("mad")))
+    own = [*strata, "metric"]
+    m = m.select(*[F.col(k).alias(f"__m{i}") for i, k in enumerate(own)], "med", "mad")
+    out = long.join(m, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__m{i}")) for i, k in enumerate(own)]))
+    return out.select(key, *own, "value", "med", "mad").withColumn("fails", (F.col("value") <= F.col("med") - lo * F.col("mad")) | (F.col("value") >= F.col("med") + hi * F.col("mad")))
 
 
 def failing_metrics(outliers: DataFrame, key: str) -> DataFrame:

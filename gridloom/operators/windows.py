@@ -7,29 +7,51 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from gridloom.functions.expr import binary_search
+from gridloom.operators.quantiles import exact_quantiles_of
 
 
-def stratified_rank(df: DataFrame, strata: list[str], score: str, key: str, subsets: dict[str, Column] | None = None, pieces: int = 64) -> DataFrame:
+#: About so many rows are numbered in one task.
+PIECE = 100_000
+FINEST = 1024
+
+
+def _piece(df: DataFrame, x: Column, pieces: int | None = None) -> Column:
+    """Number of the piece between quantiles of x that a row falls in; so many pieces that one holds about PIECE rows."""
+    q = [i / FINEST for i in range(1, FINEST)]
+    found = df.agg(F.count("*").alias("n"), F.percentile_approx(x, q, 10_000).alias("cuts")).first()
+    pieces = min(FINEST, pieces or -(-found["n"] // PIECE))
+    cuts = [found["cuts"][round(i * FINEST / pieces) - 1] for i in range(1, pieces)] if found["cuts"] else []
+    return binary_search(F.array(*[F.lit(float(c)) for c in sorted(set(cuts))]).cast("array<double>"), x)
+
+
+def stratified_rank(df: DataFrame, strata: list[str], score: str, key: str, subsets: dict[str, Column] | None = None, pieces: int | None = None) -> DataFrame:
     """Adds rank, 0-based within strata in order of (score, key), and for each subset its own rank, missing outside it.
 
     No task sorts a whole stratum: rows fall into pieces between quantiles of the score, which are a function of the
-    row; counts per (stratum, piece) are summed up, and rows are ranked within their piece. Missing scores come last.
+    row; counts per (stratum, piece) are summed up, and rows are ranked within their piece. Missing scores come last, in
+    pieces between quantiles of the key where it is a number. Rows whose stratum is missing are a stratum.
     """
     subsets = subsets or {}
-    cuts = df.agg(F.percentile_approx(F.col(score).cast("double"), [i / pieces for i in range(1, pieces)], 10_000)).first()[0] or []
-    bounds = F.array(*[F.lit(float(c)) for c in sorted(set(cuts))]).cast("array<double>")
-    piece = F.when(F.col(score).isNull(), pieces + 1).otherwise(binary_search(bounds, F.col(score).cast("double")))
+    x = F.col(score).cast("double")
+    piece = F.when(x.isNotNull(), _piece(df, x, pieces))
+    if dict(df.dtypes)[key] in ("tinyint", "smallint", "int", "bigint", "float", "double"):
+        late = F.when(x.isNull(), F.col(key).cast("double"))
+        piece = F.coalesce(piece, FINEST + 1 + _piece(df.filter(x.isNull()), late, pieces))
+    piece = F.coalesce(piece, F.lit(2 * FINEST + 2))
     flags = {f"__f_{n}": F.coalesce(p, F.lit(False)) for n, p in subsets.items()}
-    d = df.withColumn("__piece", piece).withColumns(flags) if flags else df.withColumn("__piece", piece)
+    d = df.withColumns({"__piece": piece, **flags})
     totals = [F.count("*").alias("__n"), *[F.count_if(f).alias(f"__n{f}") for f in flags]]
     counts = d.groupBy(*strata, "__piece").agg(*totals)
     up = W.partitionBy(*strata).orderBy("__piece").rowsBetween(W.unboundedPreceding, -1)
     names = ["__n", *[f"__n{f}" for f in flags]]
-    base = counts.select(*strata, "__piece", *[F.coalesce(F.sum(n).over(up), F.lit(0)).alias(f"__b{n}") for n in names])
-    inside = W.partitionBy(*strata, "__piece").orderBy(F.col(score).asc_nulls_last(), F.col(key))
+    at = [*strata, "__piece"]
+    base = counts.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(at)], *[F.coalesce(F.sum(n).over(up), F.lit(0)).alias(f"__b{n}") for n in names])
+    inside = W.partitionBy(*at).orderBy(F.col(score).asc_nulls_last(), F.col(key))
     run = inside.rowsBetween(W.unboundedPreceding, 0)
     d = d.withColumns({"__r": F.row_number().over(inside) - 1, **{f"__r{f}": F.sum(F.col(f).cast("long")).over(run) - 1 for f in flags}})
-    d = d.join(base, [*strata, "__piece"])
+    # One struct on either side: missing strata are equal, and no filter on the piece's formula is carried to the other side.
+    own, other = (F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(cs)]) for cs in (at, [f"__k{i}" for i in range(len(at))]))
+    d = d.join(base, own.eqNullSafe(other))
     ranks = {"rank": (F.col("__b__n") + F.col("__r")).cast("long"), **{n: F.when(F.col(f"__f_{n}"), F.col(f"__b__n__f_{n}") + F.col(f"__r__f_{n}")).cast("long") for n in subsets}}
     return d.withColumns(ranks).select(*df.columns, *ranks)
 
@@ -61,19 +83,7 @@ def running_counts(df: DataFrame, keys: list[str], x: str, counts: dict[str, Col
 
 def exact_quantiles(df: DataFrame, keys: list[str], x: str, q: list[float]) -> DataFrame:
     """(keys, i, value): the exact quantiles of x per key, interpolated between neighbours; i is the place in q."""
-    c = running_counts(df, keys, x, {"__c": F.count("*")})
-    n = df.filter(F.col(x).isNotNull()).groupBy(*[F.col(k).alias(f"__t_{k}") for k in keys]).agg(F.count("*").alias("__total"))
-    c = c.join(n, [F.col(k).eqNullSafe(F.col(f"__t_{k}")) for k in keys]) if keys else c.crossJoin(F.broadcast(n))
-    at = F.array(*[F.struct(F.lit(i).alias("i"), (F.lit(float(v)) * (F.col("__total") - 1)).alias("at")) for i, v in enumerate(q)])
-    first, last = F.col("__c_before"), F.col("__c_before") + F.col("__c") - 1
-    hit = F.filter(at, lambda t: (F.ceil(t["at"]) >= first) & (F.floor(t["at"]) <= last))
-    h = c.withColumn("__t", F.explode(hit))
-    low, high = F.floor("__t.at"), F.ceil("__t.at")
-    v = F.col(x).cast("double")
-    h = h.groupBy(*keys, F.col("__t.i").alias("i"), F.col("__t.at").alias("__at")).agg(
-        F.max(F.when((low >= first) & (low <= last), v)).alias("__lo"), F.max(F.when((high >= first) & (high <= last), v)).alias("__hi")
-    )
-    return h.select(*keys, "i", (F.col("__lo") + (F.col("__hi") - F.col("__lo")) * (F.col("__at") - F.floor("__at"))).alias("value"))
+    return exact_quantiles_of(df, keys, [x], q).drop("column")
 
 
 def quantile_boundaries(df: DataFrame, score: str, n_bins: int, accuracy: int | None = None) -> list[float]:

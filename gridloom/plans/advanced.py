@@ -106,19 +106,25 @@ def population_rf(spark, d):
     return ml.assign_population(x, [f"pc{i}" for i in range(10)], "known", 0.5, trees=20).select("vec_id", "known", "assigned")
 
 
-def _few(spark, d, n: int = 60):
-    return view(spark, d, "v_entries").filter(f"sid < {n}").select("vid", "sid", "n_alt")
+def _sparse(spark, d):
+    return view(spark, d, "v_sparse").select("vid", "sid", "n_alt")
 
 
 @query()
 def pca(spark, d):
-    return popgen.pca(_few(spark, d), 4)[1]
+    return popgen.pca(_sparse(spark, d), 4)[1]
+
+
+@query()
+def pca_with_relateds(spark, d):
+    """Components of all samples but the probands, which are projected."""
+    return popgen.pca_with_relateds(_sparse(spark, d), view(spark, d, "v_fam").select(F.col("proband").alias("sid")), 4)
 
 
 @query()
 def kinship(spark, d):
-    e = _few(spark, d)
-    return popgen.pc_relate(e, popgen.pca(e, 2)[1])
+    e = _sparse(spark, d)
+    return popgen.pc_relate(e, popgen.pca(e, 2)[1], min_kinship=0.1)
 
 
 @query()
@@ -129,7 +135,7 @@ def independent_set(spark, d):
 
 @query()
 def ld_prune(spark, d):
-    return popgen.ld_prune(_few(spark, d), view(spark, d, "v_variants").filter("vid < 200"), 0.1, 2_000).select("vid", "contig", "position")
+    return popgen.ld_prune(_sparse(spark, d), view(spark, d, "v_variants"), 0.1, 2_000).select("vid", "contig", "position")
 
 
 @query("""WITH r AS (SELECT vid, proband, max(n_alt) FILTER (WHERE role = 'c') AS c, max(n_alt) FILTER (WHERE role = 'f') AS f, max(n_alt) FILTER (WHERE role = 'm') AS m, min(gq) FILTER (WHERE role <> 'c') AS q,

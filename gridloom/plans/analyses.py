@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 
 from gridloom.functions import expr as X
 from gridloom.operators import aggregates as A
-from gridloom.operators import family, popgen, qc, windows
+from gridloom.operators import evaluation, family, popgen, qc, windows
 from gridloom.plans.registry import query, r6, rounded
 from gridloom.plans.views import table, view
 
@@ -61,17 +61,10 @@ def rank_bins(spark, d):
   count(*) FILTER (WHERE omni) AS n_omni, count(*) FILTER (WHERE hapmap) AS n_hapmap, count(*) FILTER (WHERE QD < 2 OR FS > 60 OR MQ < 30) AS fail_hard_filters,
   round(min(score), 6) AS min_score, round(max(score), 6) AS max_score FROM x GROUP BY ALL""")
 def binned_evaluation(spark, d):
-    b = _binned(spark, d).groupBy("bin_id", "contig", "snv", (~F.col("was_split")).alias("bi_allelic"), (F.col("AC") == 1).alias("singleton"), F.col("bin").cast("bigint").alias("bin"))
-    return rounded(b.agg(*_bin_aggregates()))
-
-
-def _bin_aggregates():
-    size = F.abs(F.length("ref") - F.length("alt"))
-    return [
-        F.count("*").alias("n"), F.count_if(X.is_insertion("ref", "alt")).alias("n_ins"), F.count_if(X.is_deletion("ref", "alt")).alias("n_del"), F.count_if(X.is_transition("ref", "alt")).alias("n_ti"),
-        F.count_if(X.is_transversion("ref", "alt")).alias("n_tv"), F.count_if(size == 1).alias("n_1bp_indel"), F.count_if(size % 3 == 0).alias("n_mod3bp_indel"), F.count_if("omni").alias("n_omni"),
-        F.count_if("hapmap").alias("n_hapmap"), F.count_if(qc.hard_filter_fails()).alias("fail_hard_filters"), F.min("score").alias("min_score"), F.max("score").alias("max_score"),
-    ]
+    keys = {"bin_id": F.col("bin_id"), "contig": F.col("contig"), "snv": F.col("snv"), "bi_allelic": ~F.col("was_split"), "singleton": F.col("AC") == 1, "bin": F.col("bin").cast("bigint")}
+    names = {"insertion": "n_ins", "deletion": "n_del", "transition": "n_ti", "transversion": "n_tv", "length_1": "n_1bp_indel", "length_3n": "n_mod3bp_indel", "omni": "n_omni", "hapmap": "n_hapmap"}
+    what = {**evaluation.measures(list(names)), "fail_hard_filters": qc.hard_filter_fails()}
+    return rounded(evaluation.tally(_binned(spark, d), keys, what).withColumnsRenamed(names))
 
 
 @query(_BINNED + """SELECT bin, round(min(score), 6) AS min_score, round(max(score), 6) AS max_score, count(*) AS n, count(*) FILTER (WHERE length(alt) > length(ref)) AS n_ins,
@@ -113,8 +106,8 @@ def downsample_index(spark, d):
 
 @query("SELECT o_orderkey, o_custkey FROM (SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) AS k FROM orders) WHERE k % 7 = 0")
 def systematic_sample(spark, d):
-    o = table(spark, d, "orders")
-    return o.withColumn("k", F.row_number().over(W.partitionBy("o_orderstatus").orderBy("o_orderkey"))).filter("k % 7 = 0").select("o_orderkey", "o_custkey")
+    o = windows.stratified_rank(table(spark, d, "orders"), ["o_orderstatus"], "o_orderkey", "o_orderkey")
+    return o.filter((F.col("rank") + 1) % 7 == 0).select("o_orderkey", "o_custkey")
 
 
 _SAMPLE_METRICS = "SELECT sid, pop, count(n_alt) AS n_called, count(*) FILTER (WHERE n_alt = 1) AS n_het, cast(coalesce(sum(n_alt), 0) AS BIGINT) AS ac FROM v_sparse JOIN v_samples USING (sid) GROUP BY sid, pop"

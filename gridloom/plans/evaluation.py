@@ -13,48 +13,44 @@ from gridloom.sources import io
 
 _SNV = "(length(ref) = 1 AND length(alt) = 1 AND alt <> '*' AND ref <> alt)"
 _SUBSETS = {
-    "singleton_rank": "transmitted_singleton", "biallelic_rank": "NOT was_split", "biallelic_singleton_rank": "NOT was_split AND transmitted_singleton",
-    "de_novo_high_quality_rank": "p_de_novo > 0.9", "de_novo_medium_quality_rank": "p_de_novo > 0.5", "de_novo_synonymous_rank": "consequence = 'synonymous_variant'",
+    "passed_once": "transmitted_singleton", "unsplit": "NOT was_split", "unsplit_passed_once": "NOT was_split AND transmitted_singleton",
+    "de_novo_likely": "p_de_novo > 0.5", "de_novo_strong": "p_de_novo > 0.9", "silent": "consequence = 'synonymous_variant'",
 }
 _RANKS = ", ".join(f"CASE WHEN {p} THEN cast(sum(CASE WHEN {p} THEN 1 ELSE 0 END) OVER w AS BIGINT) - 1 END AS {k}" for k, p in _SUBSETS.items())
-_RANKED = f"""r AS (SELECT *, {_SNV} AS snv, row_number() OVER w - 1 AS rank, {_RANKS} FROM v_annotated WINDOW w AS (PARTITION BY {_SNV} ORDER BY score, vid ROWS UNBOUNDED PRECEDING))"""
+#: Some sites have no alternate, so their type is missing: they are ranked among themselves.
+_HOLES = f"""h AS (SELECT * EXCLUDE (alt, score), CASE WHEN vid % 31 <> 0 THEN alt END AS alt, CASE WHEN vid % 37 <> 0 THEN score END AS score FROM v_annotated),
+r AS (SELECT *, {_SNV} AS snv, row_number() OVER w - 1 AS rank, {_RANKS} FROM h WINDOW w AS (PARTITION BY {_SNV} ORDER BY score NULLS LAST, vid ROWS UNBOUNDED PRECEDING))"""
 _LONG = "l AS (" + " UNION ALL ".join(f"SELECT *, '{k}' AS rank_id, {k} AS r0 FROM r WHERE {k} IS NOT NULL" for k in ("rank", *_SUBSETS)) + "), x AS (SELECT *, cast(ceil((r0 + 1) / cast(greatest(1, floor(count(*) OVER (PARTITION BY snv, rank_id) / 20.0)) AS double)) AS BIGINT) AS bin FROM l)"
 
 
-def _bins(spark, d):
-    return evaluation.ranked_bins(view(spark, d, "v_annotated"), "score", evaluation.family_subsets(), 20)
+def _holes(spark, d):
+    v = view(spark, d, "v_annotated")
+    return v.withColumns({"alt": F.when(F.col("vid") % 31 != 0, F.col("alt")), "score": F.when(F.col("vid") % 37 != 0, F.col("score"))})
 
 
-@query(f"WITH {_RANKED} SELECT vid, rank, {', '.join(_SUBSETS)} FROM r")
+@query(f"WITH {_HOLES} SELECT vid, rank, {', '.join(_SUBSETS)} FROM r")
 def family_subranks(spark, d):
     from gridloom.operators.windows import stratified_rank
 
-    s = view(spark, d, "v_annotated").withColumn("snv", X.is_snp("ref", "alt"))
+    s = _holes(spark, d).withColumn("snv", X.is_snp("ref", "alt"))
     return stratified_rank(s, ["snv"], "score", "vid", evaluation.family_subsets()).select("vid", "rank", *_SUBSETS)
 
 
-_COUNT = {
-    "n_ins": "length(alt) > length(ref) AND alt <> '*'", "n_del": "length(alt) < length(ref) AND alt <> '*'", "n_ti": "ref || alt IN ('AG', 'GA', 'CT', 'TC')",
-    "n_tv": f"{_SNV} AND ref || alt NOT IN ('AG', 'GA', 'CT', 'TC')", "n_1bp_indel": "abs(length(ref) - length(alt)) = 1", "n_mod3bp_indel": "abs(length(ref) - length(alt)) % 3 = 0",
-    "n_singleton": "transmitted_singleton", "n_high_quality_de_novos": "p_de_novo > 0.99", "n_medium_quality_de_novos": "p_de_novo > 0.5", "n_high_confidence_de_novos": "confidence = 'HIGH'",
-    "n_high_quality_de_novos_synonymous": "p_de_novo > 0.99 AND consequence = 'synonymous_variant'", "validated_de_novos": "inheritance = 'De novo constitutive'",
-    "n_de_novo_sites": "unrelated_ac = 0 AND errors > 0", "n_trans_singletons_synonymous_algorithm": "n_transmitted = 1", "n_untrans_singletons_synonymous_algorithm": "n_untransmitted = 1",
-    "n_train_trans_singletons": "unrelated_ac = 1 AND t = 1", "n_omni": "omni", "n_mills": "mills", "n_hapmap": "hapmap", "n_kgp_high_conf_snvs": "kgp_phase1_hc", "fail_hard_filters": "fail_hard_filters",
-}
-_SUM = {
-    "n_de_novo": ("errors", "unrelated_ac = 0"), "n_trans_singletons": ("t", "ac_raw < 3 AND unrelated_ac = 1"), "n_untrans_singletons": ("u", "ac_raw < 3 AND unrelated_ac = 1"),
-    "n_trans_singletons_synonymous": ("t", "ac_raw < 3 AND unrelated_ac = 1 AND consequence = 'synonymous_variant'"),
-    "n_untrans_singletons_synonymous": ("u", "ac_raw < 3 AND unrelated_ac = 1 AND consequence = 'synonymous_variant'"),
-}
-_ALL = ", ".join([f"count(*) FILTER (WHERE {p}) AS {k}" for k, p in _COUNT.items()] + [f"cast(coalesce(sum({x}) FILTER (WHERE {p}), 0) AS BIGINT) AS {k}" for k, (x, p) in _SUM.items()])
-
-
-@query(f"""WITH {_RANKED}, {_LONG} SELECT rank_id, contig, snv, biallelic_rank IS NOT NULL AS bi_allelic, transmitted_singleton AS singleton, singleton_rank IS NOT NULL AS trans_singletons,
-  de_novo_high_quality_rank AS de_novo_high_quality, de_novo_medium_quality_rank IS NOT NULL AS de_novo_medium_quality, de_novo_synonymous_rank IS NOT NULL AS de_novo_synonymous, bin,
-  count(*) AS n, round(min(score), 6) AS min_score, round(max(score), 6) AS max_score, {_ALL} FROM x
-GROUP BY rank_id, contig, snv, bi_allelic, singleton, trans_singletons, de_novo_high_quality, de_novo_medium_quality, de_novo_synonymous, bin""")
+@query(f"""WITH {_HOLES}, {_LONG}, y AS (SELECT *, length(alt) - length(ref) AS grown, ref || alt IN ('AG', 'GA', 'CT', 'TC') AS ti, consequence IS NOT DISTINCT FROM 'synonymous_variant' AS quiet,
+  unrelated_ac = 1 AND ac_raw < 3 AS rare FROM x)
+SELECT rank_id, snv, bin, contig, {', '.join(f"{k} IS NOT NULL AS in_{k}" for k in _SUBSETS)}, count(*) AS n, round(min(score), 6) AS min_score, round(max(score), 6) AS max_score,
+  count(*) FILTER (WHERE grown > 0 AND alt <> '*') AS insertion, count(*) FILTER (WHERE grown < 0 AND alt <> '*') AS deletion, count(*) FILTER (WHERE ti) AS transition, count(*) FILTER (WHERE snv AND NOT ti) AS transversion,
+  count(*) FILTER (WHERE abs(grown) = 1) AS length_1, count(*) FILTER (WHERE abs(grown) % 3 = 0) AS length_3n, count(*) FILTER (WHERE fail_hard_filters) AS hard_filtered, count(*) FILTER (WHERE transmitted_singleton) AS passed_once,
+  count(*) FILTER (WHERE p_de_novo > 0.5) AS de_novo_likely, count(*) FILTER (WHERE p_de_novo > 0.5 AND quiet) AS de_novo_likely_silent, count(*) FILTER (WHERE p_de_novo > 0.99) AS de_novo_sure, count(*) FILTER (WHERE p_de_novo > 0.99 AND quiet) AS de_novo_sure_silent,
+  count(*) FILTER (WHERE confidence = 'HIGH') AS de_novo_confident, count(*) FILTER (WHERE inheritance = 'De novo constitutive') AS de_novo_validated,
+  cast(sum(CASE WHEN rare THEN t ELSE 0 END) AS BIGINT) AS passed, cast(sum(CASE WHEN rare AND quiet THEN t ELSE 0 END) AS BIGINT) AS passed_silent,
+  cast(sum(CASE WHEN rare THEN u ELSE 0 END) AS BIGINT) AS kept, cast(sum(CASE WHEN rare AND quiet THEN u ELSE 0 END) AS BIGINT) AS kept_silent,
+  count(*) FILTER (WHERE n_transmitted = 1) AS passed_in_one, count(*) FILTER (WHERE n_untransmitted = 1) AS kept_in_one, cast(sum(CASE WHEN unrelated_ac = 0 THEN errors ELSE 0 END) AS BIGINT) AS errors,
+  count(*) FILTER (WHERE unrelated_ac = 0 AND errors > 0) AS erring, count(*) FILTER (WHERE unrelated_ac = 1 AND t = 1) AS passed_in_training, count(*) FILTER (WHERE hapmap) AS hapmap, count(*) FILTER (WHERE omni) AS omni, count(*) FILTER (WHERE mills) AS mills, count(*) FILTER (WHERE kgp_phase1_hc) AS kgp_phase1_hc
+FROM y GROUP BY rank_id, snv, bin, contig, {', '.join(f"in_{k}" for k in _SUBSETS)}""")
 def full_bin_evaluation(spark, d):
-    return rounded(evaluation.bin_evaluation(_bins(spark, d)))
+    subsets = evaluation.family_subsets()
+    return rounded(evaluation.bin_evaluation(evaluation.ranked_bins(_holes(spark, d), "score", subsets, 20), list(subsets), ["contig"]))
 
 
 _FEATURES = f"""WITH s AS (SELECT vid, ref, alt, vid % 3 = 0 AS multi, was_split, cast(1 AS BIGINT) AS a_index, MQ, QD, FS,

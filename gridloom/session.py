@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession, label: str | None = None) -> str:
@@ -23,6 +23,13 @@ def shared_folder(spark: SparkSession, label: str | None = None) -> str:
     return path.rstrip("/") if label is None else f"{path.rstrip('/')}/gridloom/{label}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """df as a table in the shared folder: later jobs read the files and not its lineage."""
+    path = shared_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def with_checkpoints(spark: SparkSession) -> None:
     """Let checkpoint() write to the shared folder."""
     if not spark.sparkContext.getCheckpointDir():

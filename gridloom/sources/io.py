@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridloom.functions.expr import contig_rank, parse_locus
+from gridloom.sources import bgzip
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -14,33 +18,56 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.exists(p) and files.getFileStatus(p).isDirectory()
+
+
 def list_files(spark: SparkSession, folder: str, suffix: str = "") -> list[str]:
     p = spark._jvm.org.apache.hadoop.fs.Path(folder)
     found = p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)
     return sorted(f.getPath().toString() for f in found if f.getPath().getName().endswith(suffix))
 
 
-def _text(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Lines of plain, gzip or block-gzip files (the last under a .gz or .bgz name)."""
-    paths = [path] if isinstance(path, str) else path
-    return spark.read.text(paths).withColumn("file", F.input_file_name())
+def text_lines(spark: SparkSession, path: str | list[str], force_blocks: bool = False) -> DataFrame:
+    """(value, file): lines of plain, gzip and block-gzip files, or of folders.
+
+    Files named .bgz, folders that hold such files, and with force_blocks all files, are read by blocks, many tasks a file;
+    a plain gzip file is one task.
+    """
+    paths = [path] if isinstance(path, str) else list(path)
+
+    def blocked(p: str) -> bool:
+        return force_blocks or p.endswith(".bgz") or (not p.endswith(".gz") and is_folder(spark, p) and bool(list_files(spark, p, ".bgz")))
+
+    by_blocks = [p for p in paths if blocked(p)]
+    others = [p for p in paths if p not in by_blocks]
+    plain = spark.read.text(others).withColumn("file", F.input_file_name()) if others else None
+    if not by_blocks:
+        return plain
+    lines = bgzip.read_lines(spark, by_blocks)
+    return lines if plain is None else plain.unionByName(lines)
 
 
-def vcf_samples(spark: SparkSession, path: str | list[str]) -> list[str]:
-    head = _text(spark, path).filter(F.col("value").startswith("#CHROM")).select("value").first()
-    return head[0].split("\t")[9:] if head else []
+def vcf_samples(spark: SparkSession, path: str | list[str], force_bgz: bool = False) -> list[str]:
+    """Sample names of the header line; text without such a line is no VCF and fails."""
+    head = text_lines(spark, path, force_bgz).filter(F.col("value").startswith("#CHROM")).select("value").first()
+    if head is None:
+        raise ValueError(f"no #CHROM line in {path}")
+    return head[0].split("\t")[9:]
 
 
-def read_vcf(spark: SparkSession, path: str | list[str], header: str | None = None, skip_invalid: bool = True, info: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+def read_vcf(spark: SparkSession, path: str | list[str], header: str | None = None, skip_invalid: bool = True, info: dict[str, str] | None = None, force_bgz: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(sites, samples, cells) of VCF text; header names a file that holds the header when the shards have none.
 
     Sites have alts as an array, filters as a sorted set and the info fields asked for (name -> Spark type; arrays by
-    element type in "array<...>"). Cells are long: alleles as an index array (missing for no call), phased, n_alt, gq,
+    element type in "array<...>"). force_bgz reads .gz names by blocks. Cells are long: alleles as an index array (missing for no call), phased, n_alt, gq,
     dp and ad. Sites on contigs that are not known, or without a position, are skipped or fail the read.
     """
-    names = vcf_samples(spark, header or path)
+    names = vcf_samples(spark, header or path, force_bgz and header is None)
     f = F.split("value", "\t")
-    rows = _text(spark, path).filter(~F.col("value").startswith("#") & (F.col("value") != "")).withColumn("f", f)
+    rows = text_lines(spark, path, force_bgz).filter(~F.col("value").startswith("#") & (F.col("value") != "")).withColumn("f", f)
     at = lambda i: F.get("f", F.lit(i))
     position = at(1).try_cast("bigint")
     known = contig_rank(at(0)).isNotNull() & position.isNotNull()
@@ -74,9 +101,31 @@ def with_chromosome(df: DataFrame, pattern: str = r"chr([0-9]+|X|Y)") -> DataFra
     return df.withColumn("chromosome", F.regexp_extract("file", pattern, 0))
 
 
+def _csv_lines(spark: SparkSession, path: str, sep: str, header: bool, impute: bool) -> DataFrame:
+    """Delimited text of a block-gzip file: the first line names the columns and is left out wherever it stands."""
+    lines = text_lines(spark, path).select("value").filter("value <> ''")
+    first = lines.first()
+    if first is None:
+        return spark.createDataFrame([], "value string")
+    names = first[0].split(sep)
+    body = lines.filter(F.col("value") != first[0]) if header else lines
+    d = body.select(F.split("value", F.lit("\\Q" + sep + "\\E"), -1).alias("f")).select(*[F.nullif(F.get("f", F.lit(i)), F.lit("")).alias(n if header else f"_c{i}") for i, n in enumerate(names)])
+    if impute:
+        kinds = {c: "bigint" if not bad_int else "double" if not bad_float else "string" for c, bad_int, bad_float in _kinds(d)}
+        d = d.select(*[F.col(f"`{c}`").try_cast(k).alias(c) for c, k in kinds.items()])
+    return d
+
+
+def _kinds(d: DataFrame) -> list[tuple[str, int, int]]:
+    """(column, values that are no integer, values that are no number), in one pass."""
+    bad = lambda c, kind: F.count_if(F.col(f"`{c}`").isNotNull() & F.col(f"`{c}`").try_cast(kind).isNull())
+    row = d.agg(*[x.alias(f"x{2 * i + j}") for i, c in enumerate(d.columns) for j, x in enumerate((bad(c, "bigint"), bad(c, "double")))]).first()
+    return [(c, row[2 * i], row[2 * i + 1]) for i, c in enumerate(d.columns)]
+
+
 def read_table(spark: SparkSession, path: str, header: bool = True, types: dict[str, str] | None = None, sep: str = "\t", impute: bool = False, min_partitions: int | None = None) -> DataFrame:
     """Delimited text; without a header the columns are f0, f1, ...; types may name "locus" for contig:position."""
-    d = spark.read.csv(path, sep=sep, header=header, inferSchema=impute)
+    d = spark.read.csv(path, sep=sep, header=header, inferSchema=impute) if not path.endswith(".bgz") else _csv_lines(spark, path, sep, header, impute)
     d = d if header else d.toDF(*[f"f{i}" for i in range(len(d.columns))])
     for c, kind in (types or {}).items():
         d = d.withColumn(c, parse_locus(c) if kind == "locus" else F.col(c).try_cast(kind))
@@ -91,14 +140,14 @@ def read_matrix_text(spark: SparkSession, path: str, row_key: str, value: str =
 
 def read_bed(spark: SparkSession, path: str) -> DataFrame:
     """Regions of a BED file: 0-based half-open in the file, 1-based half-open (contig, start, end) here."""
-    lines = spark.read.text(path).filter(~F.col("value").rlike(r"^(#|track|browser|\s*$)"))
+    lines = text_lines(spark, path).filter(~F.col("value").rlike(r"^(#|track|browser|\s*$)"))
     f = F.split("value", r"\s+")
     return lines.select(F.get(f, F.lit(0)).alias("contig"), (F.get(f, F.lit(1)).cast("bigint") + 1).alias("start"), (F.get(f, F.lit(2)).cast("bigint") + 1).alias("end"), F.get(f, F.lit(3)).alias("name"))
 
 
 def read_intervals(spark: SparkSession, path: str) -> DataFrame:
     """An interval list: contig:start-end lines (half-open), or contig, start, end columns (end included)."""
-    t = spark.read.text(path).filter(~F.col("value").rlike(r"^([@#]|\s*$)"))
+    t = text_lines(spark, path).filter(~F.col("value").rlike(r"^([@#]|\s*$)"))
     colon = r"^([^:\s]+):([0-9]+)-([0-9]+)\s*$"
     f, by_text = F.split("value", "\t"), F.col("value").rlike(colon)
     part = lambda i: F.when(by_text, F.regexp_extract("value", colon, i + 1)).otherwise(F.get(f, F.lit(i)))
@@ -134,13 +183,30 @@ def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
 
 
 def export_table(df: DataFrame, path: str, sep: str = "\t", header: bool = True, compression: str | None = "gzip") -> None:
-    """Flattened text export; arrays and maps as JSON."""
+    """Flattened text export; arrays and maps as JSON. compression "bgzip" writes block-gzip, a header line in each part."""
     d = flatten(df)
     nested = [f.name for f in d.schema.fields if isinstance(f.dataType, (T.ArrayType, T.MapType))]
     d = d.withColumns({n: F.to_json(F.col(f"`{n}`")) for n in nested}) if nested else d
+    if compression == "bgzip":
+        text = F.concat_ws(sep, *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in d.columns])
+        bgzip.write_lines(_with_head(d.select(text.alias("value")), sep.join(d.columns) if header else None), path)
+        return
     d.write.mode("overwrite").csv(path, sep=sep, header=header, compression=compression)
 
 
+def _with_head(lines: DataFrame, head: str | None) -> DataFrame:
+    """lines with a head before the first line of each partition."""
+    if head is None:
+        return lines
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays([pa.array([head], pa.string())], names=["value"])
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0)], names=["value"])
+
+    return lines.mapInArrow(add, "value string")
+
+
 def _info_text(sites: DataFrame, names: list[str]) -> Column:
     """key=value pairs of the fields that are not missing, flags by name alone, "." where there is none."""
     kinds, parts = dict(sites.dtypes), []
@@ -187,8 +253,8 @@ def vcf_lines(sites: DataFrame, cells: DataFrame | None = None, samples: DataFra
     return d.select(contig_rank("contig").alias("contig_rank"), "position", F.concat_ws("\t", *head).alias("line"))
 
 
-def export_vcf(sites: DataFrame, path: str, cells: DataFrame | None = None, samples: DataFrame | list[str] | None = None, info: list[str] | None = None) -> None:
-    """Sorted shards of lines below path/shards and one header below path/header.
+def export_vcf(sites: DataFrame, path: str, cells: DataFrame | None = None, samples: DataFrame | list[str] | None = None, info: list[str] | None = None, bgzip_shards: bool = False) -> None:
+    """Sorted shards of lines below path/shards, gzip or block-gzip, and one header below path/header.
 
     samples: (sid, s), or names whose places are the sids.
     """
@@ -202,7 +268,10 @@ def export_vcf(sites: DataFrame, path: str, cells: DataFrame | None = None, samp
         head = head.crossJoin(F.broadcast(names)).select("k", F.when(F.col("k") == 1, F.concat_ws("\t", "value", F.lit("FORMAT"), "names")).otherwise(F.col("value")).alias("value"))
     head.coalesce(1).sortWithinPartitions("k").select("value").write.mode("overwrite").text(f"{path}/header")
     lines = vcf_lines(sites, cells, samples, info).repartitionByRange("contig_rank", "position").sortWithinPartitions("contig_rank", "position")
-    lines.select("line").write.mode("overwrite").text(f"{path}/shards", compression="gzip")
+    if bgzip_shards:
+        bgzip.write_lines(lines.select("line"), f"{path}/shards")
+    else:
+        lines.select("line").write.mode("overwrite").text(f"{path}/shards", compression="gzip")
 
 
 def export_by_contig(df: DataFrame, path: str) -> None:
