@@ -71,31 +71,34 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select(text_or_empty().alias("text")).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+class Numbers(dict):
+    """Numbers of the frequent words; any other word gets -1 - its place among the others of the document, `mine`."""
+
+    mine: dict[bytes, int]
+
+    def __missing__(self, word: bytes) -> int:
+        return -1 - self.mine.setdefault(word, len(self.mine))
+
+
 def coded(docs: DataFrame, learn: Column, frequent: list[str]) -> DataFrame:
-    """(row, doc_id, learn, codes, others): a code is a frequent word's number or -1 - its place among the document's others."""
+    """(row, doc_id, learn, codes, others): 32-bit codes, a frequent word's number or -1 - its place among the document's others."""
     known = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = {w.encode(): i for i, w in enumerate(known.value)}
-        end = number[b""]
+        number = Numbers((w.encode(), i) for i, w in enumerate(known.value))
+        end = np.array([number[b""]], np.int32).tobytes()
         for b in batches:
             codes, others = [], []
             for t in b.column("text").to_pylist():
-                words = tokens(t)
-                got = list(map(number.get, words))
-                mine: dict[bytes, int] = {}
-                if None in got:
-                    got = [-1 - mine.setdefault(w, len(mine)) if c is None else c for c, w in zip(got, words)]
-                codes.append(np.array([*got, end], dtype=np.int32))
-                others.append(pa.array(list(mine), pa.binary()).cast(pa.string()))
-            sizes = lambda xs: pa.array(np.cumsum([0, *map(len, xs)], dtype=np.int32))
-            flat = pa.array(np.concatenate(codes) if codes else np.zeros(0, np.int32))
+                words, number.mine = tokens(t), {}
+                codes.append(np.fromiter(map(number.__getitem__, words), np.int32, len(words)).tobytes() + end)
+                others.append(pa.array(list(number.mine), pa.binary()).cast(pa.string()))
             names = pa.chunked_array(others, pa.string()).combine_chunks()
-            arrays = [b.column("row"), b.column("doc_id"), b.column("learn"), pa.ListArray.from_arrays(sizes(codes), flat), pa.ListArray.from_arrays(sizes(others), names)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["row", "doc_id", "learn", "codes", "others"])
+            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, others)], dtype=np.int32)), names)
+            yield pa.RecordBatch.from_arrays([b.column("row"), b.column("doc_id"), b.column("learn"), pa.array(codes, pa.binary()), lists], names=["row", "doc_id", "learn", "codes", "others"])
 
     d = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", learn.alias("learn"), text_or_empty().alias("text"))
-    return cut(d.mapInArrow(code, f"row long, doc_id {dict(docs.dtypes)['doc_id']}, learn boolean, codes array<int>, others array<string>"), "coded")
+    return cut(d.mapInArrow(code, f"row long, doc_id {dict(docs.dtypes)['doc_id']}, learn boolean, codes binary, others array<string>"), "coded")
 
 
 def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -103,6 +106,12 @@ def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return column.flatten().to_numpy(zero_copy_only=False), column.value_lengths().to_numpy(zero_copy_only=False)
 
 
+def _codes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All codes of a batch of documents, and the number of each document."""
+    parts = column.to_pylist()
+    return np.frombuffer(b"".join(parts), np.int32), np.array([len(x) // 4 for x in parts], dtype=np.int64)
+
+
 def neighbours(train: DataFrame, h: int) -> DataFrame:
     """(id, others, counts): of each of the first h words its counts with the word after it (0 to h) and before it (h + 1 on).
 
@@ -117,7 +126,7 @@ def neighbours(train: DataFrame, h: int) -> DataFrame:
 
         held, counts, size = [], [], 0
         for b in batches:
-            flat, _ = _flat(b.column("codes"))
+            flat, _ = _codes(b.column("codes"))
             ids = np.where(flat < 0, h, np.minimum(flat, h)).astype(np.int64)
             key, n = np.unique(np.concatenate([[0], ids[:-1]]) * (h + 1) + ids, return_counts=True)
             held.append(key)
@@ -258,7 +267,7 @@ def other_words(train: DataFrame, frequent: list[str], classes: np.ndarray, tabl
         known = pa.array(sent.value, pa.string())
         names, held, around, base = [known], [], [], len(known)
         for b in batches:
-            flat, size = _flat(b.column("codes"))
+            flat, size = _codes(b.column("codes"))
             mine, own = b.column("others").flatten(), b.column("others").value_lengths().to_numpy(zero_copy_only=False)
             c = classes[np.where(flat < 0, h, np.minimum(flat, h))]
             ends = np.append(c[1:], k)
@@ -325,7 +334,7 @@ def tagged(codes: DataFrame, frequent_n: np.ndarray, frequent_class: np.ndarray,
         for b in batches:
             if not b.num_rows:
                 continue
-            flat, size = _flat(b.column("codes"))
+            flat, size = _codes(b.column("codes"))
             own = b.column("n_others").to_numpy().astype(np.int64)
             first = np.cumsum(own) - own
             place, met = _flat(b.column("places"))
