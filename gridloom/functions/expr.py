@@ -162,6 +162,41 @@ def is_adj(n_alt: Column | str, gq: Column | str, dp: Column | str, ad_alt: Colu
     return (col(gq) >= 20) & (col(dp) >= 10) & (~is_het(n_alt) | (balance > 0.2))
 
 
+# Calls as arrays of allele indices, with their phase; missing for no call.
+
+
+def call_of(n_alt: Column | str, ploidy: int = 2) -> Column:
+    """The unphased call with so many copies of the first alternate: the reference first."""
+    n = col(n_alt).cast("int")
+    return F.when(n.between(0, ploidy), F.transform(F.sequence(F.lit(1), F.lit(ploidy)), lambda i: F.when(i > ploidy - n, 1).otherwise(0)))
+
+
+def unphased(alleles: Column | str) -> Column:
+    """The alleles of a call without their order: sorted."""
+    return F.array_sort(col(alleles))
+
+
+def parse_call(text: Column | str) -> Column:
+    """(alleles, phased) of text such as 0/1, 1|0 or 2; missing for text that has a missing allele or is no call."""
+    t = col(text)
+    alleles = F.transform(F.split(t, "[/|]"), lambda a: a.try_cast("int"))
+    return F.when(F.coalesce(t.rlike(r"^[0-9]+(?:[/|][0-9]+)*$"), F.lit(False)), F.struct(alleles.alias("alleles"), t.contains("|").alias("phased")))
+
+
+def same_call(alleles: Column | str, phased: Column | str, literal: str) -> Column:
+    """Whether a call is the literal: phased calls are equal if their order is, unphased ones if their alleles are; the phase counts."""
+    want = [int(x) for x in literal.replace("|", "/").split("/")]
+    if "|" in literal:
+        return col(phased) & (col(alleles) == F.array(*[F.lit(x) for x in want]))
+    return (F.lit(len(want) == 1) | ~col(phased)) & (unphased(alleles) == F.array(*[F.lit(x) for x in sorted(want)]))
+
+
+def is_het_ref(alleles: Column | str) -> Column:
+    """A diploid call of the reference and one alternate."""
+    a = col(alleles)
+    return F.when(F.size(a) == 2, (F.array_min(a) == 0) & (F.array_max(a) > 0)).otherwise(F.when(a.isNotNull(), False))
+
+
 # Loci.
 
 

@@ -30,6 +30,22 @@ def call_stats(n_alt: str = "n_alt", where: Column | None = None) -> dict[str, C
     return {"AC": ac, "AN": an, "AF": F.try_divide(ac.cast("double"), an.cast("double")), "n_hom": F.count_if(g == 2).cast("long")}
 
 
+def call_stats_by_allele(cells: DataFrame, sites: DataFrame) -> DataFrame:
+    """(vid, AC, AF, AN, homozygote_count) of calls that are arrays of allele indices; the arrays have a place for each allele.
+
+    sites: (vid, alts). Place 0 is the reference. Copies are counted by (site, allele) before anything is gathered, so a
+    site's group has one row an allele. Sites without a call have zeros, AN 0 and missing frequencies.
+    """
+    each = cells.filter("alleles is not null").select("vid", F.explode(F.array_distinct("alleles")).alias("a"), F.col("alleles").alias("c"))
+    copies, size = F.size(F.filter("c", lambda x: x == F.col("a"))), F.size("c")
+    per = each.groupBy("vid", "a").agg(F.sum(copies).cast("long").alias("ac"), F.count_if((copies == size) & (size > 1)).alias("hom"))
+    per = per.groupBy("vid").agg(F.map_from_entries(F.collect_list(F.struct("a", F.struct("ac", "hom")))).alias("m"), F.sum("ac").alias("AN"))
+    d = sites.select("vid", F.size("alts").alias("n")).join(per, "vid", "left")
+    of = lambda name: F.transform(F.sequence(F.lit(0), F.col("n")), lambda i: F.coalesce(F.try_element_at("m", i)[name], F.lit(0)).cast("long"))
+    d = d.select("vid", of("ac").alias("AC"), F.coalesce("AN", F.lit(0)).cast("long").alias("AN"), of("hom").alias("homozygote_count"))
+    return d.select("vid", "AC", F.transform("AC", lambda x: F.try_divide(x.cast("double"), F.col("AN").cast("double"))).alias("AF"), "AN", "homozygote_count")
+
+
 def counter(df: DataFrame, keys: list[str], x: str, name: str = "counts") -> DataFrame:
     """Per key a map value -> count, by way of the (key, value) counts."""
     c = df.groupBy(*keys, x).agg(F.count("*").alias("__n")).filter(F.col(x).isNotNull())

@@ -19,7 +19,7 @@ _SUBSETS = {
 _RANKS = ", ".join(f"CASE WHEN {p} THEN cast(sum(CASE WHEN {p} THEN 1 ELSE 0 END) OVER w AS BIGINT) - 1 END AS {k}" for k, p in _SUBSETS.items())
 #: Some sites have no alternate, so their type is missing: they are ranked among themselves.
 _HOLES = f"""h AS (SELECT * EXCLUDE (alt, score), CASE WHEN vid % 31 <> 0 THEN alt END AS alt, CASE WHEN vid % 37 <> 0 THEN score END AS score FROM v_annotated),
-r AS (SELECT *, {_SNV} AS snv, row_number() OVER w - 1 AS rank, {_RANKS} FROM h WINDOW w AS (PARTITION BY {_SNV} ORDER BY score NULLS LAST, vid ROWS UNBOUNDED PRECEDING))"""
+r AS (SELECT *, row_number() OVER w - 1 AS rank, {_RANKS} FROM (SELECT *, CASE WHEN alt IS NOT NULL THEN {_SNV} END AS snv FROM h) WINDOW w AS (PARTITION BY snv ORDER BY score NULLS LAST, vid ROWS UNBOUNDED PRECEDING))"""
 _LONG = "l AS (" + " UNION ALL ".join(f"SELECT *, '{k}' AS rank_id, {k} AS r0 FROM r WHERE {k} IS NOT NULL" for k in ("rank", *_SUBSETS)) + "), x AS (SELECT *, cast(ceil((r0 + 1) / cast(greatest(1, floor(count(*) OVER (PARTITION BY snv, rank_id) / 20.0)) AS double)) AS BIGINT) AS bin FROM l)"
 
 

@@ -123,5 +123,5 @@ def qc_ready_cohort(spark, d):
 
 @query()
 def relatedness(spark, d):
-    e = view(spark, d, "v_entries").filter("sid < 40").select("vid", "sid", "n_alt")
-    return workflows.relatedness_step(e, 0.02, 2)
+    e = view(spark, d, "v_entries").select("vid", "sid", "n_alt")
+    return workflows.relatedness_step(e, 0.05, 2)
