@@ -80,3 +80,47 @@ def test_cases(spark):
         assert f(d).count() == d.count()
         assert f(docs(spark, [])).count() == 0
     assert secrets.secret_spans(d).filter(F.size("base") > 0).count() == 0
+
+
+def slow_candidates(t, judge):
+    """What the generators, features, trees and threshold report in one text, by plain loops."""
+    import numpy as np
+    import regex
+
+    found = {k: [(m.start(), m.end()) for m in regex.finditer(p, t)] for k, p in pii.GENERATORS.items()}
+    specific = found["date"] + found["account"]
+    found["number"] = [(a, b) for a, b in found["number"] if not any(x <= a and b <= y for x, y in specific)]
+    base, scored = _personal(t), []
+    for rank, k in enumerate(pii.GENERATORS):
+        for a, b in found[k]:
+            s, before, after = t[a:b], t[max(0, a - pii.CONTEXT) : a], t[b : b + 4]
+            digits, groups = re.sub("[^0-9]", "", s), [g for g in re.split("[^0-9]+", s) if g]
+            has = lambda p, s=s: int(bool(regex.search(p, s)))
+            x = {
+                "n_digits": len(digits), "n_chars": len(s), "n_groups": len(groups), "longest": max(map(len, groups), default=0), "paren": has(r"[(][0-9]+[)]"), "dash": has("-"), "dot": has(r"\."), "space": has(" "),
+                "bracket": has(r"[(\[](?:at|dot)"), "luhn": int(bool(digits) and _luhn(digits)), "date": has(r"^(?:[12][0-9]{3}[-./][0-9]{2}[-./][0-9]{2}|[0-9]{2}[-./][0-9]{2}[-./][12][0-9]{3})$"),
+                "early": has(r"(?:^|[-./])19[0-9]{2}(?:$|[-./])"), "grouped": has(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "covers": int(not re.search(r"^[0-9.-]*[0-9]", after)),
+                **{f"is_{g}": int(g == k) for g in pii.GENERATORS}, **{w: int(bool(regex.search(p, before))) for w, p in pii.NEAR_WORDS.items()},
+            }
+            row = np.array([[float(x[f]) for f in pii.FEATURES]])
+            scored.append((sum(float(tree.predict(row)[0]) for tree in judge.trees), a, rank, b, k))
+    overlap = lambda x, y: x[1] < y[3] and y[1] < x[3]
+    chosen = [c for c in scored if c[0] >= judge.threshold and not any(a < c[3] and c[1] < b for a, _, b, _ in base)]
+    better = lambda x, y: (-x[0], x[1], x[2]) < (-y[0], y[1], y[2])
+    return sorted((c[1], c[3], c[4]) for c in chosen if not any(o is not c and overlap(o, c) and better(o, c) for o in chosen))
+
+
+PERSONAL = [
+    "born on 12.03.1984 in town", "date of birth 1984-03-12.", "call 415-555-2671 or 415-555-2672, mail jane (at) example (dot) com", "order 1234567890 and iban DE44 5001 0517 5407 3249 31 please",
+    "contact Mr. Adam Weaver, lives at 12 Long Street", "wohnt Lindenstraße 12, Frau Vogel", "published 01.02.2003, updated 2003-02-01 version 1.2.33.444", "tel 030 123 45 67 fax: 0301 234567 x@y.de 1.2.3.4",
+]
+
+
+def test_reported_candidates_against_plain_loops(spark):
+    judge = pii.fit(spark)
+    texts = [t or "" for t in [*TEXTS, *PERSONAL]]
+    for j in (judge, pii.Judge(judge.trees, -50.0)):  # the second reports nearly every candidate that no better one covers
+        got = {r["doc_id"]: sorted((s["start"], s["stop"], s["kind"]) for s in r["extra"]) for r in pii.personal_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), j).collect()}
+        assert got == {i: slow_candidates(t, j) for i, t in enumerate(texts)}
+    kinds = {k for i in range(len(TEXTS), len(texts)) for _, _, k in slow_candidates(texts[i], judge)}
+    assert {"date", "number", "spelled_email"} <= kinds and ("date" in {k for _, _, k in slow_candidates(PERSONAL[0], judge)})
