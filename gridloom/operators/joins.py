@@ -36,22 +36,44 @@ def outer_flags(tables: dict[str, DataFrame], keys: list[str]) -> DataFrame:
     return every.groupBy(*keys).agg(*[F.max(F.when(F.col("__from") == n, True)).alias(n) for n in tables])
 
 
-def _in_bins(points: DataFrame, regions: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
-    p = points.withColumn("__bin", F.floor(F.col("position") / width))
-    last = F.floor((F.greatest(F.col("end") - 1, F.col("start"))) / width)
-    r = regions.select(F.col("contig").alias("__contig"), F.col("start").alias("__start"), F.col("end").alias("__end"), F.explode(F.sequence(F.floor(F.col("start") / width), last)).alias("__rbin"))
-    return p, r
+#: Bins of each level are so many times as wide as those of the level below; so many levels reach over any chromosome.
+WIDER, LEVELS = 8, 8
+
+
+def region_bins(regions: DataFrame, width: int) -> DataFrame:
+    """(__contig, __start, __end, __level, __rbin): each region in the one or two bins of the finest level where it needs no more."""
+    first, last = F.col("start"), F.greatest(F.col("end") - 1, F.col("start"))
+    at = lambda x, w: F.floor(x / w)
+    level = F.lit(LEVELS - 1)
+    for i in reversed(range(LEVELS - 1)):
+        w = width * WIDER**i
+        level = F.when(at(last, w) - at(first, w) <= 1, i).otherwise(level)
+    r = regions.select(F.col("contig").alias("__contig"), first.alias("__start"), F.col("end").alias("__end"), last.alias("__last"), level.alias("__level"))
+    w = F.lit(width) * F.pow(F.lit(WIDER), F.col("__level")).cast("bigint")
+    return r.withColumn("__rbin", F.explode(F.sequence(F.floor(F.col("__start") / w), F.floor(F.col("__last") / w)))).drop("__last")
 
 
 def interval_join(points: DataFrame, regions: DataFrame, how: str, width: int = 10_000) -> DataFrame:
     """left_semi or left_anti of points (contig, position) against half-open regions (contig, start, end).
 
-    Regions are laid out over bins of `width` positions and joined on (contig, bin): an equality join of any size with
-    the bounds as a condition, where the plain condition would be a nested loop. A point lies in one bin only.
+    Regions lie in nested bins: one or two rows each, however long. For every level that some region uses, points are
+    joined on (contig, bin) by equality with the bounds as a condition; what one level has decided is not asked again.
     """
-    p, r = _in_bins(points, regions, width)
-    on = (F.col("contig") == F.col("__contig")) & (F.col("__bin") == F.col("__rbin")) & (F.col("position") >= F.col("__start")) & (F.col("position") < F.col("__end"))
-    return p.join(r, on, how).drop("__bin")
+    r = region_bins(regions, width)
+    used = sorted(x[0] for x in r.select("__level").distinct().collect())  # LEVELS at most
+    rest, hits = points, []
+    for level in used:
+        at = r.filter(F.col("__level") == level)
+        on = (F.col("contig") == F.col("__contig")) & (F.col("__bin") == F.col("__rbin")) & (F.col("position") >= F.col("__start")) & (F.col("position") < F.col("__end"))
+        p = rest.withColumn("__bin", F.floor(F.col("position") / (width * WIDER**level)))
+        hits.append(p.join(at, on, "left_semi").drop("__bin"))
+        rest = p.join(at, on, "left_anti").drop("__bin")
+    if how == "left_anti":
+        return rest
+    out = points.limit(0) if not hits else hits[0]
+    for h in hits[1:]:
+        out = out.unionByName(h)
+    return out
 
 
 def interval_flag(points: DataFrame, regions: DataFrame, name: str, key: list[str], width: int = 10_000) -> DataFrame:

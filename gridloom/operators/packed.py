@@ -70,7 +70,7 @@ def _normalised(b: pa.RecordBatch, n: int, sites: int) -> np.ndarray:
     return np.where(g == NONE, 0.0, (g - 2 * p) / np.sqrt(sites * 2 * p * (1 - p)))
 
 
-def components(packed: DataFrame, n: int, k: int, extra: int = 6, tol: float = 1e-9, most: int = 40) -> tuple[np.ndarray, np.ndarray, int]:
+def components(packed: DataFrame, n: int, k: int, extra: int = 6, tol: float = 1e-7, most: int = 40) -> tuple[np.ndarray, np.ndarray, int]:
     """(eigenvalues, eigenvectors samples x k, sites used) of the Gram matrix of normalised calls, largest first.
 
     Randomised block Krylov iteration (Musco and Musco 2015): a thin random matrix is multiplied by the Gram matrix round

@@ -86,9 +86,13 @@ def min_rep(spark, d):
     return v.select("vid", X.min_rep("position", "ref", "alt").alias("m")).select("vid", "m.*")
 
 
-@query()
+@query("""WITH g AS (SELECT vid, count(*) FILTER (WHERE n_alt = 0) AS a, count(*) FILTER (WHERE n_alt = 1) AS b, count(*) FILTER (WHERE n_alt = 2) AS c FROM v_entries GROUP BY vid),
+r AS (SELECT *, a + b + c AS n, 2 * least(a, c) + b AS rare FROM g), e AS (SELECT *, unnest(range(rare % 2, rare + 1, 2)) AS h FROM r),
+l AS (SELECT *, h * ln(2) - lgamma((rare - h) // 2 + 1) - lgamma(h + 1) - lgamma(n - h - (rare - h) // 2 + 1) AS lp FROM e), p AS (SELECT *, exp(lp - max(lp) OVER (PARTITION BY vid)) AS p FROM l),
+o AS (SELECT *, max(p) FILTER (WHERE h = b) OVER (PARTITION BY vid) AS seen FROM p)
+SELECT vid, round(least(1.0, sum(p) FILTER (WHERE p <= seen * (1 + 1e-9)) / sum(p)), 6) AS p_hwe FROM o GROUP BY vid""")
 def hwe_exact(spark, d):
-    return qc.with_hwe(qc.genotype_counts(view(spark, d, "v_entries"), ["vid"])).select("vid", "p_hwe")
+    return rounded(qc.with_hwe(qc.genotype_counts(view(spark, d, "v_entries"), ["vid"])).select("vid", "p_hwe"))
 
 
 @query()

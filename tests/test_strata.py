@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gridloom.operators import evaluation, ml, qc, quantiles, windows
+from gridloom.operators import evaluation, joins, ml, qc, quantiles, windows
 
 
 def test_rank_keeps_rows_without_a_stratum(spark):
@@ -83,3 +83,17 @@ def test_medians_of_groups_fill_features(spark):
     d = spark.createDataFrame([("a", 1.0, None), ("a", None, 2.0), ("a", 5.0, 4.0), (None, None, 9.0), (None, 3.0, None), ("z", None, None)], "k string, x double, y double")
     out = ml.median_impute(d, ["x", "y"], ["k"])
     assert sorted(((r["k"], r["x"], r["y"], r["feature_imputed"]["x"]) for r in out.collect()), key=str) == sorted([("a", 1.0, 3.0, False), ("a", 3.0, 2.0, True), ("a", 5.0, 4.0, False), (None, 3.0, 9.0, True), (None, 3.0, 9.0, False), ("z", None, None, True)], key=str)
+
+
+def test_regions_of_all_lengths(spark):
+    """Points and regions from single positions to whole chromosomes, against every pair."""
+    r = random.Random(12)
+    regions = [(r.choice("xy"), a, a + n) for n in [1, 2, 100, 9_999, 10_000, 150_000, 2_000_000, 90_000_000, 0] for a in [r.randint(0, 200_000_000) for _ in range(3)]]
+    points = [(i, r.choice("xyz"), p) for i, p in enumerate([x for _, a, b in regions for x in (a - 1, a, b - 1, b)] + [r.randint(0, 250_000_000) for _ in range(300)])]
+    p, t = spark.createDataFrame(points, "id long, contig string, position long"), spark.createDataFrame(regions, "contig string, start long, end long")
+    want = {i for i, c, x in points if any(c == k and a <= x < b for k, a, b in regions)}
+    for width, most in ((10_000, 2), (7, 8)):  # the widest bins of the second are far narrower than a chromosome
+        assert joins.region_bins(t, width).groupBy("__contig", "__start", "__end").count().agg(F.max("count")).first()[0] <= most
+        assert sorted(x["id"] for x in joins.interval_join(p, t, "left_semi", width).collect()) == sorted(want)
+        assert sorted(x["id"] for x in joins.interval_join(p, t, "left_anti", width).collect()) == sorted({i for i, _, _ in points} - want)
+    assert joins.interval_join(p, t.limit(0), "left_semi").count() == 0 and joins.interval_join(p, t.limit(0), "left_anti").count() == len(points)
