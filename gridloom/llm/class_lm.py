@@ -284,7 +284,8 @@ def other_words(train: DataFrame, frequent: list[str], classes: np.ndarray, tabl
         if held:
             yield out()
 
-    seen = train.select("codes", "others").mapInArrow(contexts, "word string, around int, n long").groupBy("word", "around").agg(F.sum("n").alias("n"))
+    # Dealt by word once, for both sums; a task has summed what it met, so a word comes from it at most classes squared times.
+    seen = train.select("codes", "others").mapInArrow(contexts, "word string, around int, n long").repartition("word").groupBy("word", "around").agg(F.sum("n").alias("n"))
     # Classes squared entries a word at most.
     per_word = seen.groupBy("word").agg(F.sum("n").alias("n"), F.collect_list("around").alias("arounds"), F.collect_list("n").alias("counts"))
     rows, cols = table.sum(1), table.sum(0)
