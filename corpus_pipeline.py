@@ -3,7 +3,11 @@
 STAGES lists (name, function); each function takes (spark, docs, sf_dir) and returns a DataFrame that is written as
 Parquet and read again as the next one's docs. All but the last return the columns of documents. run() applies them to
 the documents table. SQL expresses none of the first three stages as a whole, so ORACLE_SQL is None; the stages are
-tested against brute force.
+tested on all cases, the near-duplicate and line stages against brute force.
+
+Cases, in every stage: a null text counts as empty, empty texts are clean and stay (equal ones as one near-duplicate class),
+very long texts are read whole, a null in any other column is a value, repeated rows are rows of their own until the
+near-duplicate stage keeps one of them, extra columns of any name are passed on, an empty table gives no rows.
 """
 
 from __future__ import annotations
