@@ -1,17 +1,21 @@
 """Genotype cells packed by site, and what vectorised kernels make of them: components, kinship, linkage.
 
-A packed row holds the calls of one site for all samples, a byte each in the order of the samples (0, 1, 2 copies, 255
-for no call). Tasks turn batches of such rows into dense matrices of a bounded size (CELLS) and multiply them; nothing
-that is samples by samples is ever held, and what the driver holds is samples by a few columns.
+A packed row holds the calls of one site, of the samples that have one only: their places in the order of the samples
+(32 bits each, rising) and their copies (a byte each). So a table of packed rows is as large as the cells it holds,
+however many samples there are. Tasks take so many sites at a time that a batch has about ENTRIES cells; where most of
+the batch's grid is filled they turn it into a dense matrix. Nothing that is samples by samples is ever held, and what
+the driver holds is samples by a few columns.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,64 +23,124 @@ from gridloom.operators.windows import stratified_rank
 from gridloom.session import written
 
 NONE = 255
-#: About so many cells are in one matrix.
-CELLS = 1 << 22
+#: About so many cells are in one dense matrix, and in one batch of packed sites.
+CELLS, ENTRIES = 1 << 22, 1 << 18
+#: Sites in a batch at most, and samples in a row of partial sums.
+SITES, PART = 1024, 512
+#: Multiply-adds in dense blocks that cost as much as one pair of cells that goes through a shuffle.
+PAIR_COST = 5000
 
 
 @contextmanager
 def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Jobs started inside get Arrow batches of at most so many rows."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    was = spark.conf.get(key)
-    spark.conf.set(key, str(max(1, rows)))
+    """Jobs started inside get Arrow batches of at most so many rows, and read files in batches of as many."""
+    keys = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    was = [spark.conf.get(k) for k in keys]
+    for k in keys:
+        spark.conf.set(k, str(max(1, rows)))
     try:
         yield
     finally:
-        spark.conf.set(key, was)
+        for k, v in zip(keys, was):
+            spark.conf.set(k, v)
 
 
-def sample_order(entries: DataFrame) -> list[int]:
+def called(entries: DataFrame) -> DataFrame:
+    """(vid, sid, n_alt): the cells with a call, as a written table."""
+    return written(entries.filter("n_alt is not null").select("vid", F.col("sid").cast("long").alias("sid"), F.col("n_alt").cast("int").alias("n_alt")), "cells")
+
+
+def sample_order(cells: DataFrame) -> np.ndarray:
     """The samples that have a call, in order of sid."""
-    return sorted(r[0] for r in entries.filter("n_alt is not null").select("sid").distinct().collect())  # one row a sample
+    return np.sort(cells.select("sid").distinct().toArrow()["sid"].to_numpy())  # one number a sample
 
 
-def pack(entries: DataFrame, order: list[int]) -> DataFrame:
-    """(vid, p, g) for each site with a call by the samples of order: frequency of the alternate, and the calls as bytes."""
-    spark, n = entries.sparkSession, len(order)
-    place = spark.createDataFrame(list(zip(order, range(n))), "sid long, at int")
+def pack(cells: DataFrame, order: np.ndarray) -> DataFrame:
+    """(vid, p, at, call) for each site with a call by the samples of order: frequency of the alternate, places and calls as bytes."""
+    spark = cells.sparkSession
+    sent = spark.sparkContext.broadcast(np.asarray(order, np.int64))
 
     def to_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = sent.value
         for b in batches:
-            at, call, p, g = b.column("at"), b.column("call"), [], []
-            for i in range(b.num_rows):
-                row = np.full(n, NONE, np.uint8)
-                c = call[i].values.to_numpy(zero_copy_only=False)
-                row[at[i].values.to_numpy(zero_copy_only=False)] = c
-                p.append(c.sum() / (2.0 * len(c)))
-                g.append(row.tobytes())
-            yield pa.RecordBatch.from_arrays([b.column("vid"), pa.array(p, pa.float64()), pa.array(g, pa.binary())], names=["vid", "p", "g"])
-
-    cells = entries.filter("n_alt is not null").join(F.broadcast(place), "sid").groupBy("vid").agg(F.collect_list("at").alias("at"), F.collect_list(F.col("n_alt").cast("int")).alias("call"))
-    with batches_of(spark, CELLS // max(1, n)):
-        return written(cells.mapInArrow(to_bytes, "vid long, p double, g binary"), "packed")
+            size = b.column("sid").value_lengths().to_numpy(zero_copy_only=False)
+            sid, call = (b.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("sid", "call"))
+            row, at = np.repeat(np.arange(len(size)), size), np.searchsorted(known, sid)
+            ok = at < len(known)
+            ok[ok] = known[at[ok]] == sid[ok]
+            row, at, call = row[ok], at[ok].astype(np.int32), call[ok].astype(np.uint8)
+            by = np.lexsort((at, row))
+            row, at, call = row[by], at[by], call[by]
+            n = np.bincount(row, minlength=len(size))
+            stop, some = np.cumsum(n), np.flatnonzero(n)
+            p = np.bincount(row, call, len(size))[some] / (2.0 * n[some])
+            of = lambda x: pa.array([x[stop[i] - n[i] : stop[i]].tobytes() for i in some], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column("vid").take(pa.array(some)), pa.array(p, pa.float64()), of(at), of(call)], names=["vid", "p", "at", "call"])
+
+    widest = cells.groupBy("vid").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 1
+    sites = cells.groupBy("vid").agg(F.collect_list("sid").alias("sid"), F.collect_list("n_alt").alias("call"))
+    with batches_of(spark, _at_once(widest)):
+        return written(sites.mapInArrow(to_bytes, f"vid {dict(cells.dtypes)['vid']}, p double, at binary, call binary"), "packed")
+
+
+def _at_once(widest: int) -> int:
+    return min(SITES, max(1, ENTRIES // widest))
+
+
+def sites_at_once(packed: DataFrame) -> int:
+    """Sites that a batch takes, by the site with the most calls."""
+    return _at_once(packed.agg(F.max(F.octet_length("call"))).first()[0] or 1)
 
 
-def matrix(column: pa.Array, n: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, n)
+def flat(b: pa.RecordBatch, at: str = "at", call: str = "call") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(places, calls, number of cells of each site) of a batch, site after site."""
+    places, calls = b.column(at), b.column(call)
+    return np.frombuffer(b"".join(places.to_pylist()), np.int32), np.frombuffer(b"".join(calls.to_pylist()), np.uint8), pc.binary_length(calls).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def _normalised(b: pa.RecordBatch, n: int, sites: int) -> np.ndarray:
-    g, p = matrix(b.column("g"), n), b.column("p").to_numpy()[:, None]
-    return np.where(g == NONE, 0.0, (g - 2 * p) / np.sqrt(sites * 2 * p * (1 - p)))
+def matrix(b: pa.RecordBatch, n: int) -> np.ndarray:
+    """The calls of a batch as sites x samples."""
+    at, call, size = flat(b)
+    g = np.full((len(size), n), NONE, np.uint8)
+    g[np.repeat(np.arange(len(size)), size), at] = call
+    return g
 
 
-def components(packed: DataFrame, n: int, k: int, extra: int = 6, tol: float = 1e-7, most: int = 40) -> tuple[np.ndarray, np.ndarray, int]:
+def _normalised(b: pa.RecordBatch, sites: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(places, normalised calls, cells of each site); what is not called is zero."""
+    at, call, size = flat(b)
+    p = np.repeat(b.column("p").to_numpy(), size)
+    return at, (call - 2 * p) / np.sqrt(sites * 2 * p * (1 - p)), size
+
+
+def _sums(x: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Sums of the rows of x over runs of so many."""
+    return np.add.reduceat(x, np.cumsum(size) - size, axis=0)
+
+
+def _spread(z: np.ndarray, at: np.ndarray, size: np.ndarray, m: np.ndarray, total: np.ndarray) -> None:
+    """total += Z'Z m, of a batch's sites."""
+    if 8 * len(at) >= len(size) * len(m):
+        d = np.zeros((len(size), len(m)))
+        d[np.repeat(np.arange(len(size)), size), at] = z
+        total += d.T @ (d @ m)
+        return
+    w = z[:, None] * np.repeat(_sums(z[:, None] * m[at], size), size, axis=0)
+    by = np.argsort(at, kind="stable")
+    at = at[by]
+    first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+    total[at[first]] += np.add.reduceat(w[by], first, axis=0)
+
+
+def components(packed: DataFrame, n: int, k: int, extra: int = 6, tol: float = 1e-7, most: int = 1000, held: int = 12) -> tuple[np.ndarray, np.ndarray, int]:
     """(eigenvalues, eigenvectors samples x k, sites used) of the Gram matrix of normalised calls, largest first.
 
     Randomised block Krylov iteration (Musco and Musco 2015): a thin random matrix is multiplied by the Gram matrix round
     after round, one pass over the sites each; the driver orthogonalises the new columns against all so far and solves
     the small projected problem, until the residuals of the k pairs are below tol of the largest eigenvalue (or the space
-    is exhausted, or `most` rounds have passed). The driver holds samples x (k + extra) columns a round, never the Gram matrix.
+    is exhausted; after `most` rounds it warns). Images of columns are in the space of those after them, so only the last
+    ones are kept, and when the columns of `held` rounds are there the best half of their combinations replaces them
+    (a thick restart). So the driver holds samples x (k + extra) numbers some `held` times over, however many rounds.
     """
     spark = packed.sparkSession
     use = packed.filter("p > 0 and p < 1")
@@ -91,43 +155,73 @@ def components(packed: DataFrame, n: int, k: int, extra: int = 6, tol: float = 1
         sent = spark.sparkContext.broadcast(q)
 
         def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            m, total = sent.value, np.zeros(q_shape)
+            m, total = sent.value, np.zeros(shape)
+            for b in batches:
+                if b.num_rows:
+                    at, z, size = _normalised(b, sites)
+                    _spread(z, at, size, m, total)
+            for lo in range(0, n, PART):
+                yield pa.RecordBatch.from_arrays([pa.array([lo // PART], pa.int32()), pa.array([total[lo : lo + PART].tobytes()], pa.binary())], names=["part", "y"])
+
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total: dict[int, np.ndarray] = {}
             for b in batches:
-                z = _normalised(b, n, sites)
-                total += z.T @ (z @ m)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(n, dtype=np.int32)), *[pa.array(total[:, c]) for c in range(total.shape[1])]], names=names)
-
-        q_shape, names = q.shape, ["i", *[f"y{c}" for c in range(q.shape[1])]]
-        parts = use.coalesce(tasks).mapInArrow(kernel, ", ".join(f"{c} {'int' if c == 'i' else 'double'}" for c in names))
-        rows = parts.groupBy("i").agg(*[F.sum(c).alias(c) for c in names[1:]]).toArrow()
-        out = np.zeros(q_shape)
-        out[rows["i"].to_numpy()] = np.column_stack([rows[c].to_numpy() for c in names[1:]])
+                for part, y in zip(b.column("part").to_pylist(), b.column("y").to_pylist()):
+                    y = np.frombuffer(y)
+                    total[part] = total[part] + y if part in total else y
+            for part, y in total.items():
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([y.tobytes()], pa.binary())], names=["part", "y"])
+
+        shape, out = q.shape, np.zeros(q.shape)
+        parts = use.coalesce(tasks).mapInArrow(kernel, "part int, y binary")
+        rows = parts.repartition("part").mapInArrow(add, "part int, y binary").toArrow()
+        for part, y in zip(rows["part"].to_pylist(), rows["y"]):
+            out[part * PART : (part + 1) * PART] = np.frombuffer(y.as_buffer()).reshape(-1, shape[1])
         sent.unpersist()
         return out
 
-    with batches_of(spark, CELLS // n):
+    def inner(m: np.ndarray) -> np.ndarray:
+        return np.vstack([q.T @ m for q in basis])
+
+    def combine(s: np.ndarray) -> np.ndarray:
+        ends = np.cumsum([q.shape[1] for q in basis])
+        return sum(q @ s[e - q.shape[1] : e] for q, e in zip(basis, ends))
+
+    with batches_of(spark, sites_at_once(use)):
         v = np.linalg.qr(np.random.default_rng(0).normal(size=(n, width)))[0]
-        basis, image = v, times(v)
-        for _ in range(most):
-            values, s = np.linalg.eigh((basis.T @ image + image.T @ basis) / 2)
-            values, s = values[::-1][:k], s[:, ::-1][:, :k]
-            rest = np.linalg.norm(image @ s - basis @ s * values, axis=0)
-            room = n - basis.shape[1]
+        basis, image, t = [v], times(v), np.zeros((0, 0))
+        for left in range(most, 0, -1):
+            across = inner(image)
+            grown = np.zeros((len(across), len(across)))
+            grown[: len(t), : len(t)] = t
+            grown[:, len(t) :] = across
+            grown[len(t) :] = across.T
+            grown[len(t) :, len(t) :] = (across[len(t) :] + across[len(t) :].T) / 2
+            t = grown
+            values, s = (x[..., ::-1] for x in np.linalg.eigh(t))
+            new = image - combine(across)
+            rest = np.linalg.norm(new @ s[-v.shape[1] :, :k], axis=0)
+            room = n - len(t)
             if room == 0 or rest.max() <= tol * max(values[0], 1e-300):
                 break
-            new = image[:, -v.shape[1] :]
-            for _ in range(2):
-                new = new - basis @ (basis.T @ new)
+            if left == 1:
+                warnings.warn(f"components: residual {rest.max() / values[0]:.1e} of the largest eigenvalue after {most} rounds")
+                break
+            new = new - combine(inner(new))
             u, size, _ = np.linalg.svd(new, full_matrices=False)
             v = u[:, size > 1e-12 * max(values[0], 1e-300)][:, :room]
             if not v.shape[1]:
                 break
-            v = np.linalg.qr(v - basis @ (basis.T @ v))[0]
-            basis, image = np.hstack([basis, v]), np.hstack([image, times(v)])
-    return values, basis @ s, sites
+            if len(t) >= held * width:
+                few = max(1, held // 2) * width
+                basis, t = [combine(s[:, :few])], np.diag(values[:few])
+            v = np.linalg.qr(v - combine(inner(v)))[0]
+            basis.append(v)
+            image = times(v)
+        return values[:k], combine(s[:, :k]), sites
 
 
-def loadings_of(packed: DataFrame, n: int, sites: int, vectors: np.ndarray, values: np.ndarray) -> DataFrame:
+def loadings_of(packed: DataFrame, sites: int, vectors: np.ndarray, values: np.ndarray) -> DataFrame:
     """(vid, pc, loading, p): the right singular vectors, site by site."""
     sent = packed.sparkSession.sparkContext.broadcast(vectors)
     root = np.sqrt(np.maximum(values, 0))
@@ -136,31 +230,82 @@ def loadings_of(packed: DataFrame, n: int, sites: int, vectors: np.ndarray, valu
         for b in batches:
             if not b.num_rows:
                 continue
-            t = _normalised(b, n, sites) @ sent.value
+            at, z, size = _normalised(b, sites)
+            t = _sums(z[:, None] * sent.value[at], size)
             k = t.shape[1]
             load = np.divide(t, root, out=np.full_like(t, np.nan), where=root > 0).ravel()
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.repeat(b.column("vid").to_numpy(), k)), pa.array(np.tile(np.arange(k, dtype=np.int32), len(t))), pa.array(load, from_pandas=True), pa.array(np.repeat(b.column("p").to_numpy(), k)),
             ], names=["vid", "pc", "loading", "p"])
 
-    with batches_of(packed.sparkSession, CELLS // max(1, n)):
+    with batches_of(packed.sparkSession, sites_at_once(packed)):
         return written(packed.filter("p > 0 and p < 1").mapInArrow(kernel, "vid long, pc int, loading double, p double"), "loadings")
 
 
+def _solved(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Least-squares coefficients of each site, from its normal equations."""
+    return np.einsum("sij,sj->si", np.linalg.pinv(a, rcond=1e-10, hermitian=True), b)
+
+
 def _fits(g: np.ndarray, x: np.ndarray) -> np.ndarray:
     """For each site the least-squares coefficients of its calls on the columns of x, over the samples that are called."""
     called = (g != NONE).astype(float)
     k = x.shape[1]
     a = (called @ (x[:, :, None] * x[:, None, :]).reshape(len(x), k * k)).reshape(-1, k, k)
-    b = (np.where(g == NONE, 0, g) * called) @ x
-    return np.einsum("sij,sj->si", np.linalg.pinv(a, rcond=1e-10, hermitian=True), b)
+    return _solved(a, (np.where(g == NONE, 0, g) * called) @ x)
 
 
-def kinship(packed: DataFrame, order: list[int], x: np.ndarray, min_maf: float, min_kinship: float | None, block: int | None = None) -> DataFrame:
-    """(i, j, kin) of pairs of samples, i < j, by products of blocks.
+def kinship(packed: DataFrame, order: np.ndarray, x: np.ndarray, min_maf: float, min_kinship: float | None, block: int | None = None) -> DataFrame:
+    """(i, j, kin) of pairs of samples, i < j, that have a common site; with min_kinship those at or above it.
 
-    x: a column of ones and the components, a row a sample. Each site's calls are regressed on x once; then every pair of
-    sample blocks (the upper triangle) takes its two slices of all sites, batch after batch in order, and adds up the
+    x: a column of ones and the components, a row a sample. Each site's calls are regressed on x once. Where sites are
+    called in few samples, the pairs of called samples of a site are added up by pair, which grows with the cells; where
+    they are called in many, blocks of samples are multiplied, which is quadratic in samples.
+    """
+    n = len(order)
+    c = F.octet_length("call").cast("double")
+    met, sites = packed.agg(F.sum(c * (c - 1) / 2), F.count("*")).first()
+    if block is None and (met or 0.0) * PAIR_COST < sites * n * n / 2:
+        return kinship_of_met(packed, order, x, min_maf, min_kinship)
+    return kinship_by_blocks(packed, order, x, min_maf, min_kinship, block)
+
+
+def kinship_of_met(packed: DataFrame, order: np.ndarray, x: np.ndarray, min_maf: float, min_kinship: float | None, most: int = 1 << 19) -> DataFrame:
+    """kinship() from the pairs of samples that meet at a site; a task holds about `most` of them."""
+    spark = packed.sparkSession
+    sent, ids = spark.sparkContext.broadcast(x), spark.sparkContext.broadcast(np.asarray(order, np.int64))
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            at, call, size = flat(b)
+            row, own = np.repeat(np.arange(len(size)), size), sent.value[at]
+            k = own.shape[1]
+            beta = _solved(_sums((own[:, :, None] * own[:, None, :]).reshape(len(at), k * k), size).reshape(-1, k, k), _sums(call[:, None] * own, size))
+            mu = np.einsum("ck,ck->c", own, beta[row]) / 2
+            ok = (mu > min_maf) & (mu < 1 - min_maf)
+            at, row, r, s = ids.value[at[ok]], row[ok], (call - 2 * mu)[ok], np.sqrt(mu[ok] * (1 - mu[ok]))
+            later = np.cumsum(np.bincount(row, minlength=len(size)))[row] - np.arange(len(row)) - 1  # cells of the site after this one
+            ends, lo = np.cumsum(later), 0
+            while lo < len(row):
+                hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + most, side="right")))
+                i = np.repeat(np.arange(lo, hi), later[lo:hi])
+                j = i + 1 + np.arange(len(i)) - np.repeat(ends[lo:hi] - later[lo:hi] - ends[lo] + later[lo], later[lo:hi])
+                yield pa.RecordBatch.from_arrays([pa.array(at[i]), pa.array(at[j]), pa.array(r[i] * r[j]), pa.array(s[i] * s[j])], names=["i", "j", "up", "down"])
+                lo = hi
+
+    with batches_of(spark, sites_at_once(packed)):
+        pairs = packed.mapInArrow(meet, "i long, j long, up double, down double").repartition("i", "j")
+        pairs = pairs.groupBy("i", "j").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+        kin = pairs.select("i", "j", (F.col("up") / (4 * F.col("down"))).alias("kin"))
+        return written(kin if min_kinship is None else kin.filter(F.col("kin") >= min_kinship), "kinship")
+
+
+def kinship_by_blocks(packed: DataFrame, order: np.ndarray, x: np.ndarray, min_maf: float, min_kinship: float | None, block: int | None = None) -> DataFrame:
+    """kinship() by products of blocks.
+
+    Every pair of sample blocks (the upper triangle) takes its two slices of all sites, batch after batch in order, and adds up the
     products of residuals and of standard deviations in two matrices of block x block. Pairs at or above min_kinship leave
     the task; pairs without a common site do not.
     """
@@ -173,7 +318,7 @@ def kinship(packed: DataFrame, order: list[int], x: np.ndarray, min_maf: float,
         for b in batches:
             if not b.num_rows:
                 continue
-            g = matrix(b.column("g"), n)
+            g = matrix(b, n)
             beta = _fits(g, sent.value).tobytes()
             key = b.column("vid")[0].as_py()
             cut = [g[:, i * size : (i + 1) * size].tobytes() for i in range(blocks)]
@@ -224,28 +369,31 @@ def kinship(packed: DataFrame, order: list[int], x: np.ndarray, min_maf: float,
 def linked_pairs(packed: DataFrame, sites: DataFrame, n: int, r2: float, window: int) -> DataFrame:
     """(contig, a, pa, b, pb): sites a before b (by position, then vid) within the window whose squared correlation is r2 or more.
 
-    A pair is one row of two packed vectors, met by an equality join on position bins and compared as it streams by.
+    A pair is one row of two packed sites, met by an equality join on position bins and compared as it streams by.
     """
-    at = packed.select("vid", "g").join(sites.select("vid", "contig", "position"), "vid").withColumn("bin", F.floor(F.col("position") / window))
-    left = at.select("contig", F.col("vid").alias("a"), F.col("position").alias("pa"), F.col("g").alias("ga"), F.explode(F.array("bin", F.col("bin") + 1)).alias("bin"))
-    right = at.select("contig", F.col("vid").alias("b"), F.col("position").alias("pb"), F.col("g").alias("gb"), "bin")
+    at = packed.select("vid", "at", "call").join(sites.select("vid", "contig", "position"), "vid").withColumn("bin", F.floor(F.col("position") / window))
+    left = at.select("contig", F.col("vid").alias("a"), F.col("position").alias("pa"), F.col("at").alias("ata"), F.col("call").alias("ca"), F.explode(F.array("bin", F.col("bin") + 1)).alias("bin"))
+    right = at.select("contig", F.col("vid").alias("b"), F.col("position").alias("pb"), F.col("at").alias("atb"), F.col("call").alias("cb"), "bin")
     near = left.join(right, ["contig", "bin"]).filter((F.col("pb") - F.col("pa")).between(0, window) & ((F.col("pa") < F.col("pb")) | (F.col("a") < F.col("b"))))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
-            x, y = matrix(b.column("ga"), n), matrix(b.column("gb"), n)
-            both = (x != NONE) & (y != NONE)
-            x, y, m = (np.where(both, v, 0).astype(np.float64) for v in (x, y, 1))
-            m, sx, sy = m.sum(1), x.sum(1), y.sum(1)
-            cov, vx, vy = m * (x * y).sum(1) - sx * sy, m * (x * x).sum(1) - sx * sx, m * (y * y).sum(1) - sy * sy
+            rows = np.arange(b.num_rows, dtype=np.int64) * n
+            (x, cx, nx), (y, cy, ny) = flat(b, "ata", "ca"), flat(b, "atb", "cb")
+            x, y = np.repeat(rows, nx) + x, np.repeat(rows, ny) + y
+            to = np.minimum(np.searchsorted(x, y), len(x) - 1)
+            both = x[to] == y
+            row, x, y = y[both] // n, cx[to[both]].astype(float), cy[both].astype(float)
+            m, sx, sy, xy, xx, yy = (np.bincount(row, v, len(rows)) for v in (np.ones(len(row)), x, y, x * y, x * x, y * y))
+            cov, vx, vy = m * xy - sx * sy, m * xx - sx * sx, m * yy - sy * sy
             ok = (vx > 0) & (vy > 0)
             ok[ok] = cov[ok] * cov[ok] / (vx[ok] * vy[ok]) >= r2
             yield pa.RecordBatch.from_arrays([b.column(c) for c in ("contig", "a", "pa", "b", "pb")], names=["contig", "a", "pa", "b", "pb"]).filter(pa.array(ok))
 
-    with batches_of(packed.sparkSession, CELLS // (4 * max(1, n))):
-        return written(near.select("contig", "a", "pa", "b", "pb", "ga", "gb").mapInArrow(keep, "contig string, a long, pa long, b long, pb long"), "linked")
+    with batches_of(packed.sparkSession, sites_at_once(packed)):
+        return written(near.select("contig", "a", "pa", "b", "pb", "ata", "ca", "atb", "cb").mapInArrow(keep, "contig string, a long, pa long, b long, pb long"), "linked")
 
 
 def first_choice(linked: DataFrame, segment: int = 4096) -> DataFrame:

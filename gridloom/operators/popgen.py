@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -98,14 +99,16 @@ def pca(entries: DataFrame, k: int = 10) -> tuple[list[float], DataFrame, DataFr
     Sites that do not vary are left out and missing cells count as the mean. The number of samples is not bounded: see
     packed.components. Signs are fixed by the largest absolute score.
     """
-    order = packed.sample_order(entries)
-    cells = packed.pack(entries, order)
+    calls = packed.called(entries)
+    order = packed.sample_order(calls)
+    cells = packed.pack(calls, order)
     values, vectors, sites = packed.components(cells, len(order), k)
     if len(values):
         vectors = vectors * np.where(vectors[np.abs(vectors).argmax(0), range(len(values))] < 0, -1, 1)
     scores = vectors * np.sqrt(np.maximum(values, 0))
-    rows = [(s, c, float(scores[i, c])) for i, s in enumerate(order) for c in range(len(values))]  # samples x k
-    return values.tolist(), entries.sparkSession.createDataFrame(rows, "sid long, pc int, score double"), packed.loadings_of(cells, len(order), sites, vectors, values)
+    at = [np.repeat(order, len(values)), np.tile(np.arange(len(values), dtype=np.int32), len(order))]
+    rows = pa.table([pa.array(a, t) for a, t in zip([*at, scores.ravel()], (pa.int64(), pa.int32(), pa.float64()))], names=["sid", "pc", "score"])  # samples x k
+    return values.tolist(), entries.sparkSession.createDataFrame(rows, "sid long, pc int, score double"), packed.loadings_of(cells, sites, vectors, values)
 
 
 def pca_with_relateds(entries: DataFrame, related: DataFrame, k: int = 10) -> DataFrame:
@@ -119,11 +122,10 @@ def pc_relate(entries: DataFrame, scores: DataFrame, min_maf: float = 0.01, min_
 
     Only samples with scores take part. With min_kinship only pairs at or above it are returned. See packed.kinship.
     """
-    wide = scores.groupBy("sid").agg(F.array_sort(F.collect_list(F.struct("pc", "score"))).alias("s")).collect()  # samples x k
-    by = {r["sid"]: [x["score"] for x in r["s"]] for r in wide}
-    order = sorted(by)
-    x = np.array([[1.0, *by[s]] for s in order]).reshape(len(order), -1)
-    cells = packed.pack(entries, order)
+    rows = scores.select("sid", "pc", "score").toArrow().sort_by([("sid", "ascending"), ("pc", "ascending")])  # samples x k
+    order = np.unique(rows["sid"].to_numpy())
+    x = np.column_stack([np.ones(len(order)), rows["score"].to_numpy().reshape(len(order), -1 if len(order) else 0)])
+    cells = packed.pack(packed.called(entries), order)
     return packed.kinship(cells, order, x, min_maf, min_kinship, block)
 
 
@@ -160,8 +162,9 @@ def ld_prune(entries: DataFrame, sites: DataFrame, r2: float = 0.2, window: int
 
     See packed.linked_pairs and packed.first_choice: the same sites as a walk along each contig, without one task a contig.
     """
-    order = packed.sample_order(entries)
-    linked = packed.linked_pairs(packed.pack(entries.join(sites.select("vid"), "vid", "left_semi"), order), sites, len(order), r2, window)
+    calls = packed.called(entries.join(sites.select("vid"), "vid", "left_semi"))
+    order = packed.sample_order(calls)
+    linked = packed.linked_pairs(packed.pack(calls, order), sites, len(order), r2, window)
     return sites.join(packed.first_choice(linked), "vid", "left_anti")
 
 

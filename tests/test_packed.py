@@ -104,6 +104,45 @@ def test_kinship(spark, block):
     assert few == {p for p, k in got.items() if k >= 0.1} and (0, 2) in few
 
 
+def test_kinship_of_few_calls(spark):
+    """Sites called in few of many samples: pairs that meet, as by blocks, and packed rows no wider than their calls."""
+    r = np.random.default_rng(6)
+    g = np.full((60, 2000), -1)
+    for row in g:
+        row[r.choice(2000, 12, replace=False)] = r.integers(0, 3, 12)
+    g[:20, 7], g[:20, 9] = r.integers(0, 3, 20), r.integers(0, 3, 20)
+    e = spark.createDataFrame([(int(i), int(j), int(g[i, j])) for i, j in np.argwhere(g >= 0)], "vid long, sid long, n_alt int")
+    order = packed.sample_order(e)
+    x = np.column_stack([np.ones(len(order)), np.random.default_rng(0).normal(size=(len(order), 1))])
+    cells = packed.pack(e, order)
+    assert max(len(c["at"]) + len(c["call"]) for c in cells.collect()) <= 5 * 14
+    up, down = slow_kinship(g[:, order], x, 0.05)
+    want = {(order[i], order[j]): up[i, j] / (4 * down[i, j]) for i, j in zip(*np.nonzero(np.triu(down, 1)))}
+    for out in (packed.kinship(cells, order, x, 0.05, None), packed.kinship_of_met(cells, order, x, 0.05, None, most=30), packed.kinship_by_blocks(cells, order, x, 0.05, None)):
+        got = {(k["i"], k["j"]): k["kin"] for k in out.collect()}
+        assert set(got) == set(want) and all(v == pytest.approx(want[p], abs=1e-9) for p, v in got.items())
+
+
+def test_components_of_few_calls(spark):
+    r = np.random.default_rng(8)
+    g = np.full((300, 400), -1)
+    for row in g:
+        row[r.choice(400, 9, replace=False)] = r.integers(0, 3, 9)
+    z = normalised(g)
+    e = spark.createDataFrame([(int(i), int(j), int(g[i, j])) for i, j in np.argwhere(g >= 0)], "vid long, sid long, n_alt int")
+    values, scores, _ = popgen.pca(e, 3)
+    assert values == pytest.approx(np.linalg.eigvalsh(z.T @ z)[::-1][:3].tolist(), rel=1e-6)
+    s = np.zeros((400, 3))
+    for k in scores.collect():
+        s[k["sid"], k["pc"]] = k["score"]
+    assert np.allclose(z.T @ (z @ s), s * values, atol=1e-5 * values[0])
+    cells = packed.pack(e, packed.sample_order(e))
+    again, vectors, _ = packed.components(cells, 400, 3, held=3)  # with restarts
+    assert again.tolist() == pytest.approx(values, rel=1e-9) and np.allclose(vectors.T @ vectors, np.eye(3))
+    with pytest.warns(UserWarning, match="after 2 rounds"):
+        assert packed.components(cells, 400, 3, most=2)[1].shape == (400, 3)
+
+
 def slow_prune(g, position, contig, r2, window):
     gone = set()
     order = sorted(range(len(g)), key=lambda v: (position[v], v))
