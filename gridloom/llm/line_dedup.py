@@ -14,7 +14,8 @@ against all shingles is measured in the README.
 
 Equal lines are one node, known by 128 bits of hash. Buckets are not expanded into pairs: each member meets the
 bucket's smallest and largest members; after those links are contracted, members outside the bucket's largest component
-meet the members of other components. Buckets of more than HOT lines mostly hold lines that share a passage and nothing
+meet the members of other components, a few of the largest at first, since most members that it lacks are similar to many
+of its members. Buckets of more than HOT lines mostly hold lines that share a passage and nothing
 else; in place of the second meeting their lines are indexed, each under its rarest signed shingles: of n the first
 n - ceil(LOOSE n) + 1 in order of frequency, of which two lines whose signed sets are LOOSE similar must share one. The
 places of a shared shingle in both lines bound what they can share from there on, which rules out most pairs of lines
@@ -38,6 +39,8 @@ WIDTH = 12
 EVERY = rf"(?s)(?=(.{{{WIDTH}}}|\A.{{1,{WIDTH - 1}}}\z))."
 BLANKS = " \t\r\f\v"
 BANDS, ROWS, HOT, LOOSE = 8, 3, 32, 0.76
+#: Members of a bucket's largest component that the members outside meet before they meet all of it.
+DRAWN = 8
 MINIMA = [f"m{j}" for j in range(BANDS * ROWS)]
 
 
@@ -139,21 +142,48 @@ def line_components(sig: DataFrame, rows: DataFrame, threshold: float = 0.8) ->
     parts = larger.groupBy("key", "c").agg(F.count("*").alias("m")).groupBy("key").agg(F.max_by("c", "m").alias("main"), F.count("*").alias("parts")).filter("parts > 1")
     split = larger.join(small_side(cut(parts.select("key", "main"), "parts")), "key").join(sets.select("id", "set"), "id")
     split = cut(split.select("key", "id", "place", "prefix", "c", "main", F.size("set").alias("size"), "set"), "split")
-    outside, both = split.filter("c <> main").alias("o"), F.col("o.size") + F.col("l.size")
-    left = lambda t: F.col(f"{t}.size") - F.coalesce(F.col(f"{t}.place"), F.lit(0))
-    can = F.least(left("o"), left("l")) * (1 + LOOSE) >= LOOSE * both - 1e-9
-    before = lambda t: F.slice(F.col(f"{t}.prefix"), F.lit(1), F.col(f"{t}.place"))
-    once = F.size(F.array_intersect(before("o"), before("l"))) == 0  # under the first shingle that both prefixes have
-    n = F.size(F.array_intersect("o.set", "l.set"))
-    near = can & F.when(F.col("o.place").isNull(), F.lit(True)).otherwise(once) & (n >= LOOSE * (both - n))
-    probe = (F.col("o.key") == F.col("l.key")) & (F.col("o.c") != F.col("l.c")) & near
-    met = outside.join(split.alias("l"), probe).select(F.least("o.id", "l.id").alias("x"), F.greatest("o.id", "l.id").alias("y")).distinct()
+    labels, split = drawn_first(split, labels, texts, threshold)
+    met = outside_pairs(split, split, (F.col("o.c") != F.col("l.c")) & (F.col("o.place").isNull() | _once()))
     links = cut(verified(cut(met, "met"), texts, threshold), "links")
     if links.isEmpty():
         return labels.select(F.col("node").alias("id"), "component")
     return components(labels.select("node", "component").union(links)).select(F.col("node").alias("id"), "component")
 
 
+def _once() -> Column:
+    """Whether a bucket of an indexed shingle is that of the first one that both prefixes have."""
+    before = lambda t: F.slice(F.col(f"{t}.prefix"), F.lit(1), F.col(f"{t}.place"))
+    return F.size(F.array_intersect(before("o"), before("l"))) == 0
+
+
+def outside_pairs(split: DataFrame, others: DataFrame, which: Column) -> DataFrame:
+    """(x, y) of members outside their bucket's largest component (o) and others of the bucket (l) whose signed sets are LOOSE similar."""
+    both = F.col("o.size") + F.col("l.size")
+    left = lambda t: F.col(f"{t}.size") - F.coalesce(F.col(f"{t}.place"), F.lit(0))
+    can = F.least(left("o"), left("l")) * (1 + LOOSE) >= LOOSE * both - 1e-9
+    n = F.size(F.array_intersect("o.set", "l.set"))
+    probe = (F.col("o.key") == F.col("l.key")) & can & which & (n >= LOOSE * (both - n))
+    met = split.filter("c <> main").alias("o").join(others.alias("l"), probe)
+    return met.select(F.least("o.id", "l.id").alias("x"), F.greatest("o.id", "l.id").alias("y")).distinct()
+
+
+def drawn_first(split: DataFrame, labels: DataFrame, texts: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(labels, split) after members outside met up to DRAWN of their bucket's largest component, drawn by hash.
+
+    Most members that belong to that component are similar to many of it; they join it here and need not meet it whole.
+    """
+    draws = [F.min_by("id", F.xxhash64(F.lit(j), "key", "id")) for j in range(DRAWN)]
+    drawn = split.filter("c = main").groupBy("key").agg(F.count("*").alias("n"), F.array(*draws).alias("ids")).filter(F.col("n") > DRAWN)
+    drawn = small_side(cut(drawn.select("key", F.explode(F.array_distinct("ids")).alias("id")), "drawn"))
+    links = cut(verified(cut(outside_pairs(split, split.join(drawn, ["key", "id"], "left_semi"), F.lit(True)), "met"), texts, threshold), "links")
+    if links.isEmpty():
+        return labels, split
+    labels = cut(components(labels.select("node", "component").union(links)), "labels")
+    now, top = (small_side(labels.select(F.col("node").alias(k), F.col("component").alias(v))) for k, v in (("id", "c"), ("main", "top")))
+    again = split.drop("c").join(now, "id", "left").join(top, "main", "left")
+    return labels, again.select("key", "id", "place", "prefix", F.coalesce("c", "id").alias("c"), F.coalesce("top", "main").alias("main"), "size", "set")
+
+
 def dropped_lines(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """(doc_id, row_hash, drop): the line numbers that go, for each document that loses some."""
     rows = lines(docs)

@@ -314,3 +314,27 @@ def test_lines_without_blanks(spark):
         data += [(2 * i, x), (2 * i + 1, x[:at] + "#" + x[at:])]
     got = line_dedup.dedup_lines(spark.createDataFrame(data, "doc_id long, text string"))
     assert {x["doc_id"]: x["n_dropped"] for x in got.collect()} == {i: i % 2 for i in range(80)}
+
+
+def test_members_outside_join_before_all_meet(spark, monkeypatch):
+    """Lines of one long passage with heads of many lengths: those that belong to the large component do not meet it whole."""
+    r = random.Random(21)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(3, 8)))
+    passage = " ".join(word() for _ in range(60))
+    flat = [" ".join([*(word() for _ in range(r.randint(4, 14))), passage]) for _ in range(400)]
+    d = spark.createDataFrame(list(enumerate(flat)), "doc_id long, text string")
+    pairs = []
+
+    def counted(df, label):
+        out = cut(df, label)
+        if label == "met":
+            pairs.append(out.count())
+        return out
+
+    monkeypatch.setattr(line_dedup, "cut", counted)
+    rows = line_dedup.lines(d)
+    sig = cut(line_dedup.signatures(rows), "signatures")
+    of = {x["line"]: x["component"] for x in line_dedup.line_components(sig, rows).join(sig, "id").join(rows.select("a", "b", "line"), ["a", "b"]).collect()}
+    links = similar_lines(flat)
+    assert len(links) > 1000 and sum(flat[x] in of and flat[y] in of and of[flat[x]] == of[flat[y]] for x, y in links) == len(links)
+    assert 0 < sum(pairs) < 14_000  # 18,777 where all that is outside meets all at once
