@@ -181,11 +181,11 @@ def exchange(table: np.ndarray, own: int, right: np.ndarray, left: np.ndarray, s
     return best, float(gain[best] - gain[own]), t
 
 
-def _class_table(near: DataFrame, classes: np.ndarray, n: int) -> np.ndarray:
-    """Counts of class pairs over the neighbour counts; pairs after words that are not frequent come from the other side."""
+def _class_tables(near: DataFrame, classes: np.ndarray, n: int) -> DataFrame:
+    """(counts): a table of class pairs from each task, as bytes."""
     h = len(classes) - 1
 
-    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(n * n)
         for b in batches:
             other, size = _flat(b.column("others"))
@@ -195,13 +195,15 @@ def _class_table(near: DataFrame, classes: np.ndarray, n: int) -> np.ndarray:
             total += np.bincount(own[after] * n + classes[other[after]], count[after], n * n)
             rest = other == 2 * h + 1
             total += np.bincount(classes[h] * n + own[rest], count[rest], n * n)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at].astype(np.int64))], names=["cell", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array([total.astype(np.int64).tobytes()], pa.binary())], names=["counts"])
 
-    out = np.zeros(n * n)
-    for r in near.mapInArrow(cells, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():  # classes squared
-        out[r["cell"]] = r["n"]
-    return out.reshape(n, n)
+    return near.mapInArrow(tables, "counts binary")
+
+
+def _class_table(near: DataFrame, classes: np.ndarray, n: int) -> np.ndarray:
+    """Counts of class pairs over the neighbour counts; pairs after words that are not frequent come from the other side."""
+    rows = _class_tables(near, classes, n).collect()  # a task's classes squared; the neighbours of CLUSTERED words are a few tasks
+    return sum((np.frombuffer(r["counts"], np.int64) for r in rows), np.zeros(n * n, np.int64)).astype(float).reshape(n, n)
 
 
 def cluster(near: DataFrame, h: int, end: int, k: int, rounds: int) -> tuple[np.ndarray, np.ndarray, list[float]]:

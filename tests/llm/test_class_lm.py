@@ -131,3 +131,21 @@ def test_cases(spark):
         assert len(got) == len(data) and all(r["score"] == 0 and r["base_score"] == 0 for r in got) and model.n_tokens == 0
     with pytest.raises(ValueError):
         M.class_lm(d, F.lit(True), 126)
+
+
+def test_a_task_makes_one_row_of_class_pairs(spark):
+    """However many words and neighbours a task has met, and the sum over tasks is that of a loop."""
+    h, n, r = 40, 6, np.random.default_rng(2)
+    classes = np.append(np.arange(h) % 4, 5)
+    rows = [(i, [int(o) for o in np.unique(r.integers(0, 2 * h + 2, 30))]) for i in range(h)]
+    rows = [(i, o, [int(x) for x in r.integers(1, 9, len(o))]) for i, o in rows]
+    near = spark.createDataFrame(rows, "id int, others array<int>, counts array<long>").repartition(7)
+    want = np.zeros((n, n))
+    for i, others, counts in rows:
+        for o, c in zip(others, counts):
+            if o <= h:
+                want[classes[i], classes[o]] += c
+            elif o == 2 * h + 1:
+                want[classes[h], classes[i]] += c
+    assert M._class_tables(near, classes, n).count() == near.rdd.getNumPartitions()
+    assert (M._class_table(near, classes, n) == want).all()
