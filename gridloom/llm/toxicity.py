@@ -3,10 +3,11 @@
 Words (ASCII lower case, edge punctuation stripped) and their first four letters are hashed to rows of an embedding
 table and added; filters of widths 1, 2
 and 3 slide over the whole text, each keeps its largest response, and a logistic unit weighs them. Scores are
-calibrated on a part of the training rows, so that 0.5 is the most likely side; thresholds by language are chosen on
-the same part and used where documents are rejected. A score depends on the text alone.
+calibrated on all labelled rows of a quarter that training leaves aside, so that 0.5 is the most likely side; thresholds
+by language are chosen on the same rows and used where documents are rejected. The driver gets how many of these rows
+there are by language, label and logit, in steps of 1/STEPS. A score depends on the text alone.
 
-Learning uses at most `per_class` labelled documents of each class (a documented bound: those with the lowest hash of
+The filters learn from at most `per_class` labelled documents of each class (a documented bound: those with the lowest hash of
 doc_id, less those of more than `most_chars` characters); their words are hashed on the executors and the driver gets
 word ids only. Scoring covers all rows and whole texts.
 
@@ -31,6 +32,8 @@ from pyspark.sql import functions as F
 from gridloom.llm.common import cut, text_batches, text_or_empty
 
 VOCABULARY, WIDTH, FILTERS, SPANS = 1 << 18, 8, 16, (1, 2, 3)
+#: Logits of calibration rows are counted in steps of 1/STEPS, up to MOST steps from zero.
+STEPS, MOST = 64, 1 << 13
 PAD, STEM, EDGE = 0, 4, b".,;:!?\"'()[]{}<>*%$&#|-_~`/\\+="
 
 
@@ -158,15 +161,16 @@ def train(docs: list[np.ndarray], y: np.ndarray, steps: int = 1000, batch: int =
     return m
 
 
-def calibrate(logits: np.ndarray, y: np.ndarray, steps: int = 60) -> tuple[float, float]:
-    """Platt scaling with softened targets, by Newton steps."""
-    n1, n0 = (y == 1).sum(), (y == 0).sum()
+def calibrate(logits: np.ndarray, y: np.ndarray, n: np.ndarray, steps: int = 60) -> tuple[float, float]:
+    """Platt scaling with softened targets, by Newton steps, over n rows of each logit and label."""
+    n1, n0 = n[y == 1].sum(), n[y == 0].sum()
     target = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
-    spread = max(1e-6, float(logits.std()))
+    mean = (n * logits).sum() / n.sum()
+    spread = max(1e-6, float(np.sqrt((n * (logits - mean) ** 2).sum() / n.sum())))
     z, a, b = logits / spread, 1.0, 0.0
     for _ in range(steps):
         p = _sigmoid(a * z + b)
-        d, w = p - target, p * (1 - p) + 1e-9
+        d, w = n * (p - target), n * (p * (1 - p) + 1e-9)
         grad = np.array([(d * z).sum() + 1e-3 * a, d.sum()])
         hess = np.array([[(w * z * z).sum() + 1e-3, (w * z).sum()], [(w * z).sum(), w.sum() + 1e-3]])
         move = np.linalg.solve(hess, grad)
@@ -174,24 +178,23 @@ def calibrate(logits: np.ndarray, y: np.ndarray, steps: int = 60) -> tuple[float
     return (a / spread, b) if a > 0 else (1e-6, float(np.log((n1 + 1) / (n0 + 1))))
 
 
-def language_thresholds(scores: np.ndarray, y: np.ndarray, langs: list, least: int = 30) -> dict:
-    """By language the cut of the highest F0.5, which weighs clean documents more, on calibration rows.
+def language_thresholds(scores: np.ndarray, y: np.ndarray, n: np.ndarray, langs: np.ndarray, least: int = 30) -> dict:
+    """By language the cut of the highest F0.5, which weighs clean documents more, over n calibration rows of each score, label and language.
 
     Languages with few positives use the common cut (None), and that is 0.5 where there are few positives in all.
     """
 
-    def best(s: np.ndarray, t: np.ndarray) -> float:
-        order = np.argsort(-s, kind="stable")
-        s, hit = s[order], np.cumsum(t[order])
-        f = 1.25 * hit / (np.arange(1, len(s) + 1) + 0.25 * t.sum())
-        k = int(np.argmax(f))
-        return min(0.9, max(0.3, float((s[k] + s[k + 1]) / 2 if k + 1 < len(s) else s[k])))
+    def best(own: np.ndarray) -> float:
+        s, at = np.unique(-scores[own], return_inverse=True)
+        all_, hit = np.cumsum(np.bincount(at, n[own])), np.cumsum(np.bincount(at, n[own] * y[own]))
+        k = int(np.argmax(1.25 * hit / (all_ + 0.25 * hit[-1])))
+        return min(0.9, max(0.3, float(-(s[k] + s[k + 1]) / 2 if k + 1 < len(s) else -s[k])))
 
-    out = {None: best(scores, y) if y.sum() >= least else 0.5}
+    out = {None: best(np.ones(len(y), bool)) if (n * y).sum() >= least else 0.5}
     for lang in sorted({x for x in langs if x is not None}):
         own = np.array([x == lang for x in langs])
-        if y[own].sum() >= least:
-            out[lang] = best(scores[own], y[own])
+        if (n * y)[own].sum() >= least:
+            out[lang] = best(own)
     return out
 
 
@@ -223,22 +226,38 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, per_class: int, most_chars
     return rows.mapInArrow(hashed, "doc_id long, toxic int, lang string, words binary")
 
 
+def calibration_counts(docs: DataFrame, labels: DataFrame, model: Cnn) -> DataFrame:
+    """(toxic, lang, step, n): all labelled documents that training leaves aside, by label, language and logit."""
+    aside = ~held_out_column() & (F.crc32(F.concat(F.col("doc_id").cast("string"), F.lit("/aside")).cast("binary")) % 4 == 0)
+    known = labels.filter(aside & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+    rows = docs.filter(aside).select(F.col("doc_id").cast("long").alias("doc_id"), lang.alias("lang"), text_or_empty().alias("text"))
+    spark = docs.sparkSession
+    text_batches(spark)
+    sent = spark.sparkContext.broadcast(model)  # VOCABULARY x WIDTH floats and the filters: a fixed size
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m, ids = sent.value, WordIds()
+        for batch in batches:
+            step = np.clip(np.round(m.logits([ids.of(t) for t in batch.column(2).to_pylist()]) * STEPS), -MOST, MOST)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(step.astype(np.int32))], names=["doc_id", "lang", "step"])
+
+    steps = rows.mapInArrow(run, "doc_id long, lang string, step int").groupBy("doc_id").agg(F.min(F.struct("step", "lang")).alias("d"))
+    return steps.join(known, "doc_id").groupBy("toxic", "d.lang", "d.step").agg(F.count("*").alias("n"))
+
+
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2500) -> tuple[Cnn | float, dict]:
-    """(model, thresholds by language). A quarter of the training rows is kept for calibration."""
+    """(model, thresholds by language). A quarter of the labelled rows, all of them, is kept for calibration."""
     rows = sorted(labelled_rows(docs, labels, per_class).collect(), key=lambda r: r["doc_id"])
     y = np.array([r["toxic"] for r in rows], dtype=np.int64)
     aside = np.array([zlib.crc32(f"{r['doc_id']}/aside".encode()) % 4 == 0 for r in rows], dtype=bool)
     if len(set(y[~aside].tolist())) < 2 or len(set(y[aside].tolist())) < 2:
         return (float(y.mean()) if len(y) else 0.0), {None: 0.5}
-    words = [np.frombuffer(r["words"], np.int64) for r in rows]
-    model = train([w for w, a in zip(words, aside) if not a], y[~aside])
-    logits = model.logits([w for w, a in zip(words, aside) if a]).astype(np.float64)
-    model.scale, model.shift = calibrate(logits, y[aside])
-    n = {r[0]: r[1] for r in labels.filter(~held_out_column()).groupBy("toxic").agg(F.count("*")).filter("toxic in (0, 1)").collect()}
-    prior = float(np.log(max(1, n.get(1, 0)) / max(1, n.get(0, 0))) - np.log((y == 1).sum() / (y == 0).sum()))
-    model.shift += prior  # the sample is balanced, the corpus is not
-    cuts = language_thresholds(_sigmoid(model.scale * logits + model.shift), y[aside], [r["lang"] for r, a in zip(rows, aside) if a])
-    return model, cuts
+    model = train([np.frombuffer(r["words"], np.int64) for r, a in zip(rows, aside) if not a], y[~aside])
+    seen = [r for r in calibration_counts(docs, labels, model).collect() if r["toxic"] in (0, 1)]  # languages x steps at most
+    toxic, steps, n = (np.array([r[c] for r in seen], dtype=np.float64) for c in ("toxic", "step", "n"))
+    model.scale, model.shift = calibrate(steps / STEPS, toxic, n)
+    return model, language_thresholds(_sigmoid(model.scale * steps / STEPS + model.shift), toxic, n, np.array([r["lang"] for r in seen], dtype=object))
 
 
 def score(docs: DataFrame, model: Cnn | float) -> DataFrame:

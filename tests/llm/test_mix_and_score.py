@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import zlib
 from collections import defaultdict
 
 from pyspark.sql import functions as F
@@ -71,3 +72,16 @@ def test_toxicity(spark):
     assert toxicity.score(docs(spark, []), model).count() == 0
     assert toxicity.fit(d, lab.filter("toxic = 0"))[0] == 0.0
     assert toxicity.score(d, toxicity.fit(d, lab.limit(0))[0]).filter("score = 0").count() == len(got)
+
+
+def test_toxicity_is_calibrated_on_all_rows_aside(spark):
+    """On those that training leaves aside, not only on those of them that are among the documents picked for training."""
+    r = random.Random(9)
+    common = ["".join(r.choice("abcdefgh") for _ in range(4)) for _ in range(300)]
+    data = [(i, " ".join([r.choice(common) for _ in range(r.randint(5, 60))] + ["zorg"] * (i % 5 == 0)), "en", "a", 1, 7, 7, "h", "l") for i in range(900)]
+    d, lab = docs(spark, data), spark.createDataFrame([(i, 1, int(i % 5 == 0)) for i in range(900)], "doc_id long, quality int, toxic int")
+    aside = {i for i in range(900) if zlib.crc32(str(i).encode()) % 5 and zlib.crc32(f"{i}/aside".encode()) % 4 == 0}
+    model = toxicity.fit(d, lab, per_class=60)[0]
+    assert sum(x["n"] for x in toxicity.calibration_counts(d, lab, model).collect()) == len(aside)
+    own = [(x["score"], x["doc_id"] % 5 == 0) for x in toxicity.score(d, model).collect() if x["doc_id"] in aside]
+    assert abs(sum(s for s, _ in own) - sum(t for _, t in own)) <= 1 + 0.02 * len(own)
