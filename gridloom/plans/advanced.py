@@ -99,7 +99,7 @@ def hwe_exact(spark, d):
 def rf_train_apply(spark, d):
     v = view(spark, d, "v_variants").withColumns({"fails": qc.hard_filter_fails(), "kind": X.allele_type("ref", "alt"), "truth": F.col("hapmap") & (F.col("QD") > 5)})
     v = ml.training_labels(v.drop("AC"), ["truth", "omni"], "fails", X.in_intervals("contig", "position", ["chr20"]))
-    model = ml.train_forest(ml.balanced(v, "vid"), ["QD", "FS", "MQ"], ["kind"], trees=20)
+    model = ml.train_forest(ml.balanced(v, "vid"), ["QD", "FS", "MQ"], ["kind"], trees=20, key="vid")
     return ml.apply_forest(model, v).select("vid", "label", "train", "predicted", r6("prob_TP").alias("prob_TP"))
 
 

@@ -187,6 +187,20 @@ def test_forest_and_filters(spark, tmp_path):
     assert reg.runs()["x"]["accuracy"] == 0.9 and reg.path("x", "model").endswith("/x/model")
 
 
+def test_forest_is_dealt_to_tasks(spark, monkeypatch):
+    """Sites that lie in one small file are trained on and scored by several tasks, and the forest is the same wherever they lie."""
+    monkeypatch.setattr(ml, "TREE_ROWS", 1000)
+    r = random.Random(8)
+    rows = [(i, r.random(), "TP" if r.random() < 0.5 else "FP") for i in range(400)]
+    d = spark.createDataFrame(rows, "vid long, a double, label string")
+    one, many = (ml.train_forest(x, ["a"], [], trees=10, depth=3, key="vid") for x in (d.coalesce(1), d.orderBy(F.desc("a")).repartition(7)))
+    shown = lambda m: m.stages[-1].toDebugString.split("\n", 1)[1]  # noqa: E731  (the first line names the object)
+    assert shown(one) == shown(many)
+    assert ml.dealt(d.coalesce(1), 4, "vid").rdd.getNumPartitions() == 4
+    assert ml.apply_forest(one, d.coalesce(1)).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert ml.apply_forest(one, d.coalesce(1)).count() == 400
+
+
 def test_kolmogorov_smirnov(spark):
     r = random.Random(4)
     x = [("a", r.randint(0, 20)) for _ in range(80)] + [("b", r.randint(4, 25)) for _ in range(60)] + [("c", 1)]
