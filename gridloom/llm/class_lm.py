@@ -30,19 +30,22 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import cut, drop_cut, free_shuffles, small_side, text_batches, text_or_empty
+from gridloom.llm.common import cut, drop_cut, drop_files, file_parts, free_shuffles, text_batches, text_or_empty
 
 #: Words that every task knows, and those among them that exchange clustering moves.
 FREQUENT = 1 << 17
 CLUSTERED = 1 << 14
 #: Distinct entries that a task gathers before it passes them on.
 HELD = 500_000
+#: Parts of the coded documents that are tagged one after the other; each shuffles its codes and other words, then frees them.
+PARTS = 4
 END = ""
 
 
@@ -324,13 +327,19 @@ class ClassModel:
 
 
 def tagged(codes: DataFrame, frequent_n: np.ndarray, frequent_class: np.ndarray, others: DataFrame, n_tokens: int, n_words: int, k: int) -> DataFrame:
-    """(doc_id, learn, n_tokens, n_known, base_score, log_n, tags): a tag is a token's class, plus 128 for words met once; k + 1 is unknown."""
-    wanted = codes.select("row", F.posexplode("others").alias("place", "word"))
-    found = wanted.join(small_side(others), "word").groupBy("row").agg(F.collect_list("place").alias("places"), F.collect_list("n").alias("ns"), F.collect_list("class").alias("classes"))
-    size = F.size("others").alias("n_others")
-    rows = codes.select("row", "doc_id", "learn", "codes", size).join(found, "row", "left")
+    """(doc_id, learn, n_tokens, n_known, base_score, log_n, tags): a tag is a token's class, plus 128 for words met once; k + 1 is unknown.
+
+    codes, a cut() table, is used up: the files of a part go once it is tagged.
+    """
+    words = others.hint("merge")  # sent to all tasks it takes 15 times the room of its files
     none = lambda c, t: F.coalesce(c, F.array().cast(t)).alias(c)
-    rows = rows.select("doc_id", "learn", "codes", "n_others", none("places", "array<int>"), none("ns", "array<long>"), none("classes", "array<int>"))
+
+    def looked_up(part: DataFrame) -> DataFrame:
+        wanted = part.select("row", F.posexplode("others").alias("place", "word"))
+        found = wanted.join(words, "word").groupBy("row").agg(F.collect_list("place").alias("places"), F.collect_list("n").alias("ns"), F.collect_list("class").alias("classes"))
+        rows = part.select("row", "doc_id", "learn", "codes", F.size("others").alias("n_others")).join(found, "row", "left")
+        return rows.select("doc_id", "learn", "codes", "n_others", none("places", "array<int>"), none("ns", "array<long>"), none("classes", "array<int>"))
+
     space = np.log10(n_tokens + n_words + 1.0)
 
     def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -357,7 +366,13 @@ def tagged(codes: DataFrame, frequent_n: np.ndarray, frequent_class: np.ndarray,
                 pa.array([t.tobytes() for t in np.split(tags.astype(np.uint8), starts[1:])], pa.binary()),
             ], names=["doc_id", "learn", "n_tokens", "n_known", "base_score", "log_n", "tags"])
 
-    return cut(rows.mapInArrow(tag, f"doc_id {dict(codes.dtypes)['doc_id']}, learn boolean, n_tokens long, n_known long, base_score double, log_n double, tags binary"), "tagged")
+    schema = f"doc_id {dict(codes.dtypes)['doc_id']}, learn boolean, n_tokens long, n_known long, base_score double, log_n double, tags binary"
+    done = []
+    for part in file_parts(codes, PARTS):
+        done.append(cut(looked_up(part).mapInArrow(tag, schema), "tagged"))
+        drop_files(part)
+        free_shuffles(codes.sparkSession)
+    return reduce(DataFrame.unionAll, done)
 
 
 def _split(tags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -45,6 +45,19 @@ def drop_cut(*tables: DataFrame) -> None:
             files.delete(path, True)
 
 
+def file_parts(df: DataFrame, most: int) -> list[DataFrame]:
+    """df, a cut() table, as at most that many tables of some of its files each."""
+    files = sorted(df.inputFiles())
+    return [df.sparkSession.read.schema(df.schema).parquet(*files[i::most]) for i in range(min(most, len(files)))] or [df]
+
+
+def drop_files(df: DataFrame) -> None:
+    """Delete the files of one of the file_parts() that nothing will read again."""
+    spark = df.sparkSession
+    for path in map(spark._jvm.org.apache.hadoop.fs.Path, df.inputFiles()):
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, False)
+
+
 def free_shuffles(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished jobs: it does once both sides have dropped their plans."""
     gc.collect()

@@ -149,3 +149,18 @@ def test_a_task_makes_one_row_of_class_pairs(spark):
                 want[classes[h], classes[i]] += c
     assert M._class_tables(near, classes, n).count() == near.rdd.getNumPartitions()
     assert (M._class_table(near, classes, n) == want).all()
+
+
+def test_parts_of_the_codes_are_tagged_in_turn_and_go(spark, monkeypatch):
+    """Scores are the same however many parts there are, and no coded document is left on disk."""
+    d, learn = spark.createDataFrame(corpus(), "doc_id long, text string").repartition(5, "doc_id"), F.col("doc_id") % 5 != 0
+    made, coded = [], M.coded
+    monkeypatch.setattr(M, "coded", lambda *a: made.append(coded(*a)) or made[-1])
+    got = []
+    for parts in (1, 3):
+        monkeypatch.setattr(M, "PARTS", parts)
+        s, _ = M.class_lm(d, learn, 4, 2, frequent=40, clustered=20)
+        got.append({r["doc_id"]: r["score"] for r in s.collect()})
+        files = [spark._jvm.org.apache.hadoop.fs.Path(f) for f in made[-1].inputFiles()]
+        assert len(files) > 1 and not any(f.getFileSystem(spark._jsc.hadoopConfiguration()).exists(f) for f in files)
+    assert len(got[0]) == 300 and got[0] == pytest.approx(got[1])
