@@ -5,12 +5,11 @@ character, is 0.8 or more; this is computed exactly, from the two texts, for eve
 links are found by distributed label propagation, and of each component the first occurrence, by (doc_id, line number),
 stays.
 
-Candidates come from signatures of 24 minima of hash XOR constant, in 8 bands of 3: lines whose signed sets have
-similarity 0.8 share a band with probability 0.997, at 0.7 with 0.97. To sign a line costs most of the work, so a
-signature does not take all shingles but those that begin at a chunk of up to 6 non-blank characters; chunks begin at
-words, so these shingles overlap, cover every character and stay the same where characters come or go elsewhere. In
-words of more than 12 characters (text without blanks) one begins at every character until 12 are left. What this loses
-against all shingles is measured in the README.
+Candidates come from signatures of 24 minima of hash XOR constant, in 16 bands of 3 minima that lie apart, since neighbours
+often are one shingle. To sign all shingles would cost most of the work, so a signature takes a hash for each word with
+the first letters of the next, one for the second half of a word of more than 6 letters, and in words of more than 12 (text
+without blanks) one for every 12 characters: what an edit changes is about as much as it changes of all shingles. What this
+loses against all shingles is measured in the README.
 
 Equal lines are one node, known by 128 bits of hash. Buckets are not expanded into pairs: each member meets the
 bucket's smallest and largest members; after those links are contracted, members outside the bucket's largest component
@@ -19,7 +18,8 @@ of its members. Buckets of more than HOT lines mostly hold lines that share a pa
 else; in place of the second meeting their lines are indexed, each under its rarest signed shingles: of n the first
 n - ceil(LOOSE n) + 1 in order of frequency, of which two lines whose signed sets are LOOSE similar must share one. The
 places of a shared shingle in both lines bound what they can share from there on, which rules out most pairs of lines
-that only share a passage. LOOSE lies below the threshold, as signed sets and full sets differ a little.
+that only share a passage, and so do 256 bits of each set. Here a line's shingles are those that begin at a chunk of up to
+6 non-blank characters, chunks beginning at words. LOOSE lies below the threshold, as signed sets and full sets differ a little.
 
 Cases: blank lines are never compared and always stay; null text stays null; very long texts and lines are read whole;
 repeated rows of one doc_id and text count as one document and are treated alike; an empty table gives no rows; all
@@ -35,13 +35,18 @@ from gridloom.llm.common import components, cut, small_side, text_or_empty
 
 SHINGLES = r"(?s)(?=(.{1,12}))(?:\S(?=\S{12})|\S{1,6})"
 WIDTH = 12
-#: A shingle at every character that has WIDTH of them from there on; a shorter line is one shingle.
-EVERY = rf"(?s)(?=(.{{{WIDTH}}}|\A.{{1,{WIDTH - 1}}}\z))."
 BLANKS = " \t\r\f\v"
-BANDS, ROWS, HOT, LOOSE = 8, 3, 32, 0.76
+HOT, LOOSE = 32, 0.76
+#: Minima of a signature, and the bands: which three minima make each. They lie apart, as neighbours often are one shingle.
+SIGNED = 24
+BANDS = [(j, j + 8, j + 16) for j in range(8)] + [(j, (j + 5) % SIGNED, (j + 14) % SIGNED) for j in range(0, SIGNED, 3)]
 #: Members of a bucket's largest component that the members outside meet before they meet all of it.
 DRAWN = 8
-MINIMA = [f"m{j}" for j in range(BANDS * ROWS)]
+#: Letters of the next word that a signed word takes along (twice as many after its second half), and letters of its first half.
+LEAD, HALF = 4, 6
+KEYS = [f"k{j}" for j in range(len(BANDS))]
+#: A set of hashes as 64 bits each: those of its hashes whose next two bits are j.
+BITS = [f"s{j}" for j in range(4)]
 
 
 def _constants(n: int) -> list[int]:
@@ -59,20 +64,50 @@ def lines(docs: DataFrame) -> DataFrame:
     return rows.filter(F.ltrim("line", F.lit(BLANKS)) != "").withColumns({"a": F.xxhash64("line"), "b": F.xxhash64(F.lit(7), "line")})
 
 
+def _characters(line: Column) -> Column:
+    """Four bytes a character, so that a piece is cut out without a walk from the start."""
+    return F.encode(line, "UTF-32")
+
+
+def _every_shingle(characters: Column) -> Column:
+    """The hash of a shingle at every character that has WIDTH of them from there on; a shorter line is one shingle."""
+    starts = F.sequence(F.lit(1), F.greatest(F.octet_length(characters) - 4 * WIDTH + 1, F.lit(1)), F.lit(4))
+    return F.transform(starts, lambda i: F.xxhash64(F.substring(characters, i, F.lit(4 * WIDTH))))
+
+
+def signed(rows: DataFrame) -> DataFrame:
+    """(a, b, begin, h): what a signature is made of. begin is 1 in one row of each of rows (a, b, line), else 0."""
+    words = rows.select("a", "b", F.split("line", " ").alias("w"))
+    words = words.select("a", "b", "w", F.posexplode("w").alias("p", "x")).filter((F.col("p") == 0) | (F.col("p") < F.size("w") - 1))
+    n, after = F.char_length("x"), F.get("w", F.col("p") + 1)
+    whole, tail = F.hash("x", F.substring(after, 1, LEAD)), F.hash(F.substring("x", HALF + 1, HALF), F.substring(after, 1, 2 * LEAD))
+    wide = F.when(n > WIDTH, _characters(F.col("x")))
+    more = F.when(n > WIDTH, n - WIDTH + 1).otherwise((n > HALF).cast("int"))
+    words = words.select("a", "b", "p", whole.alias("h"), tail.alias("t"), wide.alias("c"), F.explode(F.sequence(F.lit(0), more)).alias("i"))
+    within = F.coalesce(F.hash(F.substring(F.col("c"), F.col("i") * 4 - 3, F.lit(4 * WIDTH))), F.lit(0))
+    h = F.when(F.col("i") == 0, F.col("h")).when(F.col("c").isNull(), F.col("t")).otherwise(within)
+    return words.select("a", "b", ((F.col("p") == 0) & (F.col("i") == 0)).cast("int").alias("begin"), F.coalesce(h, F.lit(0)).alias("h"))
+
+
 def signatures(rows: DataFrame) -> DataFrame:
-    """(id, a, b, rows, m0, m1, ...) for each distinct line: a number, its hashes, its count and the minima, combined before the shuffle.
+    """(id, a, b, rows, k0, k1, ...) for each distinct line: a number, its hashes, its count and the keys of its bands.
 
     The numbers hold within one written table only: they name lines in joins, and no result depends on their order.
     """
-    shingles = rows.select("a", "b", F.posexplode(F.regexp_extract_all("line", F.lit(SHINGLES), F.lit(1))).alias("p", "s"))
-    shingles = shingles.select("a", "b", (F.col("p") == 0).cast("int").alias("begin"), F.hash("s").alias("h"))
-    minima = [F.min(F.col("h").bitwiseXOR(F.lit(c))).alias(m) for m, c in zip(MINIMA, _constants(BANDS * ROWS))]
-    per_line = shingles.groupBy("a", "b").agg(F.sum("begin").alias("rows"), *minima)
-    return per_line.select(F.monotonically_increasing_id().alias("id"), "a", "b", "rows", *MINIMA)
+    minima = [f"m{j}" for j in range(SIGNED)]
+    least = [F.min(F.col("h").bitwiseXOR(F.lit(c))).alias(m) for m, c in zip(minima, _constants(SIGNED))]
+    per_line = signed(rows).groupBy("a", "b").agg(F.sum("begin").alias("rows"), *least)
+    keys = [F.xxhash64(F.lit(j), *[minima[i] for i in band]).alias(k) for j, (k, band) in enumerate(zip(KEYS, BANDS))]
+    return per_line.select(F.monotonically_increasing_id().alias("id"), "a", "b", "rows", *keys)
+
+
+def _shingle_set(line: Column) -> Column:
+    return F.array_distinct(F.transform(F.regexp_extract_all(line, F.lit(SHINGLES), F.lit(1)), lambda s: F.hash(s)))
 
 
-def _shingle_set(line: Column, pattern: str = SHINGLES) -> Column:
-    return F.array_distinct(F.transform(F.regexp_extract_all(line, F.lit(pattern), F.lit(1)), lambda s: F.xxhash64(s) if pattern == EVERY else F.hash(s)))
+def _bits(name: str) -> list[Column]:
+    """The set of hashes of that name as BITS."""
+    return [F.expr(f"aggregate({name}, 0L, (t, x) -> t | if((x & 192) = {64 * j}, shiftleft(1L, x & 63), 0L))").alias(s) for j, s in enumerate(BITS)]
 
 
 def _let(x: Column, f) -> Column:
@@ -82,15 +117,15 @@ def _let(x: Column, f) -> Column:
 
 def similar(a: Column, b: Column, threshold: float) -> Column:
     """Whether two lines have at least that Jaccard similarity of all their shingles."""
-    sets = F.struct(_shingle_set(a, EVERY).alias("a"), _shingle_set(b, EVERY).alias("b"))
-    return _let(sets, lambda s: _let(F.size(F.array_intersect(s["a"], s["b"])), lambda n: n >= threshold * (F.size(s["a"]) + F.size(s["b"]) - n) - 1e-9))
+    a, b = (_let(_characters(x), _every_shingle) for x in (a, b))
+    return F.size(F.array_intersect(a, b)) >= threshold * F.size(F.array_union(a, b)) - 1e-9
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The (x, y) pairs of line ids whose lines are similar."""
+    """The (x, y) pairs of line ids whose lines are similar. They are judged in a table of their own, where each set is made once."""
     x, y = texts.select(F.col("id").alias("x"), F.col("line").alias("lx")), texts.select(F.col("id").alias("y"), F.col("line").alias("ly"))
     both = pairs.join(x, "x").join(y, "y")
-    return both.filter(similar(F.col("lx"), F.col("ly"), threshold)).select("x", "y")
+    return cut(both.select("x", "y", similar(F.col("lx"), F.col("ly"), threshold).alias("near")), "judged").filter("near").select("x", "y")
 
 
 def rarest_shingles(sets: DataFrame, threshold: float) -> DataFrame:
@@ -102,7 +137,7 @@ def rarest_shingles(sets: DataFrame, threshold: float) -> DataFrame:
     prefix = F.slice("s", F.lit(1), n - F.ceil(threshold * n - 1e-9).cast("int") + 1)
     ordered = ordered.select("id", "a", n.alias("size"), F.transform(prefix, lambda p: p["h"]).alias("prefix"))
     ordered = ordered.select("id", "a", "size", "prefix", F.posexplode("prefix").alias("place", "h"))
-    return ordered.select("id", "a", F.xxhash64(F.lit(BANDS), "h").alias("key"), "place", "size", "prefix")
+    return ordered.select("id", "a", F.xxhash64(F.lit(len(BANDS)), "h").alias("key"), "place", "size", "prefix")
 
 
 def shared_keys(keys: DataFrame) -> DataFrame:
@@ -124,27 +159,26 @@ def with_pivots(keys: DataFrame, drawn: bool = False) -> DataFrame:
 
 def line_components(sig: DataFrame, rows: DataFrame, threshold: float = 0.8) -> DataFrame:
     """(id, component) of the distinct lines that have near-duplicates."""
-    bands = F.array(*[F.xxhash64(F.lit(j), *MINIMA[j * ROWS : (j + 1) * ROWS]) for j in range(BANDS)])
-    shared = cut(shared_keys(sig.select("id", "a", "b", F.explode(bands).alias("key"))), "shared")
+    shared = cut(shared_keys(sig.select("id", "a", "b", F.explode(F.array(*KEYS)).alias("key"))), "shared")
     members = cut(with_pivots(shared), "bands")
     wanted = small_side(cut(members.select("id", "a", "b").distinct(), "wanted"))
     texts = cut(rows.select("a", "b", "line").join(wanted, ["a", "b"]).groupBy("id", "a").agg(F.first("line").alias("line")), "texts")
-    sets = cut(texts.select("id", "a", _shingle_set(F.col("line")).alias("set")), "sets")
+    sets = cut(texts.select("id", "a", _shingle_set(F.col("line")).alias("set")).select("*", *_bits("set")), "sets")
     crowded = members.filter(F.col("n") > HOT).select("id").distinct()
     rare = cut(with_pivots(cut(rarest_shingles(sets.join(crowded, "id", "left_semi"), LOOSE), "prefixes"), drawn=True), "rare")
     nowhere = F.lit(None).cast("int")
     members = members.drop("b").withColumns({"place": nowhere, "prefix": F.lit(None).cast("array<int>")})
     first = members.unionByName(rare.drop("size")).select("id", F.explode("pivots").alias("pivot")).filter("id <> pivot")
     first = first.select(F.least("id", "pivot").alias("x"), F.greatest("id", "pivot").alias("y")).distinct()
-    labels = cut(components(cut(verified(first, texts, threshold), "links")), "labels")
+    labels = cut(components(verified(first, texts, threshold)), "labels")
     larger = members.filter(F.col("n").between(3, HOT)).unionByName(rare.filter("n > 2").drop("size")).select("key", "id", "place", "prefix")
     larger = larger.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("c", F.coalesce("component", "id"))
     parts = larger.groupBy("key", "c").agg(F.count("*").alias("m")).groupBy("key").agg(F.max_by("c", "m").alias("main"), F.count("*").alias("parts")).filter("parts > 1")
-    split = larger.join(small_side(cut(parts.select("key", "main"), "parts")), "key").join(sets.select("id", "set"), "id")
-    split = cut(split.select("key", "id", "place", "prefix", "c", "main", F.size("set").alias("size"), "set"), "split")
+    split = larger.join(small_side(cut(parts.select("key", "main"), "parts")), "key").join(sets.drop("a"), "id")
+    split = cut(split.select("key", "id", "place", "prefix", "c", "main", F.size("set").alias("size"), "set", *BITS), "split")
     labels, split = drawn_first(split, labels, texts, threshold)
     met = outside_pairs(split, split, (F.col("o.c") != F.col("l.c")) & (F.col("o.place").isNull() | _once()))
-    links = cut(verified(cut(met, "met"), texts, threshold), "links")
+    links = verified(cut(met, "met"), texts, threshold)
     if links.isEmpty():
         return labels.select(F.col("node").alias("id"), "component")
     return components(labels.select("node", "component").union(links)).select(F.col("node").alias("id"), "component")
@@ -162,7 +196,9 @@ def outside_pairs(split: DataFrame, others: DataFrame, which: Column) -> DataFra
     left = lambda t: F.col(f"{t}.size") - F.coalesce(F.col(f"{t}.place"), F.lit(0))
     can = F.least(left("o"), left("l")) * (1 + LOOSE) >= LOOSE * both - 1e-9
     n = F.size(F.array_intersect("o.set", "l.set"))
-    probe = (F.col("o.key") == F.col("l.key")) & can & which & (n >= LOOSE * (both - n))
+    alone = lambda t, u: sum((F.bit_count(F.col(f"{t}.{s}").bitwiseAND(F.bitwise_not(f"{u}.{s}"))) for s in BITS), F.lit(0))
+    may = [(F.col(f"{t}.size") - alone(t, u)) * (1 + LOOSE) >= LOOSE * both - 1e-9 for t, u in ("ol", "lo")]
+    probe = (F.col("o.key") == F.col("l.key")) & can & may[0] & may[1] & which & (n >= LOOSE * (both - n))
     met = split.filter("c <> main").alias("o").join(others.alias("l"), probe)
     return met.select(F.least("o.id", "l.id").alias("x"), F.greatest("o.id", "l.id").alias("y")).distinct()
 
@@ -175,13 +211,13 @@ def drawn_first(split: DataFrame, labels: DataFrame, texts: DataFrame, threshold
     draws = [F.min_by("id", F.xxhash64(F.lit(j), "key", "id")) for j in range(DRAWN)]
     drawn = split.filter("c = main").groupBy("key").agg(F.count("*").alias("n"), F.array(*draws).alias("ids")).filter(F.col("n") > DRAWN)
     drawn = small_side(cut(drawn.select("key", F.explode(F.array_distinct("ids")).alias("id")), "drawn"))
-    links = cut(verified(cut(outside_pairs(split, split.join(drawn, ["key", "id"], "left_semi"), F.lit(True)), "met"), texts, threshold), "links")
+    links = verified(cut(outside_pairs(split, split.join(drawn, ["key", "id"], "left_semi"), F.lit(True)), "met"), texts, threshold)
     if links.isEmpty():
         return labels, split
     labels = cut(components(labels.select("node", "component").union(links)), "labels")
     now, top = (small_side(labels.select(F.col("node").alias(k), F.col("component").alias(v))) for k, v in (("id", "c"), ("main", "top")))
     again = split.drop("c").join(now, "id", "left").join(top, "main", "left")
-    return labels, again.select("key", "id", "place", "prefix", F.coalesce("c", "id").alias("c"), F.coalesce("top", "main").alias("main"), "size", "set")
+    return labels, again.select("key", "id", "place", "prefix", F.coalesce("c", "id").alias("c"), F.coalesce("top", "main").alias("main"), "size", "set", *BITS)
 
 
 def dropped_lines(docs: DataFrame, threshold: float = 0.8) -> DataFrame:

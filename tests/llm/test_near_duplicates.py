@@ -338,3 +338,23 @@ def test_members_outside_join_before_all_meet(spark, monkeypatch):
     links = similar_lines(flat)
     assert len(links) > 1000 and sum(flat[x] in of and flat[y] in of and of[flat[x]] == of[flat[y]] for x, y in links) == len(links)
     assert 0 < sum(pairs) < 14_000  # 18,777 where all that is outside meets all at once
+
+
+def test_signing_needs_no_pattern(spark):
+    """Words are signed without a pattern match a shingle, and each pair is judged on code points, those of four bytes too."""
+    from pyspark.sql import functions as F
+
+    r = random.Random(17)
+    plan = line_dedup.signatures(line_dedup.lines(docs(spark)))._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp" not in plan
+    pairs = []
+    for letters in ("abcde fghij", "\u00e4\u00f6\u4e00\u4e01 x", "\U0001f600\U0001f601\U0001f602 y"):
+        for n in (1, 5, 11, 12, 13, 40, 150):
+            x = "".join(r.choice(letters) for _ in range(n))
+            at = r.randrange(n)
+            pairs += [(x, x), (x, x[:at] + "#" + x[at:]), (x, x + "#"), (x * 3, x * 2)]
+    got = spark.createDataFrame(pairs, "x string, y string").select("x", "y", line_dedup.similar(F.col("x"), F.col("y"), 0.8).alias("s")).collect()
+    for row in got:
+        a, b = _shingles(row["x"]), _shingles(row["y"])
+        assert row["s"] == (len(a & b) >= 0.8 * len(a | b) - 1e-9), row
+    assert 30 < sum(row["s"] for row in got) < len(got)
