@@ -45,8 +45,8 @@ DRAWN = 8
 #: Letters of the next word that a signed word takes along (twice as many after its second half), and letters of its first half.
 LEAD, HALF = 4, 6
 KEYS = [f"k{j}" for j in range(len(BANDS))]
-#: A set of hashes as 64 bits each: those of its hashes whose next two bits are j.
-BITS = [f"s{j}" for j in range(4)]
+#: A set of hashes as 64 bits each: those of its hashes whose next five bits are j.
+BITS = [f"s{j}" for j in range(32)]
 
 
 def _constants(n: int) -> list[int]:
@@ -60,7 +60,7 @@ def _constants(n: int) -> list[int]:
 
 def lines(docs: DataFrame) -> DataFrame:
     """(doc_id, row_hash, pos, line, id): the lines that are not blank; id is 128 bits of the line."""
-    rows = docs.select("doc_id", F.xxhash64(text_or_empty()).alias("row_hash"), F.posexplode(F.split(text_or_empty(), "\n")).alias("pos", "line"))
+    rows = docs.select("doc_id", F.xxhash64(text_or_empty()).alias("row_hash"), F.posexplode_outer(F.split(text_or_empty(), "\n")).alias("pos", "line"))
     return rows.filter(F.ltrim("line", F.lit(BLANKS)) != "").withColumns({"a": F.xxhash64("line"), "b": F.xxhash64(F.lit(7), "line")})
 
 
@@ -69,24 +69,27 @@ def _characters(line: Column) -> Column:
     return F.encode(line, "UTF-32")
 
 
+def _starts(characters: Column) -> Column:
+    return F.sequence(F.lit(1), F.greatest(F.octet_length(characters) - 4 * WIDTH + 1, F.lit(1)), F.lit(4))
+
+
 def _every_shingle(characters: Column) -> Column:
     """The hash of a shingle at every character that has WIDTH of them from there on; a shorter line is one shingle."""
-    starts = F.sequence(F.lit(1), F.greatest(F.octet_length(characters) - 4 * WIDTH + 1, F.lit(1)), F.lit(4))
-    return F.transform(starts, lambda i: F.xxhash64(F.substring(characters, i, F.lit(4 * WIDTH))))
+    return F.transform(_starts(characters), lambda i: F.xxhash64(F.substring(characters, i, F.lit(4 * WIDTH))))
 
 
 def signed(rows: DataFrame) -> DataFrame:
-    """(a, b, begin, h): what a signature is made of. begin is 1 in one row of each of rows (a, b, line), else 0."""
+    """(a, b, begin, h, t): what a signature is made of, two hashes a row. begin is 1 in one row of each of rows (a, b, line), else 0."""
     words = rows.select("a", "b", F.split("line", " ").alias("w"))
-    words = words.select("a", "b", "w", F.posexplode("w").alias("p", "x")).filter((F.col("p") == 0) | (F.col("p") < F.size("w") - 1))
+    words = words.select("a", "b", "w", F.posexplode_outer("w").alias("p", "x")).filter((F.col("p") == 0) | (F.col("p") < F.size("w") - 1))
     n, after = F.char_length("x"), F.get("w", F.col("p") + 1)
     whole, tail = F.hash("x", F.substring(after, 1, LEAD)), F.hash(F.substring("x", HALF + 1, HALF), F.substring(after, 1, 2 * LEAD))
     wide = F.when(n > WIDTH, _characters(F.col("x")))
-    more = F.when(n > WIDTH, n - WIDTH + 1).otherwise((n > HALF).cast("int"))
-    words = words.select("a", "b", "p", whole.alias("h"), tail.alias("t"), wide.alias("c"), F.explode(F.sequence(F.lit(0), more)).alias("i"))
-    within = F.coalesce(F.hash(F.substring(F.col("c"), F.col("i") * 4 - 3, F.lit(4 * WIDTH))), F.lit(0))
-    h = F.when(F.col("i") == 0, F.col("h")).when(F.col("c").isNull(), F.col("t")).otherwise(within)
-    return words.select("a", "b", ((F.col("p") == 0) & (F.col("i") == 0)).cast("int").alias("begin"), F.coalesce(h, F.lit(0)).alias("h"))
+    places = F.when(n > WIDTH, F.sequence(F.lit(0), n - WIDTH + 1)).otherwise(F.array(F.lit(0)))
+    words = words.select("a", "b", "p", whole.alias("h"), F.when(n.between(HALF + 1, WIDTH), tail).otherwise(whole).alias("t"), wide.alias("c"), F.explode_outer(places).alias("i"))
+    within = F.hash(F.substring(F.col("c"), F.col("i") * 4 - 3, F.lit(4 * WIDTH)))
+    h, t = (F.when(F.col("i") == 0, F.col(x)).otherwise(within).alias(x) for x in ("h", "t"))
+    return words.select("a", "b", ((F.col("p") == 0) & (F.col("i") == 0)).cast("int").alias("begin"), h, t)
 
 
 def signatures(rows: DataFrame) -> DataFrame:
@@ -95,7 +98,7 @@ def signatures(rows: DataFrame) -> DataFrame:
     The numbers hold within one written table only: they name lines in joins, and no result depends on their order.
     """
     minima = [f"m{j}" for j in range(SIGNED)]
-    least = [F.min(F.col("h").bitwiseXOR(F.lit(c))).alias(m) for m, c in zip(minima, _constants(SIGNED))]
+    least = [F.min(F.least(*[F.col(x).bitwiseXOR(F.lit(c)) for x in ("h", "t")])).alias(m) for m, c in zip(minima, _constants(SIGNED))]
     per_line = signed(rows).groupBy("a", "b").agg(F.sum("begin").alias("rows"), *least)
     keys = [F.xxhash64(F.lit(j), *[minima[i] for i in band]).alias(k) for j, (k, band) in enumerate(zip(KEYS, BANDS))]
     return per_line.select(F.monotonically_increasing_id().alias("id"), "a", "b", "rows", *keys)
@@ -105,9 +108,32 @@ def _shingle_set(line: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(line, F.lit(SHINGLES), F.lit(1)), lambda s: F.hash(s)))
 
 
-def _bits(name: str) -> list[Column]:
-    """The set of hashes of that name as BITS."""
-    return [F.expr(f"aggregate({name}, 0L, (t, x) -> t | if((x & 192) = {64 * j}, shiftleft(1L, x & 63), 0L))").alias(s) for j, s in enumerate(BITS)]
+def shingle_bits(texts: DataFrame) -> DataFrame:
+    """(id, ones, more, s0, s1, ...) of each line: BITS of the set of its shingles' hashes, how many are set, and how many more shingles begin in it."""
+    rows = texts.select("id", _characters(F.col("line")).alias("c"))
+    rows = rows.select("id", "c", F.explode_outer(_starts(F.col("c"))).alias("i")).select("id", F.xxhash64(F.substring("c", F.col("i"), F.lit(4 * WIDTH))).alias("h"))
+    rows = rows.select("id", F.expr(f"(h >>> 6) & {len(BITS) - 1}").alias("j"), F.expr("shiftleft(1L, cast(h & 63 as int))").alias("bit"))
+    sets = rows.groupBy("id").agg(F.count("*").alias("n"), *[F.bit_or(F.when(F.col("j") == j, F.col("bit")).otherwise(F.lit(0).cast("long"))).alias(s) for j, s in enumerate(BITS)])
+    ones = sum((F.bit_count(s) for s in BITS), F.lit(0))
+    return sets.select("id", ones.alias("ones"), "n", *BITS).select("id", "ones", (F.col("n") - F.col("ones")).alias("more"), *BITS)
+
+
+def can_be_similar(a: str, b: str, threshold: float) -> Column:
+    """False only where the shingle_bits of the rows named a and b rule out that similarity.
+
+    Each bit that only one set has is a shingle that only that line has: u and v so many at least are not shared, and of the n that
+    begin in a line n - u at most are. min(n - u, m - v) >= threshold (min(n - u, m - v) + u + v), solved for the bits that both
+    have, so that these are counted once.
+    """
+    both = sum((F.bit_count(F.col(f"{a}.{s}").bitwiseAND(F.col(f"{b}.{s}"))) for s in BITS), F.lit(0))
+    ones, more = F.col(f"{a}.ones") + F.col(f"{b}.ones"), F.least(F.col(f"{a}.more"), F.col(f"{b}.more"))
+    return both * (1 + threshold) >= threshold * ones - (1 - threshold) * more - 1e-9
+
+
+def possible(pairs: DataFrame, bits: DataFrame, threshold: float) -> DataFrame:
+    """The (x, y) pairs that their lines' bits do not rule out."""
+    both = pairs.join(bits.alias("a"), F.col("x") == F.col("a.id")).join(bits.alias("b"), F.col("y") == F.col("b.id"))
+    return both.filter(can_be_similar("a", "b", threshold)).select("x", "y")
 
 
 def _let(x: Column, f) -> Column:
@@ -163,21 +189,22 @@ def line_components(sig: DataFrame, rows: DataFrame, threshold: float = 0.8) ->
     members = cut(with_pivots(shared), "bands")
     wanted = small_side(cut(members.select("id", "a", "b").distinct(), "wanted"))
     texts = cut(rows.select("a", "b", "line").join(wanted, ["a", "b"]).groupBy("id", "a").agg(F.first("line").alias("line")), "texts")
-    sets = cut(texts.select("id", "a", _shingle_set(F.col("line")).alias("set")).select("*", *_bits("set")), "sets")
+    bits = small_side(cut(shingle_bits(texts), "bits"))
     crowded = members.filter(F.col("n") > HOT).select("id").distinct()
-    rare = cut(with_pivots(cut(rarest_shingles(sets.join(crowded, "id", "left_semi"), LOOSE), "prefixes"), drawn=True), "rare")
+    sets = cut(texts.join(crowded, "id", "left_semi").select("id", "a", _shingle_set(F.col("line")).alias("set")), "sets")
+    rare = cut(with_pivots(cut(rarest_shingles(sets, LOOSE), "prefixes"), drawn=True), "rare")
     nowhere = F.lit(None).cast("int")
-    members = members.drop("b").withColumns({"place": nowhere, "prefix": F.lit(None).cast("array<int>")})
-    first = members.unionByName(rare.drop("size")).select("id", F.explode("pivots").alias("pivot")).filter("id <> pivot")
+    members = members.drop("b").withColumns({"place": nowhere, "size": nowhere, "prefix": F.lit(None).cast("array<int>")})
+    first = members.unionByName(rare).select("id", F.explode("pivots").alias("pivot")).filter("id <> pivot")
     first = first.select(F.least("id", "pivot").alias("x"), F.greatest("id", "pivot").alias("y")).distinct()
-    labels = cut(components(verified(first, texts, threshold)), "labels")
-    larger = members.filter(F.col("n").between(3, HOT)).unionByName(rare.filter("n > 2").drop("size")).select("key", "id", "place", "prefix")
+    labels = cut(components(verified(cut(possible(first, bits, threshold), "possible"), texts, threshold)), "labels")
+    larger = members.filter(F.col("n").between(3, HOT)).unionByName(rare.filter("n > 2")).select("key", "id", "place", "size", "prefix")
     larger = larger.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("c", F.coalesce("component", "id"))
     parts = larger.groupBy("key", "c").agg(F.count("*").alias("m")).groupBy("key").agg(F.max_by("c", "m").alias("main"), F.count("*").alias("parts")).filter("parts > 1")
-    split = larger.join(small_side(cut(parts.select("key", "main"), "parts")), "key").join(sets.drop("a"), "id")
-    split = cut(split.select("key", "id", "place", "prefix", "c", "main", F.size("set").alias("size"), "set", *BITS), "split")
+    split = larger.join(small_side(cut(parts.select("key", "main"), "parts")), "key").join(bits, "id")
+    split = cut(split.select("key", "id", "place", "size", "prefix", "c", "main", "ones", "more", *BITS), "split")
     labels, split = drawn_first(split, labels, texts, threshold)
-    met = outside_pairs(split, split, (F.col("o.c") != F.col("l.c")) & (F.col("o.place").isNull() | _once()))
+    met = outside_pairs(split, split, F.col("o.c") != F.col("l.c"), F.col("o.place").isNull() | _once(), threshold)
     links = verified(cut(met, "met"), texts, threshold)
     if links.isEmpty():
         return labels.select(F.col("node").alias("id"), "component")
@@ -190,16 +217,15 @@ def _once() -> Column:
     return F.size(F.array_intersect(before("o"), before("l"))) == 0
 
 
-def outside_pairs(split: DataFrame, others: DataFrame, which: Column) -> DataFrame:
-    """(x, y) of members outside their bucket's largest component (o) and others of the bucket (l) whose signed sets are LOOSE similar."""
+def outside_pairs(split: DataFrame, others: DataFrame, which: Column, last: Column, threshold: float) -> DataFrame:
+    """(x, y) of members outside their bucket's largest component (o) and others of the bucket (l) that bits and places do not rule out.
+
+    The conditions stand in the order of their cost; last, which compares arrays, is for the few pairs that pass the others.
+    """
     both = F.col("o.size") + F.col("l.size")
-    left = lambda t: F.col(f"{t}.size") - F.coalesce(F.col(f"{t}.place"), F.lit(0))
-    can = F.least(left("o"), left("l")) * (1 + LOOSE) >= LOOSE * both - 1e-9
-    n = F.size(F.array_intersect("o.set", "l.set"))
-    alone = lambda t, u: sum((F.bit_count(F.col(f"{t}.{s}").bitwiseAND(F.bitwise_not(f"{u}.{s}"))) for s in BITS), F.lit(0))
-    may = [(F.col(f"{t}.size") - alone(t, u)) * (1 + LOOSE) >= LOOSE * both - 1e-9 for t, u in ("ol", "lo")]
-    probe = (F.col("o.key") == F.col("l.key")) & can & may[0] & may[1] & which & (n >= LOOSE * (both - n))
-    met = split.filter("c <> main").alias("o").join(others.alias("l"), probe)
+    left = lambda t: F.col(f"{t}.size") - F.col(f"{t}.place")
+    placed = F.col("o.place").isNull() | (F.least(left("o"), left("l")) * (1 + LOOSE) >= LOOSE * both - 1e-9)
+    met = split.filter("c <> main").alias("o").join(others.alias("l"), (F.col("o.key") == F.col("l.key")) & which & placed & can_be_similar("o", "l", threshold) & last)
     return met.select(F.least("o.id", "l.id").alias("x"), F.greatest("o.id", "l.id").alias("y")).distinct()
 
 
@@ -211,13 +237,13 @@ def drawn_first(split: DataFrame, labels: DataFrame, texts: DataFrame, threshold
     draws = [F.min_by("id", F.xxhash64(F.lit(j), "key", "id")) for j in range(DRAWN)]
     drawn = split.filter("c = main").groupBy("key").agg(F.count("*").alias("n"), F.array(*draws).alias("ids")).filter(F.col("n") > DRAWN)
     drawn = small_side(cut(drawn.select("key", F.explode(F.array_distinct("ids")).alias("id")), "drawn"))
-    links = verified(cut(outside_pairs(split, split.join(drawn, ["key", "id"], "left_semi"), F.lit(True)), "met"), texts, threshold)
+    links = verified(cut(outside_pairs(split, split.join(drawn, ["key", "id"], "left_semi"), F.lit(True), F.lit(True), threshold), "met"), texts, threshold)
     if links.isEmpty():
         return labels, split
     labels = cut(components(labels.select("node", "component").union(links)), "labels")
     now, top = (small_side(labels.select(F.col("node").alias(k), F.col("component").alias(v))) for k, v in (("id", "c"), ("main", "top")))
     again = split.drop("c").join(now, "id", "left").join(top, "main", "left")
-    return labels, again.select("key", "id", "place", "prefix", F.coalesce("c", "id").alias("c"), F.coalesce("top", "main").alias("main"), "size", "set", *BITS)
+    return labels, again.select("key", "id", "place", "size", "prefix", F.coalesce("c", "id").alias("c"), F.coalesce("top", "main").alias("main"), "ones", "more", *BITS)
 
 
 def dropped_lines(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
