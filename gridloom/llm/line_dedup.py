@@ -18,8 +18,10 @@ of its members. Buckets of more than HOT lines mostly hold lines that share a pa
 else; in place of the second meeting their lines are indexed, each under its rarest signed shingles: of n the first
 n - ceil(LOOSE n) + 1 in order of frequency, of which two lines whose signed sets are LOOSE similar must share one. The
 places of a shared shingle in both lines bound what they can share from there on, which rules out most pairs of lines
-that only share a passage, and so do 256 bits of each set. Here a line's shingles are those that begin at a chunk of up to
-6 non-blank characters, chunks beginning at words. LOOSE lies below the threshold, as signed sets and full sets differ a little.
+that only share a passage. Here a line's shingles are those that begin at a chunk of up to 6 non-blank characters, chunks
+beginning at words. LOOSE lies below the threshold, as signed sets and full sets differ a little.
+
+Before a pair is judged, 2,048 bits of each line's set of all shingles must leave it possible; this rules out no similar pair.
 
 Cases: blank lines are never compared and always stay; null text stays null; very long texts and lines are read whole;
 repeated rows of one doc_id and text count as one document and are treated alike; an empty table gives no rows; all
