@@ -3,14 +3,15 @@
 A packed row holds the calls of one site, of the samples that have one only: their places in the order of the samples
 (32 bits each, rising) and their copies (a byte each). So a table of packed rows is as large as the cells it holds,
 however many samples there are. Tasks take so many sites at a time that a batch has about ENTRIES cells; where most of
-the batch's grid is filled they turn it into a dense matrix. Nothing that is samples by samples is ever held, and what
-the driver holds is samples by a few columns.
+the batch's grid is filled they turn it into a dense matrix. Nothing that is samples by samples is ever held, and the
+driver holds the ids of the samples only.
 """
 
 from __future__ import annotations
 
+import gc
 import warnings
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -19,6 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloom.operators.tall import ROWS, Noise, Tall, each_part, mix, orthonormal, split, tall
 from gridloom.operators.windows import stratified_rank
 from gridloom.session import written
 
@@ -119,79 +121,87 @@ def _sums(x: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 def _spread(z: np.ndarray, at: np.ndarray, size: np.ndarray, m: np.ndarray, total: np.ndarray) -> None:
-    """total += Z'Z m, of a batch's sites."""
-    if 8 * len(at) >= len(size) * len(m):
-        d = np.zeros((len(size), len(m)))
+    """total += Z'Z m, of a batch's sites; m and total have a row a column, which is gone through by itself."""
+    if 8 * len(at) >= len(size) * m.shape[1]:
+        d = np.zeros((len(size), m.shape[1]))
         d[np.repeat(np.arange(len(size)), size), at] = z
-        total += d.T @ (d @ m)
+        total += (d.T @ (d @ m.T)).T
         return
-    w = z[:, None] * np.repeat(_sums(z[:, None] * m[at], size), size, axis=0)
-    by = np.argsort(at, kind="stable")
-    at = at[by]
-    first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-    total[at[first]] += np.add.reduceat(w[by], first, axis=0)
+    at, start = at.astype(np.intp), np.cumsum(size) - size
+    for x, y in zip(m, total):
+        np.add.at(y, at, z * np.repeat(np.add.reduceat(z * x[at], start), size))
 
 
 def components(packed: DataFrame, n: int, k: int, extra: int = 6, tol: float = 1e-7, most: int = 1000, held: int = 12) -> tuple[np.ndarray, np.ndarray, int]:
+    """component_rows() with the eigenvectors as one array, samples x k."""
+    values, vectors, sites = component_rows(packed, n, k, extra, tol, most, held)
+    return values, np.zeros((n, len(values))) if vectors is None else vectors.whole(), sites
+
+
+def component_rows(packed: DataFrame, n: int, k: int, extra: int = 6, tol: float = 1e-7, most: int = 1000, held: int = 12, rows: int = ROWS) -> tuple[np.ndarray, Tall | None, int]:
     """(eigenvalues, eigenvectors samples x k, sites used) of the Gram matrix of normalised calls, largest first.
 
     Randomised block Krylov iteration (Musco and Musco 2015): a thin random matrix is multiplied by the Gram matrix round
-    after round, one pass over the sites each; the driver orthogonalises the new columns against all so far and solves
+    after round, one pass over the sites each; the new columns are made orthogonal to all so far and the driver solves
     the small projected problem, until the residuals of the k pairs are below tol of the largest eigenvalue (or the space
     is exhausted; after `most` rounds it warns). Images of columns are in the space of those after them, so only the last
     ones are kept, and when the columns of `held` rounds are there the best half of their combinations replaces them
-    (a thick restart). So the driver holds samples x (k + extra) numbers some `held` times over, however many rounds.
+    (a thick restart). All matrices with a row a sample lie in the shared folder (see tall), some `held` times samples x
+    (k + extra) numbers however many rounds; the driver has their products with one another only. Without sites that vary
+    there are no eigenvectors.
     """
     spark = packed.sparkSession
     use = packed.filter("p > 0 and p < 1")
     sites = use.count()
     k = min(k, n)
     if not sites or not k:
-        return np.zeros(k), np.zeros((n, k)), sites
+        return np.zeros(k), None, sites
     width = min(n, k + extra)
-    tasks = max(1, min(use.rdd.getNumPartitions(), 2 * spark.sparkContext.defaultParallelism))
+    tasks = max(1, min(use.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism))
 
-    def times(q: np.ndarray) -> np.ndarray:
-        sent = spark.sparkContext.broadcast(q)
+    def times(v: Tall, basis: list[Tall]) -> tuple[Tall, np.ndarray]:
+        """The Gram matrix times v, and the products of the basis with that."""
+        image = tall(spark, n, v.width, rows)
 
         def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            m, total = sent.value, np.zeros(shape)
+            m, total = v.columns(), np.zeros((v.width, n))
             for b in batches:
                 if b.num_rows:
                     at, z, size = _normalised(b, sites)
                     _spread(z, at, size, m, total)
-            for lo in range(0, n, PART):
-                yield pa.RecordBatch.from_arrays([pa.array([lo // PART], pa.int32()), pa.array([total[lo : lo + PART].tobytes()], pa.binary())], names=["part", "y"])
+            for part in range(v.parts):
+                for lo in range(part * rows, part * rows + v.size(part), PART):
+                    y = total[:, lo : min(lo + PART, (part + 1) * rows)].T
+                    if y.any():
+                        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([lo - part * rows], pa.int32()), pa.array([y.tobytes()], pa.binary())], names=["part", "lo", "y"])
 
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total: dict[int, np.ndarray] = {}
             for b in batches:
-                for part, y in zip(b.column("part").to_pylist(), b.column("y").to_pylist()):
-                    y = np.frombuffer(y)
-                    total[part] = total[part] + y if part in total else y
-            for part, y in total.items():
-                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([y.tobytes()], pa.binary())], names=["part", "y"])
-
-        shape, out = q.shape, np.zeros(q.shape)
-        parts = use.coalesce(tasks).mapInArrow(kernel, "part int, y binary")
-        rows = parts.repartition("part").mapInArrow(add, "part int, y binary").toArrow()
-        for part, y in zip(rows["part"].to_pylist(), rows["y"]):
-            out[part * PART : (part + 1) * PART] = np.frombuffer(y.as_buffer()).reshape(-1, shape[1])
-        sent.unpersist()
-        return out
-
-    def inner(m: np.ndarray) -> np.ndarray:
-        return np.vstack([q.T @ m for q in basis])
-
-    def combine(s: np.ndarray) -> np.ndarray:
-        ends = np.cumsum([q.shape[1] for q in basis])
-        return sum(q @ s[e - q.shape[1] : e] for q, e in zip(basis, ends))
+                for part, lo, y in zip(*(b.column(c).to_pylist() for c in ("part", "lo", "y"))):
+                    x = total.setdefault(part, np.zeros((v.size(part), v.width)))
+                    if y is not None:
+                        y = np.frombuffer(y).reshape(-1, v.width)
+                        x[lo : lo + len(y)] += y
+            for part, x in total.items():
+                image.write(part, x)
+                across = np.vstack([q.read(part).T @ x for q in basis])
+                yield pa.RecordBatch.from_arrays([pa.array([across.tobytes()], pa.binary())], names=["across"])
+
+        sums = use.coalesce(tasks).mapInArrow(kernel, "part int, lo int, y binary")
+        every = spark.range(v.parts).select(F.col("id").cast("int").alias("part"), F.lit(0).alias("lo"), F.lit(None).cast("binary").alias("y"))
+        found = sums.union(every).repartition(min(v.parts, 2 * tasks), "part").mapInArrow(add, "across binary").toArrow()  # a small matrix a part
+        return image, sum(np.frombuffer(x.as_buffer()) for x in found["across"]).reshape(-1, v.width)
 
     with batches_of(spark, sites_at_once(use)):
-        v = np.linalg.qr(np.random.default_rng(0).normal(size=(n, width)))[0]
-        basis, image, t = [v], times(v), np.zeros((0, 0))
+        start = Noise("noise", n, width, rows)
+        first = tall(spark, n, width, rows)
+        none, gram = mix(spark, [(start, np.eye(width))], first, [])
+        v = orthonormal(spark, first, [], none, gram, 1e-300, n)
+        first.drop()
+        basis, t = [v], np.zeros((0, 0))
+        image, across = times(v, basis)
         for left in range(most, 0, -1):
-            across = inner(image)
             grown = np.zeros((len(across), len(across)))
             grown[: len(t), : len(t)] = t
             grown[:, len(t) :] = across
@@ -199,39 +209,114 @@ def components(packed: DataFrame, n: int, k: int, extra: int = 6, tol: float = 1
             grown[len(t) :, len(t) :] = (across[len(t) :] + across[len(t) :].T) / 2
             t = grown
             values, s = (x[..., ::-1] for x in np.linalg.eigh(t))
-            new = image - combine(across)
-            rest = np.linalg.norm(new @ s[-v.shape[1] :, :k], axis=0)
-            room = n - len(t)
-            if room == 0 or rest.max() <= tol * max(values[0], 1e-300):
-                break
-            if left == 1:
+            new = tall(spark, n, v.width, rows)
+            again, gram = mix(spark, [(image, np.eye(v.width)), *split(basis, -across)], new, basis)
+            image.drop()
+            last = s[-v.width :, :k]
+            rest = np.sqrt(np.maximum(np.einsum("ik,ij,jk->k", last, gram, last), 0))
+            v = None
+            if rest.max() > tol * max(values[0], 1e-300) and left > 1:
+                v = orthonormal(spark, new, basis, again, gram, 1e-12 * max(values[0], 1e-300), n - len(t))
+            elif left == 1 and rest.max() > tol * max(values[0], 1e-300) and n > len(t):
                 warnings.warn(f"components: residual {rest.max() / values[0]:.1e} of the largest eigenvalue after {most} rounds")
-                break
-            new = new - combine(inner(new))
-            u, size, _ = np.linalg.svd(new, full_matrices=False)
-            v = u[:, size > 1e-12 * max(values[0], 1e-300)][:, :room]
-            if not v.shape[1]:
+            new.drop()
+            if v is None:
                 break
             if len(t) >= held * width:
                 few = max(1, held // 2) * width
-                basis, t = [combine(s[:, :few])], np.diag(values[:few])
-            v = np.linalg.qr(v - combine(inner(v)))[0]
+                best = tall(spark, n, few, rows)
+                mix(spark, split(basis, s[:, :few]), best, [])
+                for q in basis:
+                    q.drop()
+                basis, t = [best], np.diag(values[:few])
             basis.append(v)
-            image = times(v)
-        return values[:k], combine(s[:, :k]), sites
+            image, across = times(v, basis)
+            if left % 4 == 0:  # Spark deletes the shuffle files of finished rounds once both sides have dropped their plans
+                gc.collect()
+                spark.sparkContext._jvm.System.gc()
+        vectors = tall(spark, n, k, rows)
+        mix(spark, split(basis, s[:, :k]), vectors, [])
+        for q in basis:
+            q.drop()
+        return values[:k], vectors, sites
+
+
+def turned(spark: SparkSession, vectors: Tall) -> Tall:
+    """The columns with the signs that make the largest absolute number of each positive."""
+
+    def largest(part: int) -> np.ndarray:
+        x = vectors.read(part)
+        return x[np.abs(x).argmax(0), np.arange(x.shape[1])]
+
+    top = np.array(each_part(spark, vectors.parts, largest))
+    sign = np.where(top[np.abs(top).argmax(0), np.arange(vectors.width)] < 0, -1.0, 1.0)
+    out = tall(spark, vectors.n, vectors.width, vectors.rows)
+    mix(spark, [(vectors, np.diag(sign))], out, [])
+    vectors.drop()
+    return out
+
+
+def score_rows(spark: SparkSession, order: np.ndarray, vectors: Tall | None, values: np.ndarray) -> DataFrame:
+    """(sid, pc, score): the eigenvectors times the roots of the eigenvalues; zeros where there are none."""
+    ids, root, k = spark.sparkContext.broadcast(np.asarray(order, np.int64)), np.sqrt(np.maximum(values, 0)), len(values)
+    shape = vectors or Tall("", len(order), k)
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for part in b.column("id").to_pylist():
+                own = ids.value[part * shape.rows : part * shape.rows + shape.size(part)]
+                score = np.zeros(len(own) * k) if vectors is None else (vectors.read(part) * root).ravel()
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(own, k)), pa.array(np.tile(np.arange(k, dtype=np.int32), len(own))), pa.array(score)], names=["sid", "pc", "score"])
+
+    tasks = max(1, min(shape.parts, 2 * spark.sparkContext.defaultParallelism))
+    return written(spark.range(0, shape.parts, 1, tasks).mapInArrow(kernel, "sid long, pc int, score double"), "scores")
+
+
+def design(scores: DataFrame, order: np.ndarray, rows: int = ROWS) -> Tall:
+    """A column of ones and the components of the samples of order, from (sid, pc, score)."""
+    spark, pcs = scores.sparkSession, sorted(r[0] for r in scores.select("pc").distinct().collect())  # a row a component
+    sent, out = spark.sparkContext.broadcast(np.asarray(order, np.int64)), tall(spark, len(order), 1 + len(pcs), rows)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = np.searchsorted(sent.value, b.column("sid").to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(at // rows), pa.array(at % rows), b.column("pc"), b.column("score")], names=["part", "at", "pc", "score"])
+
+    def put(t: pa.Table) -> pa.Table:
+        part = t["part"][0].as_py()
+        x = np.full((out.size(part), out.width), np.nan)
+        x[:, 0] = 1
+        x[t["at"].to_numpy(), 1 + np.searchsorted(pcs, t["pc"].to_numpy())] = t["score"].to_numpy()
+        if t.num_rows != x[:, 1:].size or np.isnan(x).any():
+            raise ValueError("scores must hold one number for each sample and component")
+        out.write(part, x)
+        return pa.table({"part": pa.array([part], pa.int64())})
+
+    rows_ = scores.select("sid", F.col("pc").cast("int").alias("pc"), "score").mapInArrow(place, "part long, at long, pc int, score double")
+    rows_.groupBy("part").applyInArrow(put, "part long").count()
+    return out
+
+
+def _whole(spark: SparkSession, x: np.ndarray | Tall) -> Callable[[], np.ndarray]:
+    """For tasks: the rows of x, which is sent if it is an array of the driver, else read."""
+    if isinstance(x, Tall):
+        return x.whole
+    sent = spark.sparkContext.broadcast(x)
+    return lambda: sent.value
 
 
-def loadings_of(packed: DataFrame, sites: int, vectors: np.ndarray, values: np.ndarray) -> DataFrame:
+def loadings_of(packed: DataFrame, sites: int, vectors: Tall | None, values: np.ndarray) -> DataFrame:
     """(vid, pc, loading, p): the right singular vectors, site by site."""
-    sent = packed.sparkSession.sparkContext.broadcast(vectors)
     root = np.sqrt(np.maximum(values, 0))
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = None
         for b in batches:
             if not b.num_rows:
                 continue
+            m = vectors.whole() if m is None else m
             at, z, size = _normalised(b, sites)
-            t = _sums(z[:, None] * sent.value[at], size)
+            t = _sums(z[:, None] * m[at], size)
             k = t.shape[1]
             load = np.divide(t, root, out=np.full_like(t, np.nan), where=root > 0).ravel()
             yield pa.RecordBatch.from_arrays([
@@ -255,10 +340,10 @@ def _fits(g: np.ndarray, x: np.ndarray) -> np.ndarray:
     return _solved(a, (np.where(g == NONE, 0, g) * called) @ x)
 
 
-def kinship(packed: DataFrame, order: np.ndarray, x: np.ndarray, min_maf: float, min_kinship: float | None, block: int | None = None) -> DataFrame:
+def kinship(packed: DataFrame, order: np.ndarray, x: np.ndarray | Tall, min_maf: float, min_kinship: float | None, block: int | None = None) -> DataFrame:
     """(i, j, kin) of pairs of samples, i < j, that have a common site; with min_kinship those at or above it.
 
-    x: a column of ones and the components, a row a sample. Each site's calls are regressed on x once. Where sites are
+    x: a column of ones and the components, a row a sample (see design). Each site's calls are regressed on x once. Where sites are
     called in few samples, the pairs of called samples of a site are added up by pair, which grows with the cells; where
     they are called in many, blocks of samples are multiplied, which is quadratic in samples.
     """
@@ -270,17 +355,19 @@ def kinship(packed: DataFrame, order: np.ndarray, x: np.ndarray, min_maf: float,
     return kinship_by_blocks(packed, order, x, min_maf, min_kinship, block)
 
 
-def kinship_of_met(packed: DataFrame, order: np.ndarray, x: np.ndarray, min_maf: float, min_kinship: float | None, most: int = 1 << 19) -> DataFrame:
+def kinship_of_met(packed: DataFrame, order: np.ndarray, x: np.ndarray | Tall, min_maf: float, min_kinship: float | None, most: int = 1 << 19) -> DataFrame:
     """kinship() from the pairs of samples that meet at a site; a task holds about `most` of them."""
     spark = packed.sparkSession
-    sent, ids = spark.sparkContext.broadcast(x), spark.sparkContext.broadcast(np.asarray(order, np.int64))
+    whole, ids = _whole(spark, x), spark.sparkContext.broadcast(np.asarray(order, np.int64))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every = None
         for b in batches:
             if not b.num_rows:
                 continue
+            every = whole() if every is None else every
             at, call, size = flat(b)
-            row, own = np.repeat(np.arange(len(size)), size), sent.value[at]
+            row, own = np.repeat(np.arange(len(size)), size), every[at]
             k = own.shape[1]
             beta = _solved(_sums((own[:, :, None] * own[:, None, :]).reshape(len(at), k * k), size).reshape(-1, k, k), _sums(call[:, None] * own, size))
             mu = np.einsum("ck,ck->c", own, beta[row]) / 2
@@ -302,7 +389,7 @@ def kinship_of_met(packed: DataFrame, order: np.ndarray, x: np.ndarray, min_maf:
         return written(kin if min_kinship is None else kin.filter(F.col("kin") >= min_kinship), "kinship")
 
 
-def kinship_by_blocks(packed: DataFrame, order: np.ndarray, x: np.ndarray, min_maf: float, min_kinship: float | None, block: int | None = None) -> DataFrame:
+def kinship_by_blocks(packed: DataFrame, order: np.ndarray, x: np.ndarray | Tall, min_maf: float, min_kinship: float | None, block: int | None = None) -> DataFrame:
     """kinship() by products of blocks.
 
     Every pair of sample blocks (the upper triangle) takes its two slices of all sites, batch after batch in order, and adds up the
@@ -312,14 +399,16 @@ def kinship_by_blocks(packed: DataFrame, order: np.ndarray, x: np.ndarray, min_m
     spark, n = packed.sparkSession, len(order)
     size = block or min(2048, max(64, -(-n // 8)))
     blocks = -(-n // size)
-    sent, ids = spark.sparkContext.broadcast(x), np.array(order, dtype=np.int64)
+    whole, sent = _whole(spark, x), spark.sparkContext.broadcast(np.asarray(order, np.int64))
 
     def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every = None
         for b in batches:
             if not b.num_rows:
                 continue
+            every = whole() if every is None else every
             g = matrix(b, n)
-            beta = _fits(g, sent.value).tobytes()
+            beta = _fits(g, every).tobytes()
             key = b.column("vid")[0].as_py()
             cut = [g[:, i * size : (i + 1) * size].tobytes() for i in range(blocks)]
             yield pa.RecordBatch.from_arrays([pa.array([key] * blocks), pa.array(range(blocks), pa.int32()), pa.array(cut, pa.binary()), pa.array([beta] * blocks, pa.binary())], names=["batch", "block", "g", "beta"])
@@ -333,6 +422,7 @@ def kinship_by_blocks(packed: DataFrame, order: np.ndarray, x: np.ndarray, min_m
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out() -> Iterator[pa.RecordBatch]:
             a, b = now
+            ids = sent.value
             first, second = ids[a * size : (a + 1) * size], ids[b * size : (b + 1) * size]
             for lo in range(0, len(first), 256):
                 d = down[lo : lo + 256]
@@ -342,11 +432,11 @@ def kinship_by_blocks(packed: DataFrame, order: np.ndarray, x: np.ndarray, min_m
                 yield pa.RecordBatch.from_arrays([pa.array(first[lo + i]), pa.array(second[j]), pa.array(kin[i, j])], names=["i", "j", "kin"])
 
         def half(g: np.ndarray, which: int, beta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            mu = beta @ sent.value[which * size : (which + 1) * size].T / 2
+            mu = beta @ every[which * size : (which + 1) * size].T / 2
             ok = (g != NONE) & (mu > min_maf) & (mu < 1 - min_maf)
             return np.where(ok, g - 2 * mu, 0.0), np.sqrt(np.where(ok, mu * (1 - mu), 0.0))
 
-        now, up, down = None, np.zeros((0, 0)), np.zeros((0, 0))
+        now, up, down, every = None, np.zeros((0, 0)), np.zeros((0, 0)), whole()
         for batch in batches:
             for a, b, ga, gb, beta in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "ga", "gb", "beta"))):
                 if (a, b) != now:
@@ -361,7 +451,7 @@ def kinship_by_blocks(packed: DataFrame, order: np.ndarray, x: np.ndarray, min_m
         if now is not None:
             yield from out()
 
-    x_width = x.shape[1]
+    x_width = x.width if isinstance(x, Tall) else x.shape[1]
     with batches_of(spark, 4):
         return written(pairs.mapInArrow(add, "i long, j long, kin double"), "kinship")
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -97,18 +95,16 @@ def pca(entries: DataFrame, k: int = 10) -> tuple[list[float], DataFrame, DataFr
     """(eigenvalues, scores (sid, pc, score), loadings (vid, pc, loading, p)) of Hardy-Weinberg normalised genotypes.
 
     Sites that do not vary are left out and missing cells count as the mean. The number of samples is not bounded: see
-    packed.components. Signs are fixed by the largest absolute score.
+    packed.component_rows. Signs are fixed by the largest absolute score.
     """
     calls = packed.called(entries)
     order = packed.sample_order(calls)
     cells = packed.pack(calls, order)
-    values, vectors, sites = packed.components(cells, len(order), k)
-    if len(values):
-        vectors = vectors * np.where(vectors[np.abs(vectors).argmax(0), range(len(values))] < 0, -1, 1)
-    scores = vectors * np.sqrt(np.maximum(values, 0))
-    at = [np.repeat(order, len(values)), np.tile(np.arange(len(values), dtype=np.int32), len(order))]
-    rows = pa.table([pa.array(a, t) for a, t in zip([*at, scores.ravel()], (pa.int64(), pa.int32(), pa.float64()))], names=["sid", "pc", "score"])  # samples x k
-    return values.tolist(), entries.sparkSession.createDataFrame(rows, "sid long, pc int, score double"), packed.loadings_of(cells, sites, vectors, values)
+    values, vectors, sites = packed.component_rows(cells, len(order), k)
+    spark = entries.sparkSession
+    if vectors is not None:
+        vectors = packed.turned(spark, vectors)
+    return values.tolist(), packed.score_rows(spark, order, vectors, values), packed.loadings_of(cells, sites, vectors, values)
 
 
 def pca_with_relateds(entries: DataFrame, related: DataFrame, k: int = 10) -> DataFrame:
@@ -122,9 +118,8 @@ def pc_relate(entries: DataFrame, scores: DataFrame, min_maf: float = 0.01, min_
 
     Only samples with scores take part. With min_kinship only pairs at or above it are returned. See packed.kinship.
     """
-    rows = scores.select("sid", "pc", "score").toArrow().sort_by([("sid", "ascending"), ("pc", "ascending")])  # samples x k
-    order = np.unique(rows["sid"].to_numpy())
-    x = np.column_stack([np.ones(len(order)), rows["score"].to_numpy().reshape(len(order), -1 if len(order) else 0)])
+    order = packed.sample_order(scores)
+    x = packed.design(scores, order)
     cells = packed.pack(packed.called(entries), order)
     return packed.kinship(cells, order, x, min_maf, min_kinship, block)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
 import pytest
 
@@ -143,6 +145,30 @@ def test_components_of_few_calls(spark):
         assert packed.components(cells, 400, 3, most=2)[1].shape == (400, 3)
 
 
+def test_components_lie_outside_the_driver(spark):
+    """Matrices of several files give the components; of 150,000 samples the driver holds little more than the ids."""
+    g = cohort(200, 90, 11)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        z = normalised(g)
+    e = entries(spark, g).filter("n_alt is not null")
+    values, vectors, _ = packed.component_rows(packed.pack(e, np.arange(90)), 90, 4, rows=17)
+    assert vectors.parts == 6 and values == pytest.approx(np.linalg.eigvalsh(z.T @ z)[::-1][:4], rel=1e-9)
+    v = vectors.whole()
+    assert np.allclose(v.T @ v, np.eye(4)) and np.allclose(z.T @ (z @ v), v * values, atol=1e-6 * values[0])
+    n = 150_000
+    many = spark.range(n).selectExpr("id % 30 as vid", "id as sid", "cast(hash(id) % 3 + 2 as int) % 3 as n_alt")
+    more = spark.range(n).selectExpr("id * 7 % 30 as vid", "id as sid", "cast(hash(id, 1) % 3 + 2 as int) % 3 as n_alt")
+    many = many.union(more.filter("vid <> sid % 30"))
+    tracemalloc.start()
+    try:
+        _, scores, _ = popgen.pca(many, 4)
+        packed.design(scores, packed.sample_order(scores))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert scores.count() == 4 * n and peak < 16 << 20  # a matrix of 10 columns has 12 MB
+
+
 def slow_prune(g, position, contig, r2, window):
     gone = set()
     order = sorted(range(len(g)), key=lambda v: (position[v], v))
