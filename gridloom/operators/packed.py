@@ -461,10 +461,10 @@ def linked_pairs(packed: DataFrame, sites: DataFrame, n: int, r2: float, window:
 
     A pair is one row of two packed sites, met by an equality join on position bins and compared as it streams by.
     """
-    at = packed.select("vid", "at", "call").join(sites.select("vid", "contig", "position"), "vid").withColumn("bin", F.floor(F.col("position") / window))
+    at = packed.select("vid", "at", "call").join(sites.select("vid", "contig", "position").hint("merge"), "vid").withColumn("bin", F.floor(F.col("position") / window))
     left = at.select("contig", F.col("vid").alias("a"), F.col("position").alias("pa"), F.col("at").alias("ata"), F.col("call").alias("ca"), F.explode(F.array("bin", F.col("bin") + 1)).alias("bin"))
     right = at.select("contig", F.col("vid").alias("b"), F.col("position").alias("pb"), F.col("at").alias("atb"), F.col("call").alias("cb"), "bin")
-    near = left.join(right, ["contig", "bin"]).filter((F.col("pb") - F.col("pa")).between(0, window) & ((F.col("pa") < F.col("pb")) | (F.col("a") < F.col("b"))))
+    near = left.join(right.hint("merge"), ["contig", "bin"]).filter((F.col("pb") - F.col("pa")).between(0, window) & ((F.col("pa") < F.col("pb")) | (F.col("a") < F.col("b"))))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -486,6 +486,38 @@ def linked_pairs(packed: DataFrame, sites: DataFrame, n: int, r2: float, window:
         return written(near.select("contig", "a", "pa", "b", "pb", "ata", "ca", "atb", "cb").mapInArrow(keep, "contig string, a long, pa long, b long, pb long"), "linked")
 
 
+def meetings(cells: DataFrame, sites: DataFrame, window: int) -> tuple[float, float]:
+    """(pairs of sites, pairs of cells of a sample) in the same or the next bin of the window's size, as linked_pairs and linked_by_cells would meet them."""
+    at = cells.join(sites.select("vid", "contig", F.floor(F.col("position") / window).alias("bin")).hint("merge"), "vid")
+
+    def pairs(keys: list[str], counted: DataFrame) -> float:
+        n = counted.groupBy(*keys, "bin").agg(F.count("*").cast("double").alias("n"))
+        n = n.select(*keys, F.explode(F.array(F.struct("bin", "n", F.lit(0.0).alias("before")), F.struct((F.col("bin") + 1).alias("bin"), F.lit(0.0).alias("n"), F.col("n").alias("before")))).alias("x"))
+        n = n.groupBy(*keys, "x.bin").agg(F.sum("x.n").alias("n"), F.sum("x.before").alias("before"))
+        return n.agg(F.sum(F.col("n") * (F.col("n") + F.col("before")))).first()[0] or 0.0
+
+    return pairs(["contig"], at.select("vid", "contig", "bin").distinct()), pairs(["sid", "contig"], at)
+
+
+def linked_by_cells(cells: DataFrame, sites: DataFrame, r2: float, window: int) -> DataFrame:
+    """linked_pairs() from the pairs of cells of a sample, added up by pair of sites: sites without a common sample never meet.
+
+    Tables that grow with the sites are merged, here and where the walk is made: as files they may look small enough to be broadcast.
+    """
+    place = sites.select("vid", "contig", "position")
+    at = cells.join(place.hint("merge"), "vid").withColumn("bin", F.floor(F.col("position") / window))
+    left = at.select("sid", "contig", F.col("vid").alias("a"), F.col("position").alias("pa"), F.col("n_alt").alias("x"), F.explode(F.array("bin", F.col("bin") + 1)).alias("bin"))
+    right = at.select("sid", "contig", F.col("vid").alias("b"), F.col("position").alias("pb"), F.col("n_alt").alias("y"), "bin")
+    near = left.join(right.hint("merge"), ["sid", "contig", "bin"]).filter((F.col("pb") - F.col("pa")).between(0, window) & ((F.col("pa") < F.col("pb")) | (F.col("a") < F.col("b"))))
+    x, y = F.col("x").cast("double"), F.col("y").cast("double")
+    sums = {"m": F.lit(1.0), "sx": x, "sy": y, "xy": x * y, "xx": x * x, "yy": y * y}
+    s = near.groupBy("a", "b").agg(*[F.sum(v).alias(k) for k, v in sums.items()]).filter("m > 1")
+    s = s.select("a", "b", F.expr("m * xy - sx * sy").alias("cov"), F.expr("m * xx - sx * sx").alias("vx"), F.expr("m * yy - sy * sy").alias("vy"))
+    s = s.filter((F.col("vx") > 0) & (F.col("vy") > 0)).filter(F.col("cov") * F.col("cov") / (F.col("vx") * F.col("vy")) >= r2).select("a", "b")
+    s = s.join(place.select(F.col("vid").alias("a"), "contig", F.col("position").alias("pa")).hint("merge"), "a").join(place.select(F.col("vid").alias("b"), F.col("position").alias("pb")).hint("merge"), "b")
+    return written(s.select("contig", "a", "pa", "b", "pb"), "linked")
+
+
 def first_choice(linked: DataFrame, segment: int = 4096) -> DataFrame:
     """(vid) of the sites that a walk in order of position drops: those with an earlier linked site that stays.
 
@@ -495,10 +527,10 @@ def first_choice(linked: DataFrame, segment: int = 4096) -> DataFrame:
     holds more than a segment's pairs, and rounds end when dependencies do (the first open segment always finishes).
     """
     nodes = linked.select("contig", F.col("a").alias("vid"), F.col("pa").alias("position")).union(linked.select("contig", "b", "pb")).distinct()
-    rank = stratified_rank(nodes, ["contig"], "position", "vid").join(linked.select(F.col("b").alias("vid")).distinct().withColumn("late", F.lit(True)), "vid", "left")
+    rank = stratified_rank(nodes, ["contig"], "position", "vid").join(linked.select(F.col("b").alias("vid")).distinct().withColumn("late", F.lit(True)).hint("merge"), "vid", "left")
     rank = written(rank.select("vid", "rank", F.floor(F.col("rank") / segment).alias("segment"), F.coalesce("late", F.lit(False)).alias("late")), "order")
-    p = linked.select("contig", "a", "b").join(rank.select(F.col("vid").alias("a"), F.col("late").alias("a_late"), F.col("rank").alias("ra")), "a")
-    p = written(p.join(rank.select(F.col("vid").alias("b"), F.col("rank").alias("rb"), "segment"), "b").select("contig", "segment", "a", "a_late", "ra", "b", "rb"), "pairs")
+    p = linked.select("contig", "a", "b").join(rank.select(F.col("vid").alias("a"), F.col("late").alias("a_late"), F.col("rank").alias("ra")).hint("merge"), "a")
+    p = written(p.join(rank.select(F.col("vid").alias("b"), F.col("rank").alias("rb"), "segment").hint("merge"), "b").select("contig", "segment", "a", "a_late", "ra", "b", "rb"), "pairs")
     total = p.select("b").distinct().count()
     done = written(p.select(F.col("b").alias("vid"), F.lit(False).alias("gone")).limit(0), "decided")
 
@@ -523,7 +555,7 @@ def first_choice(linked: DataFrame, segment: int = 4096) -> DataFrame:
     found = 0
     while found < total:
         state = done.select(F.col("vid").alias("a"), "gone")
-        open_ = p.join(done.select(F.col("vid").alias("b")), "b", "left_anti").join(state, "a", "left")
+        open_ = p.join(done.select(F.col("vid").alias("b")).hint("merge"), "b", "left_anti").join(state.hint("merge"), "a", "left")
         done = written(done.unionByName(open_.groupBy("contig", "segment").applyInArrow(walk, "vid long, gone boolean")), "decided")
         found = done.count()
     return done.filter("gone").select("vid")

@@ -155,12 +155,18 @@ def maximal_independent_set(pairs: DataFrame, tie: DataFrame | None = None, roun
 def ld_prune(entries: DataFrame, sites: DataFrame, r2: float = 0.2, window: int = 500_000) -> DataFrame:
     """Sites kept so that no pair within the window has a squared correlation of r2 or more; greedy in order of position.
 
-    See packed.linked_pairs and packed.first_choice: the same sites as a walk along each contig, without one task a contig.
+    Where fewer cells of a sample meet within the window than sites do, the cells are joined, else packed sites are
+    compared. See packed.linked_by_cells, packed.linked_pairs and packed.first_choice: the same sites as a walk along each
+    contig, without one task a contig.
     """
-    calls = packed.called(entries.join(sites.select("vid"), "vid", "left_semi"))
-    order = packed.sample_order(calls)
-    linked = packed.linked_pairs(packed.pack(calls, order), sites, len(order), r2, window)
-    return sites.join(packed.first_choice(linked), "vid", "left_anti")
+    calls = packed.called(entries.join(sites.select("vid").hint("merge"), "vid", "left_semi"))
+    of_sites, of_cells = packed.meetings(calls, sites, window)
+    if of_cells < of_sites:
+        linked = packed.linked_by_cells(calls, sites, r2, window)
+    else:
+        order = packed.sample_order(calls)
+        linked = packed.linked_pairs(packed.pack(calls, order), sites, len(order), r2, window)
+    return sites.join(packed.first_choice(linked).hint("merge"), "vid", "left_anti")
 
 
 def ks_statistic(df: DataFrame, group: str, a: str, b: str, x: str) -> DataFrame:

@@ -139,7 +139,8 @@ def independent_set(spark, d):
 
 @query()
 def ld_prune(spark, d):
-    return popgen.ld_prune(_sparse(spark, d), view(spark, d, "v_variants"), 0.1, 2_000).select("vid", "contig", "position")
+    """Within 1,000,000 bases, the window that the surveyed calls with r2 = 0.1 leave at its default."""
+    return popgen.ld_prune(_sparse(spark, d), view(spark, d, "v_variants"), 0.1, 1_000_000).select("vid", "contig", "position")
 
 
 @query("""WITH r AS (SELECT vid, proband, max(n_alt) FILTER (WHERE role = 'c') AS c, max(n_alt) FILTER (WHERE role = 'f') AS f, max(n_alt) FILTER (WHERE role = 'm') AS m, min(gq) FILTER (WHERE role <> 'c') AS q,

@@ -8,6 +8,8 @@ import numpy as np
 import pytest
 
 from gridloom.operators import packed, popgen
+from gridloom.plans.catalogue import QUERIES
+from gridloom.plans.views import view
 
 
 def cohort(n_sites, n_samples, seed, missing=0.05, groups=3):
@@ -198,3 +200,37 @@ def test_pruning_is_the_walk_in_order(spark, segment, monkeypatch):
     monkeypatch.setattr(packed, "first_choice", lambda linked: walk(linked, segment))
     kept = {x["vid"] for x in popgen.ld_prune(entries(spark, g), sites, 0.2, 900).collect()}
     assert kept == slow_prune(g, position, contig, 0.2, 900) and 10 < len(kept) < 110
+
+
+def test_cells_that_meet_link_the_same_sites(spark):
+    """Few calls of many samples: joined cells and compared sites give the same pairs, and the walk over them."""
+    r = np.random.default_rng(9)
+    g = np.full((150, 400), -1)
+    for v, row in enumerate(g):
+        row[r.choice(40, 8, replace=False) if v % 2 else r.choice(400, 10, replace=False)] = 0
+    g = np.where(g < 0, -1, r.integers(0, 3, g.shape))
+    position, contig = [int(x) for x in r.integers(0, 5000, 150)], [f"chr{x}" for x in r.integers(1, 3, 150)]
+    position[20:30] = position[10:20]
+    e = spark.createDataFrame([(int(i), int(j), int(g[i, j])) for i, j in np.argwhere(g >= 0)], "vid long, sid long, n_alt int")
+    sites = spark.createDataFrame([(v, contig[v], position[v]) for v in range(150)], "vid long, contig string, position long")
+    of_sites, of_cells = packed.meetings(e, sites, 2000)
+    assert 0 < of_cells < of_sites
+    order = packed.sample_order(e)
+    pairs = [{tuple(x) for x in d.select("contig", "a", "pa", "b", "pb").collect()} for d in (packed.linked_by_cells(e, sites, 0.3, 2000), packed.linked_pairs(packed.pack(e, order), sites, len(order), 0.3, 2000))]
+    assert pairs[0] == pairs[1] and len(pairs[0]) > 20
+    kept = {x["vid"] for x in popgen.ld_prune(e, sites, 0.3, 2000).collect()}
+    assert kept == slow_prune(g, position, contig, 0.3, 2000) and len(kept) < 150
+
+
+def test_pruning_query_reaches_a_million_bases(spark, sf_dir):
+    """Sites of sf0.001 that are linked to one more than 2,000 bases before them go as well."""
+    cells = view(spark, sf_dir, "v_sparse").select("vid", "sid", "n_alt").collect()
+    rows = view(spark, sf_dir, "v_variants").select("vid", "contig", "position").collect()
+    at, sid = {x["vid"]: i for i, x in enumerate(rows)}, {s: i for i, s in enumerate({c["sid"] for c in cells})}
+    g = np.full((len(rows), len(sid)), -1)
+    for c in cells:
+        if c["vid"] in at:
+            g[at[c["vid"]], sid[c["sid"]]] = c["n_alt"]
+    by = lambda window: {rows[i]["vid"] for i in slow_prune(g, [x["position"] for x in rows], [x["contig"] for x in rows], 0.1, window)}
+    kept = {x["vid"] for x in QUERIES["ld_prune"](spark, sf_dir).collect()}
+    assert kept == by(1_000_000) and len(kept) < len(by(2_000))
